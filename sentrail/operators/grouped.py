@@ -41,7 +41,8 @@ def salted_join(left: DataFrame, small: DataFrame, on: Sequence[str], how: str,
     spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     # hashed over whole rows: rows of one group land on different salts
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
-    return salted.join(spread, [*on, "_salt"], how).drop("_salt")
+    # the planner would size the repeated side by what it was before repeating
+    return salted.join(spread.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def dense_index(

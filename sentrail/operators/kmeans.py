@@ -24,6 +24,11 @@ from sentrail.session import materialise
 CLUSTERS = 4
 CONSTANT_SCORE = 50.0
 
+# Training works on features in whole steps of a millionth, held in doubles. Their sums are exact
+# up to 9e15, so they do not depend on the order of addition, and a vector halfway between two
+# centroids falls on the same side in every run.
+STEPS = 1e6
+
 
 # ---------------------------------------------------------------- one model, MLlib
 
@@ -186,7 +191,7 @@ def fit_grouped_distance(
     vectors = materialise(
         _features(
             df.groupBy(*group, *num_cols, *cat_cols).agg(F.count(F.lit(1)).alias("_w")), scaling, categories, group, num_cols, cat_cols
-        ).select(*group, "_w", *[F.col("_f")[i].alias(f"_f{i}") for i in range(len(num_cols) + len(cat_cols))]),
+        ).select(*group, "_w", F.xxhash64(*num_cols, *cat_cols).alias("_h"), *[F.rint(F.col("_f")[i] * STEPS).alias(f"_f{i}") for i in range(len(num_cols) + len(cat_cols))]),
         "kmeans-vectors",
     )
     width = len(num_cols) + len(cat_cols)
@@ -195,11 +200,13 @@ def fit_grouped_distance(
     sized = join_small(vectors, materialise(vectors.groupBy(*group).agg(F.count(F.lit(1)).alias("_distinct")), "kmeans-sizes"), group)
     large = sized.where(F.col("_distinct") > task_vectors).drop("_distinct")
     small = sized.where(F.col("_distinct") <= task_vectors).drop("_distinct")
-    centroids = _fit_in_tasks(small, shape, seed, max_iter, tol)
+    centroids = _fit_in_tasks(small, shape, seed, max_iter, tol * STEPS)
     if not large.isEmpty():
-        passes = _settle(large, _plus_plus(large, shape, seed), shape, max_iter, tol)
+        passes = _settle(large, _plus_plus(large, shape, seed), shape, max_iter, tol * STEPS)
         present = [F.expr(f"CASE WHEN _c{j}_0 IS NOT NULL THEN array({', '.join(shape.centre(j))}) END") for j in range(k)]
         centroids = centroids.unionByName(passes.select(*group, F.array_compact(F.array(*present)).alias("_centroids")))
+    unit = F.transform("_centroids", lambda centre: F.transform(centre, lambda c: c / STEPS))
+    centroids = centroids.withColumn("_centroids", unit)
     return GroupedDistanceModel(
         scaling, materialise(centroids, "kmeans-model"), categories, tuple(group), tuple(num_cols), tuple(cat_cols)
     )
@@ -223,7 +230,7 @@ class _Shape:
         return [f"{prefix}{j}_{i}" for i in range(self.width)]
 
     def squared(self, a: list[str], b: list[str]) -> str:
-        return " + ".join(f"({x} - {y}) * ({x} - {y})" for x, y in zip(a, b))
+        return "(" + " + ".join(f"({x} - {y}) * ({x} - {y})" for x, y in zip(a, b)) + ")"
 
     def nearest(self, known: int) -> str:
         """Squared distance to the closest of the first ``known`` centroids."""
@@ -231,8 +238,8 @@ class _Shape:
         return f"least({', '.join(distances)})" if known > 1 else distances[0]
 
     def uniform(self, seed: int, step: int) -> str:
-        """A number in (0, 1) from the vector itself."""
-        return f"(pmod(xxhash64({seed}, {step}, {', '.join(self.features())}), {1 << 52}L) + 0.5D) / {1 << 52}D"
+        """A number in (0, 1) from the raw values of the vector."""
+        return f"(pmod(xxhash64({seed}, {step}, _h), {1 << 52}L) + 0.5D) / {1 << 52}D"
 
     def with_centroids(self, vectors: DataFrame, centroids: DataFrame) -> DataFrame:
         if self.broadcast:
@@ -247,7 +254,6 @@ def _fit_in_tasks(vectors: DataFrame, shape: _Shape, seed: int, max_iter: int, t
     group, k = shape.group, shape.k
 
     def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(features)  # sums in one order whatever the row order was
         x, w = pdf[features].to_numpy(float), pdf["_w"].to_numpy(float)
         rate, chosen = w, []
         for step in range(k):
@@ -271,7 +277,7 @@ def _fit_in_tasks(vectors: DataFrame, shape: _Shape, seed: int, max_iter: int, t
                 break
         return pd.DataFrame([[*key, centres.tolist()]], columns=[*group, "_centroids"])
 
-    schema = T.StructType([vectors.schema[c] for c in group]).add("_centroids", "array<array<double>>")
+    schema = T.StructType([vectors.schema[c] for c in group]).add("_centroids", T.ArrayType(T.ArrayType(T.DoubleType())))
     return drawn.groupBy(*group).applyInPandas(fit, schema)
 
 
