@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from sentrail.functions import scores as S
-from sentrail.operators.features import feature_pipeline
+from sentrail.operators.features import feature_pipeline, standardise
 from sentrail.operators.grouped import fits_broadcast, join_small, salted_join
 from sentrail.session import materialise
 
@@ -59,6 +59,27 @@ class DistanceModel:
         )
 
 
+@dataclass
+class CentroidScorer:
+    """The same score from given centroids over plain numeric columns, without a pipeline: for
+    models kept as a few numbers, e.g. for a stream."""
+
+    num_cols: Sequence[str]
+    means: Sequence[float]
+    sds: Sequence[float]
+    centroids: Sequence[Sequence[float]]
+    low: float
+    high: float
+
+    def raw(self, df: DataFrame, out: str = "sed") -> DataFrame:
+        features = [standardise(F.col(c), m, sd) for c, m, sd in zip(self.num_cols, self.means, self.sds, strict=True)]
+        return df.withColumn(out, S.sed(features, self.centroids))
+
+    def score(self, df: DataFrame, out: str = "PAS") -> DataFrame:
+        scaled = S.minmax(F.col("_sed"), F.lit(self.low), F.lit(self.high), CONSTANT_SCORE)
+        return self.raw(df, "_sed").withColumn(out, scaled).drop("_sed")
+
+
 def fixed_layout(df: DataFrame, key_cols: Sequence[str], partitions: int) -> DataFrame:
     """Same rows in the same partitions and order on every run, which MLlib's seeds rely on."""
     return df.repartition(partitions, *key_cols).sortWithinPartitions(*key_cols)
