@@ -145,7 +145,7 @@ _EVENT_SED = " + ".join(
     _distance(["((num1 - 50e0) / 48e0)", "((num2 - 49.5e0) / 29e0)"], c) for c in ([0, 0], [1, 1], [-1, 0.5], [2, -1])
 )
 EVENT_SCORES = f"""with {MESSAGES}
-select cast(event_id as varchar) guid, cast(epoch_ms(ts) as bigint) as timestamp, user_name, src_ip entity_name,
+select cast(event_id as varchar) guid, cast(epoch_us(ts) // 1000 as bigint) as timestamp, user_name, src_ip entity_name,
   'demo_traffic' source_type, alerts, alert_score, round({_clamped(_EVENT_SED, '4e0', '30e0')}, 6) event_score,
   cast(year(ts) as int) y, cast(month(ts) as int) m, cast(day(ts) as int) d
 from msg where event_type in ('click', 'view')"""
@@ -222,10 +222,10 @@ ORACLE: dict[str, str] = {
         cast(1024 + l_linenumber as varchar) src_port,
         case when l_linenumber = 1 then 0 else cast(trunc(l_quantity) as bigint) end rcvd_bytes,
         case when l_linenumber = 2 then 0 else l_partkey end sent_bytes from lineitem""",
-    "backfill_dates": """with last as (select user_id, cast(max(ts) as date) day from events group by user_id),
-      days as (select user_id, cast(day - to_days(cast(i as int)) as date) on_day from last, range(7) r(i))
+    "backfill_dates": """with last as (select user_id, cast(max(ts) as date) last_day from events group by user_id),
+      days as (select user_id, cast(last_day - to_days(cast(i as int)) as date) on_day from last, range(7) r(i))
       select user_id, cast(year(on_day) as int) y, cast(month(on_day) as int) m, cast(day(on_day) as int) d,
-        strftime(on_day, '%Y-%m-%d') as day from days""",
+        strftime(on_day, '%Y-%m-%d') as "day" from days""",
     "profile_windows": " union all ".join(
         _windows(n, s) for n, s in (("hour", 3600), ("day", 86400), ("week", 604800), ("month", 2592000))
     ),

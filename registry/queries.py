@@ -319,7 +319,7 @@ FROZEN_CENTROIDS = CentroidScorer(
 
 def _identity_scaling(spark):
     rows = [(kind, 1, [0.0] * 6, [1.0] * 6) for kind in ("user", "entity")]
-    return spark.createDataFrame(rows, "type string, n bigint, _means array<double>, _sds array<double>")
+    return spark.createDataFrame(rows, "type string, _n bigint, _means array<double>, _sds array<double>")
 
 
 @query

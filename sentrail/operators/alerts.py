@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sentrail.functions import scores as S
 from sentrail.functions.rules import DAY_COLS, PROFILE_COUNTERS
 from sentrail.operators.grouped import join_small
+from sentrail.session import materialise
 from sentrail.sources.sinks import SCORE_COLUMNS
 
 # Weight of the profile score, the new-user and the new-entity alert score.
@@ -42,7 +43,7 @@ def alert_scores(
         part = F.col(count) - F.col(f"_low_{count}") if rescale else F.col(count)
         return S.guarded_percent(part, F.col(f"_range_{count}")).alias(_score_name(count))
 
-    return join_small(activity, ranges, days).select(
+    return join_small(activity, materialise(ranges, "alert-ranges"), days).select(
         "name", "type", *days, "total_events", *counts, *[score(c) for c in counts]
     )
 

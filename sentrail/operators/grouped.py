@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sentrail.session import known_rows
+
 BROADCAST_BYTES = 64 << 20
 SALTS = 64
 
@@ -23,8 +25,8 @@ def join_small(
 ) -> DataFrame:
     """Join a per-group table to the rows it describes.
 
-    ``small`` should be cheap to count (a written table, or an aggregate of one). It is counted
-    first and broadcast only within ``max_bytes``. Beyond that each of its rows is repeated once
+    ``small`` should come from ``materialise``, which knows its row count; anything else is
+    counted first. It is broadcast only within ``max_bytes``. Beyond that each of its rows is repeated once
     per salt and the join runs on (keys, salt), so a hot group still spreads over many tasks.
     """
     if fits_broadcast(small, row_bytes, max_bytes):
@@ -33,8 +35,10 @@ def join_small(
 
 
 def fits_broadcast(small: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a table is small enough to send to every executor."""
     limit = max(1, max_bytes // row_bytes)
-    return small.limit(limit + 1).count() <= limit
+    rows = known_rows(small)
+    return (rows if rows is not None else small.limit(limit + 1).count()) <= limit
 
 
 def salted_join(left: DataFrame, small: DataFrame, on: Sequence[str], how: str, salts: int = SALTS) -> DataFrame:
@@ -57,14 +61,13 @@ def dense_index(
 
     Keys must be unique within a group. Rows fall into about n/``bucket_rows`` hash buckets of
     their key, are numbered inside their bucket, and the buckets' running totals are added. The
-    numbering depends on the data alone, not on partitions. ``sizes`` holds the group columns
-    and ``n``.
+    numbering depends on the data alone, not on partitions. ``sizes`` has a row per group with
+    its row count ``_n``.
     """
     group = list(group_cols)
-    buckets = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(float(bucket_rows))))
-    bucketed = join_small(df, sizes.select(*group, "n"), group).withColumn(
-        "_bucket", F.pmod(F.xxhash64(*key_cols), buckets)
-    ).drop("n")
+    buckets = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(bucket_rows))))
+    others = [c for c in sizes.columns if c not in group]
+    bucketed = join_small(df, sizes, group).withColumn("_bucket", F.pmod(F.xxhash64(*key_cols), buckets)).drop(*others)
     inside = Window.partitionBy(*group, "_bucket").orderBy(*key_cols)
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -91,15 +94,16 @@ def salt_groups(
     rows_per_task: int,
 ) -> tuple[DataFrame, DataFrame]:
     """Split every group's rows into slices of about ``rows_per_task`` and repeat the group's
-    model once per slice, so that both can be co-grouped on (group, ``_slice``)."""
+    model once per slice, so that both can be co-grouped on (group, ``_slice``). Rows whose group
+    columns hold a null match no model; they are kept, and sliced like any other group."""
     group = list(group_cols)
-    slices = sizes.select(
-        *group, F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(float(rows_per_task)))).cast("int").alias("_slices")
-    )
-    split = join_small(rows, slices, group).withColumn(
-        "_slice", F.pmod(F.xxhash64(*key_cols), F.col("_slices")).cast("int")
-    ).drop("_slices")
-    spread = model.join(slices, group).withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1))
-    ).drop("_slices")
-    return split, spread
+    slices = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(rows_per_task)))).cast("int")
+    if fits_broadcast(sizes, 128):
+        named = sizes.select(*[F.col(c).alias(f"_of_{c}") for c in group], "_n")
+        same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group]
+        sized = rows.join(F.broadcast(named), same, "left").drop(*[f"_of_{c}" for c in group])
+    else:
+        sized = salted_join(rows, sizes, group, "left")
+    split = sized.withColumn("_slice", F.pmod(F.xxhash64(*key_cols), F.coalesce(slices, F.lit(4 * SALTS))).cast("int"))
+    spread = model.join(sizes, group).withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+    return split.drop("_n"), spread.drop("_n")

@@ -49,7 +49,14 @@ class OneClassModel:
     gamma: float
     seed: int
 
-    def raw(self, df: DataFrame, key_cols: Sequence[str], out: str = "score", rows_per_task: int = 100_000) -> DataFrame:
+    def raw(
+        self,
+        df: DataFrame,
+        key_cols: Sequence[str],
+        out: str = "score",
+        rows_per_task: int = 100_000,
+        counts: DataFrame | None = None,
+    ) -> DataFrame:
         """Adds the raw score (higher is more anomalous)."""
         encoded = encode(df, self.scaling, self.num_cols, self.cat_cols, self.group_cols)
         gamma, seed, width, cats = self.gamma, self.seed, len(self.num_cols), len(self.cat_cols)
@@ -57,7 +64,7 @@ class OneClassModel:
         def scorer(rows: pa.Table, model: pa.Table) -> np.ndarray:
             return evaluate(rows, model, gamma, seed, width, cats)
 
-        return score_in_slices(encoded, self.model, self.group_cols, key_cols, out, scorer, rows_per_task)
+        return score_in_slices(encoded, self.model, self.group_cols, key_cols, out, scorer, rows_per_task, counts)
 
 
 def fit_one_class(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sentrail.functions import scores as S
 from sentrail.functions.rules import GROUP_COLS, PROFILE_COUNTERS
 from sentrail.operators import modelstore as store
+from sentrail.operators.encoding import group_counts
 from sentrail.operators.grouped import join_small
 from sentrail.operators.iforest import TREES, ForestModel, fit_forest
 from sentrail.operators.kmeans import CONSTANT_SCORE, GroupedDistanceModel, fit_grouped_distance
@@ -47,9 +48,10 @@ def _fit_detectors(profiles, num_cols, cat_cols, group_cols, key_cols, n_trees,
 def _raw_scores(profiles: DataFrame, detectors, key_cols: Sequence[str]) -> DataFrame:
     """All raw scores as columns of one frame, so they belong to the same row by construction."""
     distance, forest, one_class = detectors
+    counts = group_counts(profiles, forest.group_cols)
     scored = distance.raw(profiles, "_sed")
-    scored = forest.raw(scored, key_cols, "_isolation")
-    return materialise(one_class.raw(scored, key_cols, "_one_class"), "raw-scores")
+    scored = forest.raw(scored, key_cols, "_isolation", counts=counts)
+    return materialise(one_class.raw(scored, key_cols, "_one_class", counts=counts), "raw-scores")
 
 
 def _ranges(raw: DataFrame, group_cols: Sequence[str]) -> DataFrame:

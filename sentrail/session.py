@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _roots: dict[str, str] = {}
@@ -67,5 +68,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._known_rows = seen.get["rows"]  # counted while writing
+    return written
+
+
+def known_rows(df: DataFrame) -> int | None:
+    """Row count of a frame that ``materialise`` returned, None for any other."""
+    return getattr(df, "_known_rows", None)
