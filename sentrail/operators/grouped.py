@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sentrail.session import known_rows
+from sentrail.session import row_count
 
 BROADCAST_BYTES = 64 << 20
 SALTS = 64
@@ -25,8 +25,8 @@ def join_small(
 ) -> DataFrame:
     """Join a per-group table to the rows it describes.
 
-    ``small`` should come from ``materialise``, which knows its row count; anything else is
-    counted first. It is broadcast only within ``max_bytes``. Beyond that each of its rows is repeated once
+    ``small`` should come from ``materialise``, where counting it is cheap. It is counted first
+    and broadcast only within ``max_bytes``. Beyond that each of its rows is repeated once
     per salt and the join runs on (keys, salt), so a hot group still spreads over many tasks.
     """
     if fits_broadcast(small, row_bytes, max_bytes):
@@ -36,9 +36,7 @@ def join_small(
 
 def fits_broadcast(small: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether a table is small enough to send to every executor."""
-    limit = max(1, max_bytes // row_bytes)
-    rows = known_rows(small)
-    return (rows if rows is not None else small.limit(limit + 1).count()) <= limit
+    return row_count(small) <= max(1, max_bytes // row_bytes)
 
 
 def salted_join(left: DataFrame, small: DataFrame, on: Sequence[str], how: str, salts: int = SALTS) -> DataFrame:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -346,10 +346,9 @@ def _settle(vectors: DataFrame, centroids: DataFrame, shape: _Shape, max_iter: i
             .withColumn("_near", F.expr(shape.nearest(k)))
             .withColumn("_k", F.expr(f"CASE {first} END"))
         )
-        step = assigned.groupBy(*group).agg(*kept, *sums).selectExpr("*", *moved).selectExpr("*", shift)
-        watched = Observation()
-        step = step.observe(watched, F.max("_shift").alias("shift"))
-        centroids = materialise(step.selectExpr(*group, *renamed), "kmeans-centroids")
-        if (watched.get["shift"] or 0.0) <= tol * tol:
+        step = assigned.groupBy(*group).agg(*kept, *sums).selectExpr("*", *moved).selectExpr(*group, *renamed, shift)
+        moved_to = materialise(step, "kmeans-centroids")
+        centroids = moved_to.drop("_shift")
+        if moved_to.where(F.col("_shift") > tol * tol).isEmpty():
             break
     return centroids

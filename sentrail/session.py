@@ -6,8 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _roots: dict[str, str] = {}
@@ -68,13 +67,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    written = spark.read.schema(df.schema).parquet(path)
-    written._known_rows = seen.get["rows"]  # counted while writing
-    return written
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def known_rows(df: DataFrame) -> int | None:
-    """Row count of a frame that ``materialise`` returned, None for any other."""
-    return getattr(df, "_known_rows", None)
+def row_count(df: DataFrame) -> int:
+    """Rows of a written table, counted once (Parquet keeps the count in its footers)."""
+    if not hasattr(df, "_row_count"):
+        df._row_count = df.count()
+    return df._row_count

@@ -147,9 +147,9 @@ def test_windows_of_every_length(spark):
     assert found == {("hour", 1, 2), ("hour", 1, 3), ("day", 2, 5), ("week", 2, 5), ("month", 2, 5)}
 
 
-def test_classifier_study_separates_an_easy_target(spark):
-    rows = [(i, float(i % 10), float(i % 3), int(i % 10 >= 5)) for i in range(120)]
+def test_classifier_study_finds_a_noisy_target(spark):
+    rows = [(i, float(i * 7 % 10), float(i % 3), int((i * 7 % 10 >= 5) != (i % 11 == 0))) for i in range(120)]
     df = spark.createDataFrame(rows, "id long, a double, b double, t int")
-    found = {r.classifier: r for r in classify.cross_validated_accuracy(df, ["a", "b"], "t", ["id"], trees=3).collect()}
+    found = {r.classifier: r for r in classify.cross_validated_accuracy(df, ["a", "b"], "t", ["id"], trees=2, folds=2).collect()}
     assert set(found) == set(classify.CLASSIFIERS)
-    assert found["random_forest"].continuous > 95 and found["logistic_regression"].discrete_onehot > 95
+    assert found["random_forest"].continuous > 80 and found["logistic_regression"].discrete_onehot > 80

@@ -20,11 +20,13 @@ def test_stream_equals_batch_and_resumes(spark, sf, folder):
     def scored(rows):
         return score_events(rows, "demo_traffic", ["num1", "num2"], ["cat1"], EVENT_SCORER, ALERT_WEIGHTS, {"num1": (50.0, 10.0)})
 
-    stream = scored(topic.stream_files(spark, folder + "/in", messages.schema))
+    def stream():
+        return scored(topic.stream_files(spark, folder + "/in", messages.schema))
+
     for part in (messages.where(half), messages.where(~half)):
         part.write.mode("append").parquet(folder + "/in")
-        run(stream, folder)
-    run(stream, folder)  # nothing new arrived
+        run(stream(), folder)
+    run(stream(), folder)  # nothing new arrived
     batch = scored(messages)
     out = spark.read.schema(batch.schema).parquet(folder + "/out")
     assert out.count() == batch.count() and out.exceptAll(batch).isEmpty()
