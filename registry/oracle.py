@@ -284,6 +284,7 @@ ORACLE: dict[str, str] = {
       select event_id, round(exp(-0.5e0 * power((value - a) / s, 2)) / (s * sqrt(2e0 * pi())), 9) density from events, f""",
     "event_batch_scoring": EVENT_SCORES,
     "event_stream_scoring": EVENT_SCORES,
+    "model_store_roundtrip": f"with {AGG} select name, type, y, m, d, true as same from agg",
     "request_routing": """select c_custkey request_id, case when c_custkey % 5 <> 0 then 'os_log' else 'other_log' end source,
         case when c_custkey % 2 = 0 then 'entity' when c_custkey % 3 <> 0 then 'user' end as type,
         case when c_custkey % 2 = 0 then concat('10.0.0.', cast(c_custkey % 40 as varchar))

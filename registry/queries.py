@@ -237,7 +237,9 @@ def profile_windows(spark, sf):
 
 @query
 def profile_windows_stream(spark, sf):
-    events = I.table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), "user_id", I.k().alias("k"))
+    # watermarks need an instant; the same one in any session time zone
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', cast(ts as timestamp_ntz))")
+    events = I.table(spark, sf, "events").select(F.timestamp_micros(micros).alias("ts"), "user_id", I.k().alias("k"))
     incoming, out, mark = (scratch_path(spark, n) for n in ("arriving", "windows", "windows-checkpoint"))
     events.write.parquet(incoming)
     stream = topic.stream_files(spark, incoming, events.schema)
@@ -500,7 +502,7 @@ def model_store_roundtrip(spark, sf):
     kept = daily.score(day_rows, models, KEYS).select(*KEYS, F.col("pas").alias("pas_before"))
     again = daily.score(day_rows, daily.load(spark, path), KEYS).select(*KEYS, F.col("pas").alias("pas_after"))
     both = materialise(kept, "before").join(materialise(again, "after"), KEYS)
-    return both.withColumn("same", F.col("pas_before") == F.col("pas_after"))
+    return both.select(*KEYS, (F.col("pas_before") == F.col("pas_after")).alias("same"))
 
 
 def _requests(spark, sf):

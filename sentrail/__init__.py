@@ -1,0 +1 @@
+"""Entity anomaly analytics on PySpark."""

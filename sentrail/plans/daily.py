@@ -18,6 +18,8 @@ from sentrail.operators.kmeans import CONSTANT_SCORE, GroupedDistanceModel, fit_
 from sentrail.operators.ocsvm import OneClassModel, fit_one_class
 from sentrail.operators.scoring import zscore_text, zscores
 from sentrail.session import materialise
+from sentrail.sources.sinks import create_score_table, score_rows, write_scores_table
+from sentrail.sources.tables import profile_days
 
 # raw score of each detector -> its 0-100 score, and the score of a constant training set
 DETECTORS = {
@@ -104,13 +106,35 @@ def train_and_score(
     n_trees: int = TREES,
     seed: int = 42,
     time_window: str = "day",
+    models_path: str | None = None,
 ) -> DataFrame:
-    """Train and score the same profiles; every group's raw scores are worked out once."""
+    """Train and score the same profiles; every group's raw scores are worked out once. With
+    ``models_path`` the models are kept there for later scoring."""
     profiles = materialise(profiles, "profiles")
     detectors = _fit_detectors(profiles, num_cols, cat_cols, group_cols, key_cols, n_trees, seed)
     raw = _raw_scores(profiles, detectors, key_cols)
-    finished = _finish(raw, _ranges(raw, group_cols), num_cols, group_cols)
-    return finished.withColumn("time_window", F.lit(time_window))
+    models = ProfileModels(*detectors, _ranges(raw, group_cols), tuple(group_cols))
+    if models_path is not None:
+        save(profiles.sparkSession, models, models_path)
+    return _finish(raw, models.ranges, num_cols, group_cols).withColumn("time_window", F.lit(time_window))
+
+
+def run(
+    spark: SparkSession,
+    profile_table: str,
+    score_table: str,
+    last_day: str,
+    days: int,
+    execution_ms: int,
+    models_path: str | None = None,
+    **options,
+) -> None:
+    """The daily job: the last ``days`` days of a profile table, all days and actor types at once,
+    into the score table. Running it again replaces the same days."""
+    profiles = profile_days(spark.table(profile_table), last_day, days)
+    scores = train_and_score(profiles, models_path=models_path, **options)
+    create_score_table(spark, score_table)
+    write_scores_table(score_rows(scores, execution_ms), score_table)
 
 
 def save(spark: SparkSession, models: ProfileModels, path: str) -> None:

@@ -89,3 +89,15 @@ def test_score_table_ddl_and_insert_by_name(spark, scored):
     stored = spark.table("profile_scores_test")
     assert stored.select(rows.columns).exceptAll(rows).isEmpty()
     spark.sql("DROP TABLE profile_scores_test")
+
+
+def test_daily_job_reads_its_days_and_can_run_again(spark, activity, folder):
+    sinks.by_day(activity).write.partitionBy("y", "m", "d").format("parquet").saveAsTable("daily_profiles_test")
+    wanted = activity.where("m = 1 and d in (2, 3)")
+    for _ in range(2):
+        daily.run(spark, "daily_profiles_test", "daily_scores_test", "2024-01-03", 2, 7, folder + "/m", n_trees=10)
+    stored = spark.table("daily_scores_test")
+    assert stored.count() == wanted.count() and stored.select(KEYS).exceptAll(wanted.select(KEYS)).isEmpty()
+    assert daily.load(spark, folder + "/m") is not None
+    spark.sql("DROP TABLE daily_profiles_test")
+    spark.sql("DROP TABLE daily_scores_test")
