@@ -15,9 +15,11 @@ given by their ids' checksum; a null doc_id comes first. Extra columns are ignor
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from sentrail.llm.words import blocks
 from sentrail.operators.grouped import join_small
@@ -32,62 +35,115 @@ from sentrail.session import materialise
 
 END = 2
 #: encoded words that a task keeps before it starts anew
-CACHE = 400_000
+CACHE = 600_000
+#: bytes of text encoded together
+BLOCK = 2 << 20
 #: bytes of text to a file, about
 FILE_BYTES = 32 << 20
 ROW = "doc_id long, place long, n_tokens long, ids array<int>"
-_BLANKS = str.maketrans("\n\t\r", "   ")
 
 
-@lru_cache(maxsize=1)
-def _tokenizer(path: str) -> Tokenizer:
-    return Tokenizer.from_file(path)
+_LAST_LATIN = "\u024f"  # letters up to here have one form and no marks
+_PROBES = ("a", "Word", "word,", "Été.", "ñandú", "groß", "straße,", "łódź")
+_BYTES = ByteLevel(add_prefix_space=False, use_regex=False)
+
+
+class _Numbers(dict):
+    """Numbers words as they are first asked for, and notes the new ones."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
 
 
 class WordEncoder:
-    """Encodes texts by their words; each distinct word is encoded once while it is kept."""
+    """Encodes texts by their words; each distinct word is encoded once while it is kept.
+
+    A word of Latin letters, with or without a full stop or comma after it, goes straight to the tokenizer's model
+    in lower case; all other words go through the whole tokenizer. Whether that shortcut holds for a tokenizer
+    is tried on ``_PROBES`` first.
+    """
 
     def __init__(self, tokenizer: Tokenizer, most: int = CACHE):
-        self.tokenizer, self.most = tokenizer, most
+        self.tokenizer, self.model, self.most = tokenizer, tokenizer.model, most
+        self.stops = {stop: self._whole([stop])[0] for stop in ".,"}
+        self.direct = all(self._simple(word) == self._whole([word])[0] for word in _PROBES)
         self._reset()
 
     def _reset(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids = np.zeros(0, dtype=np.int32)
-        self.ends = np.zeros(1, dtype=np.int64)
+        self.number = _Numbers()
+        self.ids, self.bounds = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
+
+    def _whole(self, words: list[str]) -> list[list[int]]:
+        return [item.ids for item in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _simple(self, word: str) -> list[int] | None:
+        """Ids of a word of Latin letters, else None."""
+        stop = self.stops.get(word[-1:])
+        stem = (word if stop is None else word[:-1]).lower()
+        if not stem.isalpha():
+            return None
+        if not stem.isascii():
+            if max(stem) > _LAST_LATIN:
+                return None
+            stem = _BYTES.pre_tokenize_str(stem)[0][0]
+        ids = [token.id for token in self.model.tokenize(stem)]
+        return ids if stop is None else ids + stop
 
     def _learn(self, words: list[str]) -> None:
-        found = [item.ids for item in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        for word in words:
-            self.number[word] = len(self.number)
+        found = list(map(self._simple, words)) if self.direct else [None] * len(words)
+        others = [k for k, ids in enumerate(found) if ids is None]
+        for k, ids in zip(others, self._whole([words[k] for k in others]), strict=True):
+            found[k] = ids
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        flat = np.fromiter((i for ids in found for i in ids), dtype=np.int32, count=int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(sizes.sum()))
         self.ids = np.concatenate([self.ids, flat])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
+
+    def _words(self, text: str) -> list[str]:
+        if self.direct:
+            try:
+                text.encode("latin-1")  # whose letters have one lower case each
+            except UnicodeEncodeError:
+                pass
+            else:
+                text = text.lower()
+        return text.replace("\n", " ").replace("\t", " ").split(" ")
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each has."""
         if len(self.number) > self.most:
             self._reset()
-        words = [text.translate(_BLANKS).split(" ") if "\n" in text or "\t" in text or "\r" in text else text.split(" ") for text in texts]
-        number = self.number
-        new = dict.fromkeys(word for part in words for word in part if word not in number)
-        if new:
-            self._learn(list(new))
-        places = np.fromiter((number[word] for part in words for word in part), dtype=np.int64)
-        sizes = self.ends[places + 1] - self.ends[places]
+        words = [self._words(text) for text in texts]
+        places = np.fromiter(map(self.number.__getitem__, chain.from_iterable(words)), dtype=np.int64)
+        if self.number.new:
+            self._learn(self.number.new)
+            self.number.new = []
+        sizes = self.bounds[places + 1] - self.bounds[places]
         last = np.cumsum(sizes)
-        take = np.arange(int(last[-1]) if len(last) else 0) + np.repeat(self.ends[places] - (last - sizes), sizes)
+        take = np.arange(int(last[-1]) if len(last) else 0) + np.repeat(self.bounds[places] - (last - sizes), sizes)
         total = np.concatenate([[0], last])[np.concatenate([[0], np.cumsum([len(part) for part in words])]).astype(np.int64)]
         return self.ids[take], np.diff(total)
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """One for all tasks of a Python worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already take all cores
+    return WordEncoder(Tokenizer.from_file(path))
+
+
 def _encoded(docs: DataFrame, path: str, end: int, cut_at_blanks: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(_tokenizer(path))
+        encoder = _encoder(path)
         before = 0
         for batch in batches:
-            for block in blocks(batch, "text"):
+            for block in blocks(batch, "text", BLOCK):
                 texts = block.column("text").fill_null("").to_pylist()
                 if cut_at_blanks:
                     ids, counts = encoder.encode(texts)
