@@ -8,12 +8,13 @@ are cut into bands; for each band, with n its upper end, a sketch has more than
 
 1. Documents with equal sets form a class, named by 64 bits of the set's hash; only classes are compared.
 2. Each class sends a key per segment for its own band, and for the next one where a larger partner may be
-   there (index). The d + 1 segments with most odd bits of its own band are marked (probe).
+   there (index). Of its own band, the d + 1 segments with most rare shingles are marked (probe); which shingles
+   are common is read off a bounded sample and decides the cost, never the result.
 3. Keys with two classes and a probe survive. Classes of one key are first checked against the least of them;
    confirmed links are joined into components, and keys whose classes share one component are done.
    This repeats with other centres while it merges, and at last every remaining pair of different
    components under a key is checked. A group of copies costs about one check each, not one per pair.
-4. A check compares a short sketch of both sets (512 bits), then the shingle sets themselves.
+4. A check compares sizes and a short sketch of both sets (512 bits), then the shingle sets themselves.
 
 The result is exact up to 64-bit hash collisions, and the same for any partitioning: nothing is capped. Null
 and empty texts have an empty set and link with nothing; a short text is one shingle; repeated rows share a
@@ -23,144 +24,194 @@ ignored by ``near_duplicates`` and kept by ``keep_one``.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sentrail.llm.arrow import add_columns, longs
 from sentrail.llm.components import components
-from sentrail.llm.words import BY_SPACE, blocks, mix, split
+from sentrail.llm.words import BY_SPACE, blocks, mix, split, windows
 from sentrail.session import materialise, row_count
 
 SHINGLE = 4
 SIMILARITY = 85
 BAND = 1.5
 SEGMENT_BITS = 4096
-SHORT_BITS = 512
+SHORT_LONGS = 8
 #: centre rounds before all remaining pairs are checked, whatever their number
 ROUNDS = 6
+#: pairs left per row at which they are checked at once
+MANY = 16
+#: documents looked at for common shingles (only the choice of probes depends on them), and how often one must occur
+COMMON_SAMPLE = 4_000
+COMMON_FROM = 8
 
 _ZOBRIST = mix(np.arange(1, SEGMENT_BITS + 1, dtype=np.uint64))
+_RADIX = np.uint64(0x9E3779B97F4A7C15)
+#: largest set size of each band
+UPPER = np.unique(np.floor(BAND ** np.arange(1, 90)).astype(np.int64))
 
 
-def differences(size: int, similarity: int) -> int:
+def differences(size: np.ndarray | int, similarity: int) -> np.ndarray | int:
     """Most shingles that two linked sets of at most ``size`` shingles can differ in."""
     return (2 * size * (100 - similarity)) // (100 + similarity)
 
 
-def segments(band: int, similarity: int) -> tuple[int, int]:
-    """Number of segments of a band's sketches, and how many of them a probe chooses."""
-    probes = differences(upper(band), similarity) + 1
-    return probes + (probes // 16 + 1 if probes > 1 else 0), probes
-
-
-def band_of(size: int) -> int:
-    band = max(0, int(math.log(size) / math.log(BAND)))
-    while size > upper(band):
-        band += 1
-    while band and size <= upper(band - 1):
-        band -= 1
-    return band
-
-
-def upper(band: int) -> int:
-    """Largest set size of a band."""
-    return int(BAND ** (band + 1))
-
-
-def shingle_sets(block: pa.RecordBatch, shingle: int) -> Iterator[np.ndarray]:
-    """Sorted distinct shingle hashes of each text of the block."""
-    words = split(block.column("text"), BY_SPACE, lower=True)
-    hashes = words.hashes()
-    for low, high in zip(words.of[:-1].tolist(), words.of[1:].tolist(), strict=True):
-        size = min(shingle, high - low)
-        out = np.full(max(0, high - low - size + 1) if size else 0, size, dtype=np.uint64)
-        for k in range(size):
-            out = mix(out * np.uint64(0x9E3779B97F4A7C15) + hashes[low + k : low + k + len(out)])
-        yield np.unique(out)
-
-
-def _class_id(shingles: np.ndarray) -> int:
-    """64 bits from the set, never 0; the sign bit stays clear."""
-    if not len(shingles):
-        return 0
-    total = mix(np.add.reduce(mix(shingles), keepdims=True) + np.uint64(len(shingles)))
-    return (int(total[0]) >> 1) | 1 << 62
-
-
-def segment_keys(shingles: np.ndarray, band: int, similarity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Key of every segment of the set's sketch for a band, and its number of tokens (even toggles cancel in the key)."""
-    count, _ = segments(band, similarity)
-    spread = mix(shingles ^ np.uint64(0x5851F42D4C957F2D))
-    segment = ((spread >> np.uint64(32)) % np.uint64(count)).astype(np.int64)
+def segments(similarity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every band: the number of segments of its sketches, and how many of them a probe chooses."""
+    probes = differences(UPPER, similarity) + 1
+    return np.where(probes > 1, probes + probes // 8 + 1, 1), probes
+
+
+@dataclass
+class Sets:
+    """Sorted distinct shingle hashes of a block's texts, end to end; text k has those from of[k] to of[k + 1]."""
+
+    shingles: np.ndarray
+    of: np.ndarray
+
+    @property
+    def sizes(self) -> np.ndarray:
+        return np.diff(self.of)
+
+    def owner(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.of) - 1), self.sizes)
+
+    def take(self, rows: np.ndarray) -> Sets:
+        sizes = self.sizes[rows]
+        ends = np.cumsum(sizes)
+        places = np.arange(int(sizes.sum())) + np.repeat(self.of[:-1][rows] - (ends - sizes), sizes)
+        return Sets(self.shingles[places], np.concatenate([[0], ends]))
+
+    def classes(self) -> np.ndarray:
+        """62 bits of each set's hash and one that is always set; 0 for an empty set."""
+        total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(self.shingles), dtype=np.uint64)])
+        summed = mix(total[self.of[1:]] - total[self.of[:-1]] + self.sizes.astype(np.uint64))
+        return np.where(self.sizes > 0, (summed >> np.uint64(2) | np.uint64(1 << 61)).view(np.int64), 0)
+
+    def short_sketches(self) -> np.ndarray:
+        """One row of SHORT_LONGS 64-bit words for each text: the parity of its shingles by bit."""
+        bits = 64 * SHORT_LONGS
+        place = self.owner() * bits + (mix(self.shingles) >> np.uint64(7)).astype(np.int64) % bits
+        odd = (np.bincount(place, minlength=len(self.sizes) * bits) & 1).astype(np.uint8)
+        return np.packbits(odd).view(np.int64).reshape(-1, SHORT_LONGS)
+
+
+def shingle_sets(column: pa.Array, shingle: int) -> Sets:
+    words = split(column, BY_SPACE, lower=True)
+    hashes, counts = words.hashes(), words.counts
+    made, first = windows(hashes, words.of, shingle)
+    per_text = np.maximum(counts - shingle + 1, 0)
+    short = np.flatnonzero((counts > 0) & (counts < shingle))
+    sizes = per_text.copy()
+    sizes[short] = 1
+    of = np.concatenate([[0], np.cumsum(sizes)])
+    flat = np.empty(int(of[-1]), dtype=np.uint64)
+    whole = np.ones(len(flat), dtype=bool)
+    whole[of[:-1][short]] = False
+    flat[whole] = made
+    for text in short.tolist():  # a short text is one shingle, told from others by its number of words
+        one = np.full(1, counts[text], dtype=np.uint64)
+        for word in range(words.of[text], words.of[text + 1]):
+            one = mix(one * _RADIX + hashes[word])
+        flat[of[text]] = one[0]
+    for low, high in zip(of[:-1].tolist(), of[1:].tolist(), strict=True):
+        flat[low:high].sort()
+    new = np.ones(len(flat), dtype=bool)
+    new[1:] = flat[1:] != flat[:-1]
+    new[of[:-1][sizes > 0]] = True
+    return Sets(flat[new], np.concatenate([[0], np.cumsum(new)])[of])
+
+
+def segment_keys(sets: Sets, bands: np.ndarray, similarity: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, key, rare tokens) of every segment of the sets' sketches for the given bands.
+
+    A key is the exclusive or of the numbers of the segment's odd bits, so equal segments have equal keys.
+    """
+    count = segments(similarity)[0][bands]
+    base = np.cumsum(count) - count
+    owner = sets.owner()
+    spread = mix(sets.shingles ^ np.uint64(0x5851F42D4C957F2D))
+    segment = base[owner] + ((spread >> np.uint64(32)) % count[owner].astype(np.uint64)).astype(np.int64)
     bit = _ZOBRIST[(spread & np.uint64(SEGMENT_BITS - 1)).astype(np.int64)]
     order = np.argsort(segment, kind="stable")
-    filled, first, sizes = np.unique(segment[order], return_index=True, return_counts=True)
-    parity = np.zeros(count, dtype=np.uint64)
-    parity[filled] = np.bitwise_xor.reduceat(bit[order], first) if len(first) else 0
-    tokens = np.zeros(count, dtype=np.int64)
-    tokens[filled] = np.where(parity[filled] != 0, sizes, 0)
-    name = mix(np.arange(count, dtype=np.uint64) + np.uint64(band << 40))
-    return mix(parity ^ name), tokens
-
-
-def _short(shingles: np.ndarray) -> bytes:
-    odd = np.bincount((mix(shingles) >> np.uint64(7)).astype(np.int64) & (SHORT_BITS - 1), minlength=SHORT_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
+    total = int(count.sum())
+    parity = np.zeros(total, dtype=np.uint64)
+    filled = np.flatnonzero(np.concatenate([[True], segment[order][1:] != segment[order][:-1]])) if len(order) else np.zeros(0, dtype=np.int64)
+    if len(filled):
+        parity[segment[order][filled]] = np.bitwise_xor.reduceat(bit[order], filled)
+    rare = np.ones(len(segment)) if not len(common) else 0.01 + (common[np.minimum(np.searchsorted(common, sets.shingles), len(common) - 1)] != sets.shingles)
+    tokens = np.where(parity != 0, np.bincount(segment, weights=rare, minlength=total), 0)
+    text = np.repeat(np.arange(len(count)), count)
+    number = np.arange(total) - base[text]
+    return text, mix(parity ^ mix((number + (bands[text] << 40)).astype(np.uint64))), tokens
+
+
+def _probes(text: np.ndarray, tokens: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """For each text, its ``wanted`` segments with most rare tokens."""
+    order = np.lexsort((-tokens, text))
+    first = np.searchsorted(text[order], np.arange(len(wanted)))
+    out = np.zeros(len(text), dtype=bool)
+    out[order] = np.arange(len(text)) - first[text[order]] < wanted[text[order]]
+    return out
+
+
+def common_shingles(docs: DataFrame, shingle: int) -> np.ndarray:
+    """Shingles that at least COMMON_FROM of about COMMON_SAMPLE documents hold."""
+    n = max(1, docs.count())
+    chosen = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit("common")), F.lit(1_000_000)) < int(min(1.0, COMMON_SAMPLE / n) * 1_000_000)).select("text")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch, "text"):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(block.column("text"), shingle).shingles.view(np.int64))], names=["shingle"])
 
-def _rows(shingles: np.ndarray, similarity: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(keys, probe marks) of a set for its own band and, where a partner may be there, the next."""
-    band = band_of(len(shingles))
-    keys, tokens = segment_keys(shingles, band, similarity)
-    probe = np.zeros(len(keys), dtype=bool)
-    probe[np.argsort(-tokens, kind="stable")[: segments(band, similarity)[1]]] = True
-    yield keys, probe
-    # a partner has at most 100/similarity times the shingles
-    if len(shingles) * 100 >= similarity * (upper(band) + 1):
-        keys, _ = segment_keys(shingles, band + 1, similarity)
-        yield keys, np.zeros(len(keys), dtype=bool)
+    counted = chosen.mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON_FROM)
+    # bounded by the sample: its shingles over COMMON_FROM
+    return np.sort(np.array([row["shingle"] for row in counted.collect()], dtype=np.int64).view(np.uint64))
 
 
 def class_table(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, n_shingles, class and short sketch of every document. Lazy, no shuffle."""
+    """doc_id, n_shingles, class and short sketch (h0, h1, ...) of every document. Lazy, no shuffle."""
+    names = ["doc_id", "n_shingles", "class", *[f"h{k}" for k in range(SHORT_LONGS)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, "text"):
-                sets = list(shingle_sets(block, shingle))
-                columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([_class_id(s) for s in sets], pa.int64()), pa.array([_short(s) for s in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays([block.column("doc_id"), *columns], names=["doc_id", "n_shingles", "class", "short"])
+                sets = shingle_sets(block.column("text"), shingle)
+                sketch = sets.short_sketches()
+                columns = [pa.array(sets.sizes), pa.array(sets.classes()), *[pa.array(sketch[:, k]) for k in range(SHORT_LONGS)]]
+                yield pa.RecordBatch.from_arrays([block.column("doc_id"), *columns], names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, class long, short binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
 def key_table(docs: DataFrame, shingle: int, similarity: int) -> DataFrame:
-    """(key, class, probe) of every class, sent once per task however many copies of it the task holds."""
+    """(key, class and probe mark) of every class, sent once per task however many copies of it the task holds."""
+    common = common_shingles(docs, shingle)
+    wanted = segments(similarity)[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             for block in blocks(batch, "text"):
-                keys, names, probes = [], [], []
-                for shingles in shingle_sets(block, shingle):
-                    name = _class_id(shingles)
-                    if not name or name in seen:
-                        continue
-                    seen.add(name)
-                    for key, probe in _rows(shingles, similarity):
-                        keys.append(key)
-                        names.append(np.full(len(key), name, dtype=np.int64))
-                        probes.append(probe)
-                if keys:
-                    # the mark is the lowest bit of the class, which keeps a row at two numbers
-                    marked = (np.concatenate(names) << 1) | np.concatenate(probes)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(marked)], names=["key", "marked"])
+                sets = shingle_sets(block.column("text"), shingle)
+                named = sets.classes()
+                new = [row for row, name in enumerate(named.tolist()) if name and not (name in seen or seen.add(name))]
+                sets, named = sets.take(np.array(new, dtype=np.int64)), named[new]
+                bands = np.searchsorted(UPPER, sets.sizes)
+                text, key, tokens = segment_keys(sets, bands, similarity, common)
+                # the mark is the lowest bit beside the class, which keeps a row at two numbers
+                own = (named[text] << 1) | _probes(text, tokens, wanted[bands])
+                # a larger partner, in the next band, has at most 100 / similarity times the shingles
+                up = np.flatnonzero(sets.sizes * 100 >= similarity * (UPPER[bands] + 1))
+                above, key_above, _ = segment_keys(sets.take(up), bands[up] + 1, similarity, common)
+                keys = np.concatenate([key, key_above]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate([own, named[up][above] << 1]))], names=["key", "marked"])
 
     return docs.select("text").mapInArrow(run, "key long, marked long")
 
@@ -177,61 +228,63 @@ def _jaccard(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: int)
     """Of (x, y) class pairs, those whose sets link. Each side's text is joined in turn; sets are made in the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int, np.ndarray] = (0, np.zeros(0, dtype=np.uint64))
+        last = (0, np.zeros(0, dtype=np.uint64))
         for batch in batches:
             for block in blocks(batch, "text"):
-                xs, ys = block.column("x").to_pylist(), block.column("y").to_pylist()
-                others = shingle_sets(block, shingle)
+                xs, others = block.column("x").to_pylist(), shingle_sets(block.column("text"), shingle)
                 keep = []
-                for row, (x, other) in enumerate(zip(xs, others, strict=True)):
-                    if last[0] != x:
-                        one = pa.RecordBatch.from_arrays([block.column("text_x").slice(row, 1)], names=["text"])
-                        last = (x, next(shingle_sets(one, shingle)))
+                for row, x in enumerate(xs):
+                    if last[0] != x:  # rows come in the order of x
+                        last = (x, shingle_sets(block.column("text_x").slice(row, 1), shingle).shingles)
+                    other = others.shingles[others.of[row] : others.of[row + 1]]
                     common = len(np.intersect1d(last[1], other, assume_unique=True))
                     if 100 * common >= similarity * (len(last[1]) + len(other) - common):
                         keep.append(row)
-                yield pa.RecordBatch.from_arrays([pa.array([xs[k] for k in keep], pa.int64()), pa.array([ys[k] for k in keep], pa.int64())], names=["x", "y"])
+                yield block.select(["x", "y"]).take(pa.array(keep, pa.int64()))
 
     of_y = pairs.join(texts.withColumnRenamed("class", "y"), "y")
     of_x = texts.select(F.col("class").alias("x"), F.col("text").alias("text_x"))
     return of_y.join(of_x, "x").select("x", "y", "text", "text_x").mapInArrow(run, "x long, y long")
 
 
-def _plausible(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
-    """Pairs whose sizes and short sketches allow a link: Hamming distance is at most the symmetric difference."""
-    facts = classes.select("class", "n_shingles", "short")
-    side = lambda name: facts.select(F.col("class").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("short").alias(f"s_{name}"))
-    joined = pairs.join(side("x"), "x").join(side("y"), "y")
-    words = [F.conv(F.hex(F.substring(f"s_{name}", 8 * k + 1, 8)), 16, -10).cast("long") for k in range(SHORT_BITS // 64) for name in "xy"]
-    distance = sum((F.bit_count(a.bitwiseXOR(b)) for a, b in zip(words[::2], words[1::2], strict=True)), F.lit(0))
-    larger, smaller = F.greatest("n_x", "n_y"), F.least("n_x", "n_y")
-    near = (100 * smaller >= similarity * larger) & ((100 + similarity) * distance <= (100 - similarity) * (F.col("n_x") + F.col("n_y")))
-    return joined.filter(near).select("x", "y")
+def _near(one: str, two: str, similarity: int) -> Column:
+    """Sizes and short sketches allow a link: the sketches' Hamming distance is at most the symmetric difference."""
+    distance = " + ".join(f"bit_count({one}.h{k} ^ {two}.h{k})" for k in range(SHORT_LONGS))
+    sizes = f"100 * least({one}.n_shingles, {two}.n_shingles) >= {similarity} * greatest({one}.n_shingles, {two}.n_shingles)"
+    return F.expr(f"{sizes} and {100 + similarity} * ({distance}) <= {100 - similarity} * ({one}.n_shingles + {two}.n_shingles)")
+
+
+_PAIR = ("least(one.class, two.class) as x", "greatest(one.class, two.class) as y")
 
 
-def _texts(docs: DataFrame, alive: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+def _texts(docs: DataFrame, alive: DataFrame, shingle: int) -> DataFrame:
     """One text of every class that may have partners."""
-    holders = alive.select("class").distinct().join(classes, "class").select("class", "doc_id")
+    holders = alive.select("class", "doc_id").distinct()
     found = docs.select(F.col("doc_id").cast("long"), "text").join(holders, "doc_id").select("class", "text")
-    # where an id stands for different texts, only the one of that set counts
-    named = lambda block: [np.array([_class_id(s) for s in shingle_sets(block, shingle)], dtype=np.int64)]
-    return materialise(add_columns(found, longs("_class"), named).filter("class = _class").drop("_class"), "texts")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch, "text"):
+                # where an id stands for different texts, only the one of that set counts
+                right = shingle_sets(block.column("text"), shingle).classes() == block.column("class").to_numpy()
+                yield block.filter(pa.array(right))
+
+    return materialise(found.mapInArrow(run, found.schema), "texts")
 
 
-def _centred(alive: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each key's centre, its least class in an order that changes each round, with classes of other components."""
+def _centred(alive: DataFrame, turn: int, similarity: int) -> DataFrame:
+    """Near pairs of each key's centre, its least class in an order that changes each round, with classes of other components."""
     rank = F.col("class") if turn == 0 else F.xxhash64("class", F.lit(turn))
-    order = F.struct(rank.alias("rank"), "class", "component")
-    centres = alive.groupBy("key").agg(F.min(order).alias("c")).select("key", F.col("c.class").alias("centre"), F.col("c.component").alias("centred"))
-    joined = alive.join(centres, "key").filter("component <> centred")
-    return joined.select(F.least("class", "centre").alias("x"), F.greatest("class", "centre").alias("y")).distinct()
+    facts = [name for name in alive.columns if name not in ("key", "probe")]
+    centres = alive.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), *facts)).alias("c")).select("key", "c.*")
+    joined = alive.alias("one").join(centres.alias("two"), "key").filter("one.component <> two.component").filter(_near("one", "two", similarity))
+    return joined.selectExpr(*_PAIR).distinct()
 
 
-def _all_pairs(alive: DataFrame) -> DataFrame:
-    """Pairs under a key that different components and a probe hold."""
-    side = lambda name: alive.select("key", *[F.col(c).alias(f"{c}_{name}") for c in ("class", "component", "probe")])
-    joined = side("x").join(side("y"), "key").filter("component_x < component_y and probe_x + probe_y > 0")
-    return joined.select(F.least("class_x", "class_y").alias("x"), F.greatest("class_x", "class_y").alias("y")).distinct()
+def _all_pairs(alive: DataFrame, similarity: int) -> DataFrame:
+    """Near pairs under a key that different components and a probe hold."""
+    test = F.expr("one.key = two.key and one.component < two.component and one.probe + two.probe > 0")
+    return alive.alias("one").join(alive.alias("two"), test & _near("one", "two", similarity)).selectExpr(*_PAIR).distinct()
 
 
 def _unsettled(alive: DataFrame, parts: DataFrame) -> DataFrame:
@@ -252,33 +305,33 @@ def _pairs_left(alive: DataFrame) -> int:
 
 def link_classes(docs: DataFrame, classes: DataFrame, shingle: int, similarity: int) -> DataFrame:
     """(node, component) of every class that links with another."""
-    alive = materialise(_survivors(key_table(docs, shingle, similarity)), "keys")
-    texts = _texts(docs, alive, classes, shingle)
-    alive = alive.withColumn("component", F.col("class"))
+    alive = materialise(_survivors(key_table(docs, shingle, similarity)).join(classes, "class").withColumn("component", F.col("class")), "keys")
+    texts = _texts(docs, alive, shingle)
     links = tested = docs.sparkSession.createDataFrame([], "x long, y long")
-    parts = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    turn, whole = 0, False
+    none = docs.sparkSession.createDataFrame([], "node long, component long")
+    parts, turn, whole = none, 0, False
     while True:
-        pairs = _all_pairs(alive) if whole else _centred(alive, turn)
-        pairs = materialise(_plausible(pairs.join(tested, ["x", "y"], "left_anti"), classes, similarity), "pairs")
-        found = materialise(_jaccard(pairs, texts, shingle, similarity), "found")
-        tested, links = tested.union(pairs), links.union(found)
-        if row_count(found):
-            parts = materialise(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))), "components")
+        pairs = _all_pairs(alive, similarity) if whole else _centred(alive, turn, similarity)
+        pairs = materialise(pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
+        if row_count(pairs):
+            found = materialise(_jaccard(pairs, texts, shingle, similarity), "found")
+            tested, links = tested.union(pairs), links.union(found)
+            if row_count(found):
+                parts = materialise(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))), "components")
         if whole:
             return parts
         alive = _unsettled(alive, parts)
         if not row_count(alive):
             return parts
         turn += 1
-        whole = turn == ROUNDS or _pairs_left(alive) <= 4 * row_count(alive)
+        whole = turn == ROUNDS or _pairs_left(alive) <= MANY * row_count(alive)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest doc_id with the same set) and component_id of every document."""
     table = materialise(class_table(docs, shingle), "classes")
     classes = materialise(
-        table.filter("class <> 0 and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("short").alias("short")),
+        table.filter("class <> 0 and doc_id is not null").groupBy("class").agg(*[F.min(name).alias(name) for name in table.columns if name != "class"]),
         "class_facts",
     )
     parts = link_classes(docs, classes, shingle, similarity)

@@ -46,6 +46,7 @@ ROW = "doc_id long, place long, n_tokens long, ids array<int>"
 _LAST_LATIN = "\u024f"  # letters up to here have one form and no marks
 _PROBES = ("a", "Word", "word,", "Été.", "ñandú", "groß", "straße,", "łódź")
 _BYTES = ByteLevel(add_prefix_space=False, use_regex=False)
+_MAPPED = {point: _BYTES.pre_tokenize_str(chr(point))[0][0] for point in range(0x80, ord(_LAST_LATIN) + 1)}
 
 
 class _Numbers(dict):
@@ -91,7 +92,7 @@ class WordEncoder:
         if not stem.isascii():
             if max(stem) > _LAST_LATIN:
                 return None
-            stem = _BYTES.pre_tokenize_str(stem)[0][0]
+            stem = stem.translate(_MAPPED)
         ids = [token.id for token in self.model.tokenize(stem)]
         return ids if stop is None else ids + stop
 
