@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentrail.session import materialise
+from sentrail.session import materialise, row_count
+
+#: links that one task takes in its stride; fewer are not dealt out at all
+TASK_LINKS = 500_000
+
+
+def _sized(links: DataFrame) -> DataFrame:
+    """Written links in one partition where they are few: the steps on them then need no exchange."""
+    return links.coalesce(1) if row_count(links) <= TASK_LINKS else links
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -31,11 +39,12 @@ def components(links: DataFrame) -> DataFrame:
     links = materialise(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     mark = None
     while True:
-        links = materialise(_star(_star(links, large=True), large=False), "links")
+        links = materialise(_star(_star(_sized(links), large=True), large=False), "links")
         now = links.agg(F.count("*"), F.coalesce(F.sum(F.hash("a", "b")), F.lit(0))).collect()[0]
         if mark == now:
             break
         mark = now
+    links = _sized(links)
     return links.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node").union(
         links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     ).groupBy("node").agg(F.min("component").alias("component"))

@@ -307,17 +307,17 @@ def link_classes(docs: DataFrame, classes: DataFrame, shingle: int, similarity:
     """(node, component) of every class that links with another."""
     alive = materialise(_survivors(key_table(docs, shingle, similarity)).join(classes, "class").withColumn("component", F.col("class")), "keys")
     texts = _texts(docs, alive, shingle)
-    links = tested = docs.sparkSession.createDataFrame([], "x long, y long")
-    none = docs.sparkSession.createDataFrame([], "node long, component long")
-    parts, turn, whole = none, 0, False
+    tested = docs.sparkSession.createDataFrame([], "x long, y long")
+    parts = docs.sparkSession.createDataFrame([], "node long, component long")
+    turn, whole = 0, False
     while True:
         pairs = _all_pairs(alive, similarity) if whole else _centred(alive, turn, similarity)
         pairs = materialise(pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
         if row_count(pairs):
             found = materialise(_jaccard(pairs, texts, shingle, similarity), "found")
-            tested, links = tested.union(pairs), links.union(found)
+            tested = tested.union(pairs)
             if row_count(found):
-                parts = materialise(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))), "components")
+                parts = materialise(components(parts.toDF("a", "b").union(found.toDF("a", "b"))), "components")
         if whole:
             return parts
         alive = _unsettled(alive, parts)
