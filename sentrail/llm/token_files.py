@@ -37,7 +37,7 @@ END = 2
 #: encoded words that a task keeps before it starts anew
 CACHE = 600_000
 #: bytes of text encoded together
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 #: bytes of text to a file, about
 FILE_BYTES = 32 << 20
 ROW = "doc_id long, place long, n_tokens long, ids array<int>"
