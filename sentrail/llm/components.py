@@ -11,14 +11,13 @@ from sentrail.session import materialise, row_count
 TASK_LINKS = 500_000
 
 
-def _sized(links: DataFrame) -> DataFrame:
-    """Written links in one partition where they are few: the steps on them then need no exchange."""
-    return links.coalesce(1) if row_count(links) <= TASK_LINKS else links
+def _star(links: DataFrame, large: bool, few: bool) -> DataFrame:
+    """Hang each node's larger (large) or smaller (small) neighbours on its least neighbour.
 
-
-def _star(links: DataFrame, large: bool) -> DataFrame:
-    """Hang each node's larger (large) or smaller (small) neighbours on its least neighbour."""
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    ``few`` links stay in one partition, where grouping and joining need no exchange.
+    """
+    sized = (lambda df: df.coalesce(1)) if few else (lambda df: df)
+    both = sized(links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     if not large:
         both = both.filter("b <= a")
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -27,7 +26,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         moved = joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         moved = joined.select("b", "m").union(least.select(F.col("a").alias("b"), "m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.filter("a <> b").distinct()
+    return sized(moved.filter("a <> b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -39,12 +38,11 @@ def components(links: DataFrame) -> DataFrame:
     links = materialise(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     mark = None
     while True:
-        links = materialise(_star(_star(_sized(links), large=True), large=False), "links")
+        few = row_count(links) <= TASK_LINKS
+        links = materialise(_star(_star(links, True, few), False, few), "links")
         now = links.agg(F.count("*"), F.coalesce(F.sum(F.hash("a", "b")), F.lit(0))).collect()[0]
         if mark == now:
             break
         mark = now
-    links = _sized(links)
-    return links.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node").union(
-        links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    ).groupBy("node").agg(F.min("component").alias("component"))
+    both = links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(links.select(F.col("b").alias("node"), F.col("b").alias("component")))
+    return (both.coalesce(1) if few else both).groupBy("node").agg(F.min("component").alias("component"))
