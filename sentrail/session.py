@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -41,7 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = context.getConf().get(CHECKPOINT_KEY) or context.getCheckpointDir()
     if configured:
         return configured
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):  # local-cluster has executors of its own
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors can reach")
     app = context.applicationId
     if app not in _roots:
