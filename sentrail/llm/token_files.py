@@ -38,8 +38,8 @@ END = 2
 CACHE = 600_000
 #: bytes of text encoded together
 BLOCK = 1 << 20
-#: bytes of text to a file, about
-FILE_BYTES = 32 << 20
+#: documents to a file, about
+FILE_ROWS = 10_000
 ROW = "doc_id long, place long, n_tokens long, ids array<int>"
 
 
@@ -164,8 +164,8 @@ def _encoded(docs: DataFrame, path: str, end: int, cut_at_blanks: bool) -> DataF
 def write_tokens(docs: DataFrame, folder: str, path: str, end: int = END, cut_at_blanks: bool = True) -> None:
     """Write the token files. Texts are dealt by ranges of doc_id, then encoded and written where they are."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).collect()[0][0]
-    dealt = docs.repartitionByRange(max(1, -(-size // FILE_BYTES)), F.col("doc_id")).sortWithinPartitions("doc_id", F.crc32(F.col("text").cast("binary")))
+    files = max(1, -(-docs.count() // FILE_ROWS))
+    dealt = docs.repartitionByRange(files, F.col("doc_id")).sortWithinPartitions("doc_id", F.crc32(F.col("text").cast("binary")))
     writer = _encoded(dealt, path, end, cut_at_blanks).write.option("orc.compress", "ZSTD").option("orc.create.index", "true")
     writer.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").option("orc.row.index.stride", "10000").orc(folder)
 

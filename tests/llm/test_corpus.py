@@ -380,7 +380,7 @@ def test_token_files(spark, sf):
 
 
 def test_token_files_of_several_ranges(spark, folder, monkeypatch):
-    monkeypatch.setattr(token_files, "FILE_BYTES", 200)
+    monkeypatch.setattr(token_files, "FILE_ROWS", 7)
     rows = [(k, f"text number {k} " * (k % 5)) for k in range(60)]
     token_files.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), f"{folder}/t", public_tokenizers.path("word_bpe_49k.json"))
     found = sorted(token_files.read_tokens(spark, f"{folder}/t").collect())
