@@ -174,6 +174,16 @@ ORACLE: dict[str, str] = {
     "capped_projection": """select cast(l_orderkey as int) l_orderkey, l_linenumber, cast(l_partkey as int) l_partkey,
         cast(l_suppkey as int) l_suppkey, cast(trunc(l_extendedprice) as int) l_extendedprice
       from (select * from lineitem order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice limit 50000)""",
+    "integer_projection": """select cast(l_orderkey as int) l_orderkey, cast(l_linenumber as int) l_linenumber,
+        cast(l_partkey as int) l_partkey, cast(l_suppkey as int) l_suppkey, cast(trunc(l_extendedprice) as int) l_extendedprice
+      from lineitem""",
+    "event_timestamps": """select event_id, epoch_us(ts) // 1000 wall_ms, epoch_us(ts) // 1000 - 32400000 instant_ms from events""",
+    "attribute_assembly_repeats": """with v as (
+        select l_orderkey actor, lower(l_returnflag) a, case when l_linenumber <> 3 then cast(l_quantity as int) end n,
+          case when l_linenumber = 3 then '?' else cast(cast(l_quantity as int) as varchar) end t from lineitem)
+      select actor, cast(x.n as double) a, cast(y.n as double) r, z.t n
+      from (select * from v where a = 'a') x join (select * from v where a = 'r') y using (actor)
+        join (select * from v where a = 'n') z using (actor)""",
     "json_profile_scan": f"""with {AGG} select name user_name, type, y, m, d,
         case when total_events > 3 then 'True' else 'False' end increase_activity,
         case when pri_count > 0 then 'True' else 'False' end lateral_movement,
@@ -186,6 +196,8 @@ ORACLE: dict[str, str] = {
       select actor, {", ".join(f"cast({a} as double) {a}" for a in ATTRIBUTES[:-1])}, not_specified from {_attribute_joins()}""",
     "event_intake": f"""with {MESSAGES}
       select num1, num2, cat1 from msg where event_type in ('click', 'view') order by event_id limit 1500""",
+    "event_intake_all": f"""with {MESSAGES}
+      select num1, num2, cat1 from msg where event_type in ('click', 'view')""",
     "score_sink_roundtrip": f"""with {SCORES}
       select name, type, time_window, 1700000000000::bigint execution_timestamp, {", ".join(COUNTERS)}, zscore,
         coalesce(pas_kmeans, 0) pas_kmeans, coalesce(pas_isolation, 0) pas_isolation, coalesce(pas_svm, 0) pas_svm,

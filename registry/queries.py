@@ -21,7 +21,7 @@ from sentrail.operators.ocsvm import MODEL_FIELDS, OneClassModel, fit_one_class
 from sentrail.plans import daily, overall, requests
 from sentrail.session import materialise, scratch_path
 from sentrail.sources import sinks, tables, topic
-from sentrail.streaming.events import score_events, write_stream
+from sentrail.streaming.events import epoch_millis, score_events, write_stream
 from sentrail.streaming.windows import stream_profiles
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,7 +66,13 @@ def profile_day_slice(spark, sf):
 @query
 def capped_projection(spark, sf):
     columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    return tables.capped_integers(I.table(spark, sf, "lineitem"), columns, columns)
+    return tables.integer_projection(I.table(spark, sf, "lineitem"), columns, columns, limit=50_000)
+
+
+@query
+def integer_projection(spark, sf):
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    return tables.integer_projection(I.table(spark, sf, "lineitem"), columns)
 
 
 @query
@@ -116,7 +122,32 @@ def attribute_assembly(spark, sf):
 
 @query
 def event_intake(spark, sf):
-    return topic.bounded_intake(I.messages(spark, sf), "demo_traffic", ["num1", "num2"], ["cat1"])
+    return topic.event_intake(I.messages(spark, sf), "demo_traffic", ["num1", "num2"], ["cat1"], limit=1_500)
+
+
+@query
+def event_intake_all(spark, sf):
+    return topic.event_intake(I.messages(spark, sf), "demo_traffic", ["num1", "num2"], ["cat1"])
+
+
+@query
+def event_timestamps(spark, sf):
+    """Instants and wall times, each as milliseconds."""
+    events = I.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("wall"))
+    zoned = events.withColumn("instant", F.concat(F.col("wall").cast("string"), F.lit("+09:00")).cast("timestamp"))
+    return zoned.select(
+        "event_id", epoch_millis(zoned, "wall").alias("wall_ms"), epoch_millis(zoned, "instant").alias("instant_ms")
+    )
+
+
+@query
+def attribute_assembly_repeats(spark, sf):
+    """One row per order and combination of its lines by return flag; some numbers can't be read."""
+    number = F.when(F.col("l_linenumber") == 3, "?").otherwise(F.col("l_quantity").cast("int").cast("string"))
+    values = I.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("actor"), F.lower("l_returnflag").alias("attribute"), number.alias("value")
+    )
+    return profiles.assemble_attributes(values, ["a", "r"], ["n"])
 
 
 @query
@@ -181,6 +212,15 @@ def final_anomaly_view(spark, sf):
     return alerts.overall_score(blended(I.frozen_scores(day_rows)), alerts.alert_scores(day_rows))
 
 
+@query
+def final_anomaly_view_trained(spark, sf):
+    """From raw events through trained detectors and the score table to the overall score."""
+    events, path = I.win(spark, sf), scratch_path(spark, "trained-scores")
+    scored = daily.train_and_score(activity(spark, sf))
+    sinks.write_scores_path(sinks.score_rows(scored, execution_ms=1_700_000_000_000), path, fmt="orc")
+    return overall.overall(events, spark.read.orc(path))
+
+
 @query
 def final_anomaly_view_by_type(spark, sf):
     day_rows = written_activity(spark, sf)
@@ -496,7 +536,7 @@ def daily_train_and_score(spark, sf):
 @query
 def model_store_roundtrip(spark, sf):
     day_rows = written_activity(spark, sf)
-    models = daily.train(day_rows, group_cols=["type"], key_cols=KEYS, n_trees=100)
+    models = daily.train(day_rows, group_cols=["type"], key_cols=KEYS)
     path = modelstore.model_path(scratch_path(spark, "models"), "os_log", "profile", "detectors", "all")
     daily.save(spark, models, path)
     kept = daily.score(day_rows, models, KEYS).select(*KEYS, F.col("pas").alias("pas_before"))
@@ -524,7 +564,7 @@ def request_routing(spark, sf):
 @query
 def request_scoring(spark, sf):
     training = materialise(activity(spark, sf).withColumn("source", F.lit("os_log")), "training")
-    models = daily.train(training, group_cols=["source", "type"], key_cols=KEYS, n_trees=200)
+    models = daily.train(training, group_cols=["source", "type"], key_cols=KEYS)
     asked = materialise(_requests(spark, sf), "requests")
     scored = requests.score_requests(asked, models, ["request_id"])
     return scored.select("request_id", "source", "type", "name", "pas", "model_found")

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from itertools import combinations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,22 +19,25 @@ def indexers(cat_cols: Sequence[str], handle_invalid: str = "keep") -> list[Stri
     return [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid=handle_invalid) for c in cat_cols]
 
 
-def encoders(cat_cols: Sequence[str], keep_all: bool = True) -> list[OneHotEncoder]:
-    """One-hot vectors of the indexes. With ``keep_all`` the slot left out is the one for
-    invalid values, so each category has a slot and unknown values are all zeros; without it the
-    rarest category is left out (fit the indexers with handle_invalid="error" for that)."""
-    return [
-        OneHotEncoder(inputCol=f"{c}_index", outputCol=f"{c}_vec", dropLast=True, handleInvalid="keep" if not keep_all else "error")
-        for c in cat_cols
-    ]
+def encoders(cat_cols: Sequence[str]) -> list[OneHotEncoder]:
+    """One-hot vectors of the indexes without the last slot. Behind indexers that keep invalid values
+    that slot is theirs, so each category has one and unknown values are all zeros; behind others
+    (handle_invalid "error" or "skip") the rarest category is left out."""
+    return [OneHotEncoder(inputCol=f"{c}_index", outputCol=f"{c}_vec", dropLast=True) for c in cat_cols]
 
 
 def scaling_stages(num_cols: Sequence[str]) -> list:
-    """Centre and scale by the sample deviation; a constant column becomes 0."""
+    """Centre and scale by the sample deviation; a constant column becomes 0. Missing numbers lie
+    at the column's mean; a column of nothing else can't be fitted."""
     if not num_cols:
         return []
+    # as doubles first: an imputer writes the mean in the column's own type
+    doubles = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `_num{i}`" for i, c in enumerate(num_cols))
+    filled = [f"_filled{i}" for i in range(len(num_cols))]
     return [
-        VectorAssembler(inputCols=list(num_cols), outputCol="features_vec", handleInvalid="error"),
+        SQLTransformer(statement=f"SELECT *, {doubles} FROM __THIS__"),
+        Imputer(strategy="mean", inputCols=[f"_num{i}" for i in range(len(num_cols))], outputCols=filled),
+        VectorAssembler(inputCols=filled, outputCol="features_vec", handleInvalid="error"),
         StandardScaler(inputCol="features_vec", outputCol="features_zs", withMean=True, withStd=True),
     ]
 
@@ -42,7 +45,8 @@ def scaling_stages(num_cols: Sequence[str]) -> list:
 def feature_pipeline(
     num_cols: Sequence[str], cat_cols: Sequence[str], one_hot: bool = False, handle_invalid: str = "keep"
 ) -> Pipeline:
-    """Categories first (index or one-hot), scaled numbers after, assembled as ``features``."""
+    """Categories first (index or one-hot), scaled numbers after, assembled as ``features``.
+    One-hot vectors keep every category only where ``handle_invalid`` is "keep" (see ``encoders``)."""
     encoded = [f"{c}_vec" if one_hot else f"{c}_index" for c in cat_cols]
     stages = [*indexers(cat_cols, handle_invalid)]
     if one_hot:

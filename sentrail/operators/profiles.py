@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,19 +101,28 @@ def assemble_attributes(
 ) -> DataFrame:
     """One row per actor that has every attribute, from a long (actor, attribute, value) table.
 
-    Same result as inner-joining one table per attribute on the actor, in one shuffle however
-    many attributes there are.
+    Same result as inner-joining one table per attribute on the actor: an actor without a name or
+    without one of the attributes has no row, one with repeated attributes has a row per
+    combination. Numbers that can't be read are null. Actors seen once per attribute take one
+    shuffle however many attributes there are; only rows of the others are joined attribute by
+    attribute. Runs a job when called, to write the grouped rows.
     """
     wanted = [*num_cols, *cat_cols]
     name = F.col(attribute)
     cells = [F.max(F.when(name == c, F.col(value))).alias(c) for c in wanted]
     seen = [F.count(F.when(name == c, 1)).alias(f"_n{i}") for i, c in enumerate(wanted)]
-    wide = values.where(name.isin(*wanted)).groupBy(actor).agg(*cells, *seen)
-    complete = F.lit(True)
-    for i in range(len(wanted)):
-        complete = complete & (F.col(f"_n{i}") > 0)
-    return wide.where(complete).select(
-        actor, *[F.col(f"`{c}`").cast("double").alias(c) for c in num_cols], *[F.col(f"`{c}`") for c in cat_cols]
+    named = values.where(name.isin(*wanted) & F.col(actor).isNotNull())
+    fewest, most = F.array_min("_seen"), F.array_max("_seen")
+    counted = named.groupBy(actor).agg(*cells, *seen).withColumn("_seen", F.array(*[f"_n{i}" for i in range(len(wanted))]))
+    wide = materialise(counted.where(fewest > 0).select(actor, *[f"`{c}`" for c in wanted], most.alias("_most")), "attributes")
+    rows = wide.where("_most = 1").drop("_most")
+    repeated = wide.where("_most > 1").select(actor)
+    if not repeated.isEmpty():
+        theirs = materialise(named.join(repeated, actor, "left_semi").select(actor, attribute, value), "repeated-attributes")
+        parts = [theirs.where(name == c).select(actor, F.col(value).alias(c)) for c in wanted]
+        rows = rows.unionByName(reduce(lambda left, right: left.join(right, actor), parts))
+    return rows.select(
+        actor, *[F.col(f"`{c}`").try_cast("double").alias(c) for c in num_cols], *[F.col(f"`{c}`") for c in cat_cols]
     )
 
 

@@ -22,9 +22,11 @@ def profile_days(profiles: DataFrame, last_day: str, days: int) -> DataFrame:
     return profiles.where((on <= end) & (on > F.date_sub(end, days)))
 
 
-def capped_integers(df: DataFrame, columns: Sequence[str], key_cols: Sequence[str], limit: int = 50_000) -> DataFrame:
-    """The first ``limit`` rows by key, chosen columns as integers (unreadable values null)."""
-    picked = df.orderBy(*key_cols).limit(limit)
+def integer_projection(
+    df: DataFrame, columns: Sequence[str], key_cols: Sequence[str] = (), limit: int | None = None
+) -> DataFrame:
+    """Chosen columns as integers (unreadable values null), of all rows or of the first ``limit`` by key."""
+    picked = df if limit is None else df.orderBy(*key_cols).limit(limit)
     return picked.select(*[F.col(c).try_cast("int").alias(c) for c in columns])
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from sentrail.functions.text import ascii_text
 
 SOURCE_FIELD = "source.type"
-MAX_EVENT_RECORDS = 1_500  # fixed value: messages taken by the bounded intake
 
 
 def read_topic(spark: SparkSession, brokers: str, topic: str, **options: str) -> DataFrame:
@@ -68,14 +67,16 @@ def parse_events(
     )
 
 
-def bounded_intake(
+def event_intake(
     messages: DataFrame,
     source: str,
     num_cols: Sequence[str],
     cat_cols: Sequence[str],
     offset_cols: Sequence[str] = ("partition", "offset"),
-    limit: int = MAX_EVENT_RECORDS,
+    limit: int | None = None,
 ) -> DataFrame:
-    """The first ``limit`` matching messages in offset order, e.g. to train an event model on."""
+    """The matching messages, e.g. to train an event model on: all, or the first ``limit`` in offset order."""
     events = parse_events(messages, source, num_cols, cat_cols, keep=offset_cols)
-    return events.orderBy(*offset_cols).limit(limit).select(*num_cols, *cat_cols)
+    if limit is not None:
+        events = events.orderBy(*offset_cols).limit(limit)
+    return events.select(*num_cols, *cat_cols)

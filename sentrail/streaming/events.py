@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -31,6 +31,14 @@ EVENT_FIELDS = {
 }
 
 
+def epoch_millis(df: DataFrame, column: str) -> Column:
+    """Milliseconds since 1970 in UTC, the same in every session zone: an instant counts as it is,
+    a wall time without a zone counts as UTC."""
+    if isinstance(df.schema[column].dataType, T.TimestampNTZType):
+        return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{column}`)")
+    return F.unix_millis(F.col(column).cast("timestamp"))
+
+
 def score_events(
     messages: DataFrame,
     source: str,
@@ -54,10 +62,9 @@ def score_events(
         for x in (F.lit(c), S.zscore(F.col(c), F.lit(float(mean)), F.lit(float(sd))))
     ]
     text = F.to_json(F.create_map(*cells), {"ignoreNullFields": "false"}) if cells else F.lit(None).cast("string")
-    millis = F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', cast({event_time} as timestamp_ntz))")
     rows = scored.withColumns(
         {
-            "timestamp": millis,
+            "timestamp": epoch_millis(scored, event_time),
             "entity_name": F.col("src_ip"),
             "source_type": F.lit(source),
             "zscore": text,

@@ -67,6 +67,13 @@ def test_assembly_keeps_actors_with_every_attribute(spark):
     assert {tuple(r) for r in profiles.assemble_attributes(df, ["x"], ["c"]).collect()} == {("a", 1.0, "red"), ("c", None, "blue")}
 
 
+def test_assembly_joins_repeated_attributes_and_survives_bad_numbers(spark):
+    rows = [("a", "x", "1"), ("a", "x", "9"), ("a", "c", "red"), ("a", "c", "blue"), ("b", "x", "?"), ("b", "c", "red"), (None, "x", "1"), (None, "c", "red"), ("d", "x", "1"), ("d", "x", "2")]
+    df = spark.createDataFrame(rows, "actor string, attribute string, value string")
+    found = sorted((tuple(r) for r in profiles.assemble_attributes(df, ["x"], ["c"]).collect()), key=str)
+    assert found == [("a", 1.0, "blue"), ("a", 1.0, "red"), ("a", 9.0, "blue"), ("a", 9.0, "red"), ("b", None, "red")]
+
+
 def test_payload_pairs(spark):
     df = spark.createDataFrame([("x", '{"a": 1, "b": "2"}')], "attribute string, payload string")
     assert {tuple(r) for r in tables.payload_pairs(df, "payload", "attribute").collect()} == {("a", "x", "1"), ("b", "x", "2")}
@@ -75,8 +82,9 @@ def test_payload_pairs(spark):
 def test_event_intake_defaults_and_order(spark):
     rows = [(0, 2, '{"source.type": "t_s", "n": "2.5"}'), (0, 1, '{"source.type": "t_s", "c": "é1"}'), (0, 0, '{"source.type": "other"}'), (0, 3, "not json")]
     df = spark.createDataFrame(rows, "partition int, offset long, value string")
-    assert [tuple(r) for r in topic.bounded_intake(df, "t_s", ["n"], ["c"], limit=5).collect()] == [(0.0, "1"), (2.5, "")]
-    assert topic.bounded_intake(df, "t_s", ["n"], ["c"], limit=1).count() == 1
+    assert [tuple(r) for r in topic.event_intake(df, "t_s", ["n"], ["c"], limit=5).collect()] == [(0.0, "1"), (2.5, "")]
+    assert topic.event_intake(df, "t_s", ["n"], ["c"]).count() == 2
+    assert topic.event_intake(df, "t_s", ["n"], ["c"], limit=1).count() == 1
 
 
 def test_day_slices_are_pruned(spark, activity, folder):
@@ -89,9 +97,10 @@ def test_day_slices_are_pruned(spark, activity, folder):
     assert {r.d for r in days.select("d").distinct().collect()} == {2, 3}
 
 
-def test_capped_integers(spark):
+def test_integer_projection(spark):
     df = spark.createDataFrame([("3", "x"), ("1", "7"), ("2", "8")], "k string, v string")
-    assert [tuple(r) for r in tables.capped_integers(df, ["k", "v"], ["k"], limit=2).collect()] == [(1, 7), (2, 8)]
+    assert [tuple(r) for r in tables.integer_projection(df, ["k", "v"], ["k"], limit=2).collect()] == [(1, 7), (2, 8)]
+    assert tables.integer_projection(df, ["k", "v"]).count() == 3
 
 
 def test_box_stats_by_hand(spark):

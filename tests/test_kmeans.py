@@ -61,6 +61,22 @@ def test_unseen_category_keeps_its_row_unless_skipped(spark):
     assert skipped.score(unseen).count() == 1
 
 
+def test_missing_numbers_lie_at_the_mean(spark):
+    rows = [(i, i % 5, float(i % 7)) for i in range(35)] + [(99, None, 3.0), (100, 2, None), (101, 2, float("nan"))]
+    df = spark.createDataFrame(rows, "id long, a int, b double")
+    model = fit_distance_model(df, ["a", "b"], [], ["id"], k=3)
+    at_mean = spark.createDataFrame([(1, None, None), (2, 2, 3.0)], "id long, a int, b double")
+    assert model.score(df).where("PAS is null or isnan(PAS)").isEmpty()
+    one, two = (r.sed for r in model.raw(at_mean).orderBy("id").collect())
+    assert one == pytest.approx(two, abs=1e-9)
+
+
+def test_one_hot_can_leave_out_the_last_category(spark):
+    df = spark.createDataFrame([(i, "abbccc"[i % 6]) for i in range(30)], "id long, c string")
+    for invalid, width in (("keep", 3), ("error", 2)):
+        assert len(fit_distance_model(df, [], ["c"], ["id"], 2, one_hot=True, handle_invalid=invalid).centroids[0]) == width
+
+
 def test_constant_training_set_scores_fifty(spark):
     df = spark.createDataFrame([(i, 2.0) for i in range(10)], "id long, x double")
     model = fit_distance_model(df, ["x"], [], ["id"])

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from registry import inputs as I
 from registry.queries import ALERT_WEIGHTS, EVENT_SCORER
 from sentrail.sources import topic
-from sentrail.streaming.events import score_events, write_stream
+from sentrail.streaming.events import epoch_millis, score_events, write_stream
 from sentrail.streaming.windows import stream_profiles
 
 
@@ -37,6 +37,17 @@ def test_without_a_model_events_score_zero(spark, sf):
     assert {r.event_score for r in rows.select("event_score").distinct().collect()} == {0.0}
 
 
+def test_milliseconds_do_not_depend_on_the_session_zone(spark):
+    for zone, instant in (("UTC", 1704067200000), ("America/New_York", 1704085200000)):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            df = spark.sql("select timestamp_ntz'2024-01-01 00:00:00' wall, timestamp'2024-01-01 00:00:00' at, timestamp'2024-01-01 00:00:00Z' fixed")
+            row = df.select(epoch_millis(df, "wall"), epoch_millis(df, "at"), epoch_millis(df, "fixed")).first()
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert tuple(row) == (1704067200000, instant, 1704067200000)
+
+
 def test_late_events_are_dropped(spark, folder):
     schema = "ts timestamp, k int"
 
