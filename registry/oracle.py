@@ -198,6 +198,9 @@ ORACLE: dict[str, str] = {
       select num1, num2, cat1 from msg where event_type in ('click', 'view') order by event_id limit 1500""",
     "event_intake_all": f"""with {MESSAGES}
       select num1, num2, cat1 from msg where event_type in ('click', 'view')""",
+    "model_store_daily": f"with {AGG} select name, type, y, m, d, true model_found, true same from agg where y = 2024 and m = 1 and d <= 3",
+    "event_model_stream": """select cast(event_id as varchar) guid, true in_range, true same
+      from events where event_type in ('click', 'view')""",
     "score_sink_roundtrip": f"""with {SCORES}
       select name, type, time_window, 1700000000000::bigint execution_timestamp, {", ".join(COUNTERS)}, zscore,
         coalesce(pas_kmeans, 0) pas_kmeans, coalesce(pas_isolation, 0) pas_isolation, coalesce(pas_svm, 0) pas_svm,

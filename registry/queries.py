@@ -545,6 +545,41 @@ def model_store_roundtrip(spark, sf):
     return both.select(*KEYS, (F.col("pas_before") == F.col("pas_after")).alias("same"))
 
 
+@query
+def model_store_daily(spark, sf):
+    """Days trained one by one into one store, then all of them scored from it."""
+    day_rows = materialise(activity(spark, sf).where("y = 2024 and m = 1 and d <= 3"), "three-days")
+    path = modelstore.model_path(scratch_path(spark, "models"), "os_log", "profile", "detectors", "day")
+    for day in (1, 2, 3):
+        daily.save(spark, daily.train(materialise(day_rows.where(F.col("d") == day), "day"), n_trees=100), path)
+    scored = daily.score(day_rows, daily.load(spark, path), ["name"])
+    at_once = daily.score(day_rows, daily.train(day_rows, n_trees=100), ["name"])
+    both = materialise(scored, "scored").join(materialise(at_once.select(*KEYS, F.col("pas").alias("_pas")), "at-once"), KEYS)
+    return both.select(*KEYS, "model_found", (F.abs(F.col("pas") - F.col("_pas")) <= 0.01).alias("same"))
+
+
+@query
+def event_model_stream(spark, sf):
+    """A model trained on the intake, saved, loaded, and scoring the same messages as a batch and as a stream."""
+    arriving = I.messages(spark, sf)
+    training = materialise(topic.event_intake(arriving, "demo_traffic", ["num1", "num2"], ["cat1"]), "intake")
+    path = modelstore.model_path(scratch_path(spark, "models"), "demo_traffic", "event", "kmeans")
+    modelstore.save_distance(spark, fit_distance_model(training, ["num1", "num2"], ["cat1"], ["num1", "num2", "cat1"]), path)
+    model = modelstore.load_distance(spark, path)
+
+    def scored(rows):
+        return score_events(rows, "demo_traffic", ["num1", "num2"], ["cat1"], model, ALERT_WEIGHTS)
+
+    incoming, out, mark = (scratch_path(spark, n) for n in ("messages", "event-scores", "event-checkpoint"))
+    arriving.write.parquet(incoming)
+    batch = scored(arriving)
+    write_stream(scored(topic.stream_files(spark, incoming, arriving.schema)), out, mark, once=True).awaitTermination()
+    stream = spark.read.schema(batch.schema).parquet(out).select("guid", F.col("event_score").alias("_stream"))
+    both = batch.join(stream, "guid")
+    inside = F.col("event_score").between(0, 100)
+    return both.select("guid", inside.alias("in_range"), (F.col("event_score") == F.col("_stream")).alias("same"))
+
+
 def _requests(spark, sf):
     key = F.col("c_custkey")
     return I.table(spark, sf, "customer").select(

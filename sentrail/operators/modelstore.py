@@ -1,15 +1,19 @@
-"""Trained models as Parquet tables and MLlib pipelines under one path; a missing one loads as None."""
+"""Trained models as Parquet tables and MLlib pipelines, in versions under one path; a missing one loads as None."""
 
 from __future__ import annotations
 
 import json
+import uuid
+from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sentrail.operators.iforest import ForestModel
 from sentrail.operators.kmeans import DistanceModel, GroupedDistanceModel
 from sentrail.operators.ocsvm import OneClassModel
+from sentrail.session import materialise
 
 
 def model_path(root: str, source: str, anomaly_type: str, model_name: str, *scope: str) -> str:
@@ -22,21 +26,54 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Complete versions under a path, oldest first. A save writes its settings last, so one that
+    broke off has none and is passed over."""
+    if not exists(spark, path):
+        return []
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(status.getPath().getName() for status in files.listStatus(hadoop_path))
+    return [n for n in names if n.startswith("v") and exists(spark, f"{path}/{n}/settings/_SUCCESS")]
+
+
 def save_tables(spark: SparkSession, path: str, tables: dict[str, DataFrame | None], settings: dict) -> None:
-    """Every table under its name, the settings last: a half-written model has none and so does
-    not load."""
-    present = [name for name, table in tables.items() if table is not None]
-    for name in present:
-        tables[name].write.mode("overwrite").parquet(f"{path}/{name}")
-    text = json.dumps({"tables": present, "settings": settings}, sort_keys=True)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
+    """A new version of the model at ``path``; nothing that is already there is written over.
+
+    Groups (by the ``group_cols`` of ``settings``) in the new tables replace those of the version
+    before, its other groups are carried over, so daily saves to one path add up. Models with other
+    settings can't share a path. One writer at a time.
+    """
+    before = load_tables(spark, path)
+    present = {name: table for name, table in tables.items() if table is not None}
+    group = settings.get("group_cols")
+    if before is not None and group:
+        if before[1] != json.loads(json.dumps(settings)) or set(before[0]) != set(present):
+            raise ValueError(f"the model at {path} has other settings: {before[1]}")
+        replaced = reduce(DataFrame.unionByName, [t.select(*group) for t in present.values()]).distinct()
+        replaced = materialise(replaced, "replaced-groups")
+        same = reduce(Column.__and__, [F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in group])
+        present = {
+            name: table.unionByName(before[0][name].alias("_old").join(replaced.alias("_new"), same, "left_anti"))
+            for name, table in present.items()
+        }
+    versions = _versions(spark, path)
+    number = int(versions[-1].split("-")[0][1:]) + 1 if versions else 0
+    version = f"{path}/v{number:010d}-{uuid.uuid4().hex}"
+    for name, table in present.items():
+        table.write.parquet(f"{version}/{name}")
+    text = json.dumps({"tables": list(present), "settings": settings}, sort_keys=True)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{version}/settings")
 
 
 def load_tables(spark: SparkSession, path: str) -> tuple[dict[str, DataFrame], dict] | None:
-    if not exists(spark, f"{path}/settings/_SUCCESS"):
+    """Tables and settings of the newest complete version."""
+    versions = _versions(spark, path)
+    if not versions:
         return None
-    stored = json.loads(spark.read.text(f"{path}/settings").first()["value"])
-    return {name: spark.read.parquet(f"{path}/{name}") for name in stored["tables"]}, stored["settings"]
+    version = f"{path}/{versions[-1]}"
+    stored = json.loads(spark.read.text(f"{version}/settings").first()["value"])
+    return {name: spark.read.parquet(f"{version}/{name}") for name in stored["tables"]}, stored["settings"]
 
 
 def _columns(model) -> dict:
@@ -80,10 +117,12 @@ def load_one_class(spark: SparkSession, path: str) -> OneClassModel | None:
 
 
 def save_distance(spark: SparkSession, model: DistanceModel, path: str) -> None:
-    model.pipeline.write().overwrite().save(f"{path}/pipeline")
-    save_tables(spark, path, {}, {"low": model.low, "high": model.high})
+    """The pipeline in a folder of its own, then the version that names it."""
+    folder = f"{path}/pipeline-{uuid.uuid4().hex}"
+    model.pipeline.write().save(folder)
+    save_tables(spark, path, {}, {"folder": folder, "low": model.low, "high": model.high})
 
 
 def load_distance(spark: SparkSession, path: str) -> DistanceModel | None:
     stored = load_tables(spark, path)
-    return None if stored is None else DistanceModel(PipelineModel.load(f"{path}/pipeline"), **stored[1])
+    return None if stored is None else DistanceModel(PipelineModel.load(stored[1]["folder"]), stored[1]["low"], stored[1]["high"])

@@ -5,6 +5,7 @@ from registry import inputs as I
 from sentrail.functions import scores as S
 from sentrail.functions.rules import GROUP_COLS
 from sentrail.operators import alerts
+from sentrail.operators import modelstore as store
 from sentrail.plans import daily, requests
 from sentrail.session import materialise
 from sentrail.sources import sinks
@@ -51,6 +52,21 @@ def test_saved_models_score_the_same_and_unknown_groups_score_zero(spark, activi
     assert daily.load(spark, folder + "/nothing") is None
 
 
+def test_daily_saves_add_up_and_a_broken_one_changes_nothing(spark, activity, folder):
+    days = materialise(activity.where("y = 2024 and m = 1 and d <= 2"), "two-days")
+    for day in (1, 2, 2):
+        daily.save(spark, daily.train(materialise(days.where(F.col("d") == day), "day"), n_trees=10), folder + "/m")
+    found = materialise(daily.score(days, daily.load(spark, folder + "/m"), ["name"]), "found")
+    assert found.count() == days.count() and found.where("not model_found").isEmpty()
+    daily.load(spark, folder + "/m").forest.trees.write.parquet(folder + "/m/forest/v9999999999-broken/trees")
+    again = daily.load(spark, folder + "/m")
+    assert again.forest.trees.count() == sum(1 for _ in days.select(*GROUP_COLS).distinct().collect()) * 10
+    store.save_forest(spark, again.forest, folder + "/m/forest")  # onto its own path
+    assert daily.load(spark, folder + "/m").forest.trees.count() == again.forest.trees.count()
+    with pytest.raises(ValueError, match="other settings"):
+        store.save_tables(spark, folder + "/m/ranges", {"ranges": again.ranges}, {"group_cols": ["type"]})
+
+
 def test_requests_are_routed_and_kept(spark):
     rows = [(1, "os", "10.0.0.1", "u"), (2, "os", None, "u"), (3, "os", None, None)]
     routed = requests.route(spark.createDataFrame(rows, "id long, source string, src_ip string, user_name string"))
