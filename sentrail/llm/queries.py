@@ -86,6 +86,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-_BASE_WORDS = r"'[^\x20\x09-\x0D]+'"
-
-ORACLE: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_BY_SPACE = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+
+#: SQL where it can tell the result; the others rest on fitted models, sketches, hashed draws or tokenizers
+ORACLE: dict[str, str] = {
+    "op4_parity_join": f"""with recursive words as (select doc_id, {_BY_SPACE} w from documents),
+      placed as (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) p from words where len(w) > 0),
+      shingles as (select distinct doc_id, array_to_string(w[p : p + 3], ' ') g from placed),
+      sizes as (select doc_id, count(*) n from shingles group by all),
+      common as (select a.doc_id a, b.doc_id b, count(*) c from shingles a join shingles b using (g)
+        where a.doc_id <> b.doc_id group by all),
+      links as (select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+        where 100 * c >= 85 * (x.n + y.n - c)),
+      reach as (select a, b from links union select reach.a, links.b from reach join links on reach.b = links.a)
+      select doc_id, coalesce(n, 0) n_shingles, least(doc_id, coalesce(m, doc_id)) component_id
+      from words left join sizes using (doc_id) left join (select a doc_id, min(b) m from reach group by all) using (doc_id)""",
+    "op8_decontamination": f"""with docs as (select doc_id, {_ALNUM} w from documents),
+      items as (select cast(item_id as varchar) item, {_ALNUM} w from benchmark),
+      starts as (select item, w, least(13, len(w)) k, unnest(range(1, greatest(len(w) - 12, 1) + 1)) p from items where len(w) > 0),
+      windows as (select distinct item, k, array_to_string(w[p : p + k - 1], ' ') g from starts),
+      places as (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) p
+        from docs, (select distinct k from windows) where len(w) >= k),
+      found as (select doc_id, p, k, item from (select doc_id, p, k, array_to_string(w[p : p + k - 1], ' ') g from places)
+        join windows using (k, g)),
+      hits as (select doc_id, count(*) n_hit from (select distinct doc_id, unnest(range(p, p + k)) from found) group by all),
+      named as (select doc_id, count(*) n_items, string_agg(item, ',' order by item) ids
+        from (select distinct doc_id, item from found) group by all)
+      select doc_id, len(w) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
+        sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit > 0 and 20 * n_hit >= len(w), false) contaminated
+      from docs left join hits using (doc_id) left join named using (doc_id)""",
+}
