@@ -206,7 +206,7 @@ ORACLE: dict[str, str] = {
         coalesce(pas_kmeans, 0) pas_kmeans, coalesce(pas_isolation, 0) pas_isolation, coalesce(pas_svm, 0) pas_svm,
         coalesce(pas, 0) pas, y, m, d from scores""",
     "export_capped_json": """select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders order by o_orderkey limit 1000""",
-    "adhoc_sql": ADHOC,
+    "adhoc_sql": ADHOC.format(orders="orders", customer="customer"),
     "script_activity_filter": f"""with {WIN} select event_id, windowseventid, windowsprocessname, windowslogontype
       from win where {SCRIPT}""",
     "win_daily_aggregation": f"with {AGG} select * from agg",

@@ -169,16 +169,14 @@ def export_capped_json(spark, sf):
 ADHOC = """
     SELECT c_mktsegment, count(*) AS orders, cast(count(DISTINCT o_custkey) AS bigint) AS customers,
            max(o_totalprice) AS largest
-    FROM orders JOIN customer ON o_custkey = c_custkey
+    FROM {orders} JOIN {customer} ON o_custkey = c_custkey
     GROUP BY c_mktsegment
 """
 
 
 @query
 def adhoc_sql(spark, sf):
-    for name in ("orders", "customer"):
-        I.table(spark, sf, name).createOrReplaceTempView(name)
-    return spark.sql(ADHOC)
+    return spark.sql(ADHOC, **{name: I.table(spark, sf, name) for name in ("orders", "customer")})
 
 
 # ------------------------------------------------------------ profiles and alerts
