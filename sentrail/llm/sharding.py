@@ -115,10 +115,15 @@ def shuffle_shards(docs: DataFrame, shards: int = 8, seed: int = 0, partition_ro
 
 
 def shard_report(docs: DataFrame, shards: int = 8, seed: int = 0) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document, by a shuffle of these narrow rows."""
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document, read off the shuffled whole rows."""
+    placed = shuffle_shards(docs, shards, seed)
     text = F.coalesce(F.col("text"), F.lit(""))
-    narrow = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    placed = shuffle_shards(narrow, shards, seed)
     return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int"), F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard")
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        F.col("shard").cast("int"),
+        F.col("slot").cast("long"),
+        F.lit(None).cast("int").alias("grown_shard"),
     )

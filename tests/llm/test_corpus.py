@@ -226,6 +226,12 @@ def test_shards(spark, sf):
     assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1 and len(rows) == len(texts)
 
 
+def test_shard_report_shuffles_whole_rows(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    whole = sharding.shuffle_shards(docs).select("doc_id", "shard", "slot")
+    assert sorted(sharding.shard_report(docs).select("doc_id", "shard", "slot").collect()) == sorted(whole.collect())
+
+
 # ---- licences
 def test_licenses_equal_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
