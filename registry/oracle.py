@@ -199,6 +199,7 @@ ORACLE: dict[str, str] = {
     "event_intake_all": f"""with {MESSAGES}
       select num1, num2, cat1 from msg where event_type in ('click', 'view')""",
     "model_store_daily": f"with {AGG} select name, type, y, m, d, true model_found, true same from agg where y = 2024 and m = 1 and d <= 3",
+    "model_store_every_day": f"with {AGG} select name, type, y, m, d, true model_found, true same from agg",
     "event_model_stream": """select cast(event_id as varchar) guid, true in_range, true same
       from events where event_type in ('click', 'view')""",
     "score_sink_roundtrip": f"""with {SCORES}

@@ -543,19 +543,35 @@ def model_store_roundtrip(spark, sf):
     return both.select(*KEYS, (F.col("pas_before") == F.col("pas_after")).alias("same"))
 
 
-@query
-def model_store_daily(spark, sf):
-    """Days trained one by one into one store, then all of them scored from it."""
-    day_rows = materialise(activity(spark, sf).where("y = 2024 and m = 1 and d <= 3"), "three-days")
+#: saves that the days of the table are dealt over
+SAVES = 3
+
+
+def _stored_by_day(spark, sf):
+    """All days trained and saved in turns into one store, then scored from it and from models of all days at once."""
+    day_rows = written_activity(spark, sf)
+    number = F.datediff(F.make_date(*DAY_COLS), F.lit("1970-01-01").cast("date"))
+    dealt = day_rows.withColumn("_save", F.coalesce(F.pmod(number, F.lit(SAVES)), F.lit(0)))
     path = modelstore.model_path(scratch_path(spark, "models"), "os_log", "profile", "detectors", "day")
-    for day in (1, 2, 3):
-        daily.save(spark, daily.train(materialise(day_rows.where(F.col("d") == day), "day"), n_trees=100), path)
+    for (save,) in sorted(dealt.select("_save").distinct().collect()):
+        daily.save(spark, daily.train(materialise(dealt.where(F.col("_save") == save).drop("_save"), "days")), path)
     scored = daily.score(day_rows, daily.load(spark, path), ["name"])
-    at_once = daily.score(day_rows, daily.train(day_rows, n_trees=100), ["name"])
+    at_once = daily.score(day_rows, daily.train(day_rows), ["name"])
     both = materialise(scored, "scored").join(materialise(at_once.select(*KEYS, F.col("pas").alias("_pas")), "at-once"), KEYS)
     return both.select(*KEYS, "model_found", (F.abs(F.col("pas") - F.col("_pas")) <= 0.01).alias("same"))
 
 
+@query
+def model_store_every_day(spark, sf):
+    return _stored_by_day(spark, sf)
+
+
+@query
+def model_store_daily(spark, sf):
+    """Of the same work on all days, the days that its SQL lists."""
+    return _stored_by_day(spark, sf).where("y = 2024 and m = 1 and d <= 3")
+
+
 @query
 def event_model_stream(spark, sf):
     """A model trained on the intake, saved, loaded, and scoring the same messages as a batch and as a stream."""

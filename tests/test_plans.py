@@ -117,3 +117,16 @@ def test_daily_job_reads_its_days_and_can_run_again(spark, activity, folder):
     assert daily.load(spark, folder + "/m") is not None
     spark.sql("DROP TABLE daily_profiles_test")
     spark.sql("DROP TABLE daily_scores_test")
+
+
+def test_the_daily_store_holds_every_day_and_all_trees(spark, sf, activity, monkeypatch):
+    from registry import queries
+
+    stored = []
+    save = queries.daily.save
+    monkeypatch.setattr(queries.daily, "save", lambda spark, models, path: (stored.append(models), save(spark, models, path)))
+    queries.model_store_daily(spark, sf)
+    days = [{tuple(r) for r in m.ranges.select("y", "m", "d").distinct().collect()} for m in stored]
+    assert len(days) > 1 and sum(map(len, days)) == len(set.union(*days))
+    assert set.union(*days) == {tuple(r) for r in activity.select("y", "m", "d").distinct().collect()}
+    assert {m.forest.trees.agg({"tree": "max"}).first()[0] for m in stored} == {999}
