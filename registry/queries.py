@@ -511,7 +511,7 @@ def iforest_profile_pas(spark, sf):
 @query
 def iforest_event_eas(spark, sf):
     events = _traffic_numbers(spark, sf)
-    forest = fit_forest(events, ["sent_bytes", "rcvd_bytes"], ["dst_port", "src_port"], ["source"], TRAFFIC_KEYS)
+    forest = fit_forest(events, ["sent_bytes", "rcvd_bytes"], ["dst_port", "src_port"], ["source"], TRAFFIC_KEYS, max_samples=0.3)
     raw = materialise(forest.raw(events, TRAFFIC_KEYS, rows_per_task=20_000), "raw")
     scored = scoring.minmax_scores(raw, "score", "EAS", ["source"])
     return scored.select(*TRAFFIC_KEYS, F.round("EAS", 4).alias("EAS"))
