@@ -629,4 +629,4 @@ def classifier_cv_accuracy(spark, sf):
         (F.size(F.array_distinct(words)) / F.size(words)).alias("distinct_share"),
     )
     study = I.table(spark, sf, "labels").join(documents, "doc_id")
-    return classify.cross_validated_accuracy(study, ["n_chars", "words", "distinct_share"], "quality", ["doc_id"], trees=10)
+    return classify.cross_validated_accuracy(study, ["n_chars", "words", "distinct_share"], "quality", ["doc_id"])

@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentrail.operators.features import fit_moments, fit_quantile_edges, quantile_bin, standardise
-from sentrail.session import materialise
+from sentrail.session import materialise, scratch_path
 
 # Folds and bins of the study.
 FOLDS = 5
 BINS = 2
-HINGE_ITERATIONS = 15
+# The hinge models run until the loss moves by less than the tolerance; the iterations are an upper end.
+HINGE_ITERATIONS = 1_000
+HINGE_TOLERANCE = 1e-4
 FEATURE_SETS = ("discrete_onehot", "continuous")
 
 
@@ -35,12 +37,11 @@ def classifier(name: str, rows: int, trees: int, seed: int):
     """An estimator on ``features`` and ``label``; the balanced ones weigh rows by ``balance``.
 
     The usual penalty strength of one over the whole sum of losses is 1/rows here, where losses
-    are averaged. The hinge loss has kinks that stall the solver's line search near the optimum,
-    so its iterations are few.
+    are averaged.
     """
     plain = {"regParam": 1.0 / rows}
     if name == "support_vector":
-        return LinearSVC(maxIter=HINGE_ITERATIONS, tol=1e-2, **plain)
+        return LinearSVC(maxIter=HINGE_ITERATIONS, tol=HINGE_TOLERANCE, **plain)
     if name == "random_forest":
         return RandomForestClassifier(numTrees=trees, seed=seed)
     if name == "logistic_regression":
@@ -48,7 +49,7 @@ def classifier(name: str, rows: int, trees: int, seed: int):
     if name == "gradient_boost":
         return GBTClassifier(maxIter=trees, maxDepth=3, stepSize=0.1, seed=seed)
     if name == "sgd_classifier":  # hinge loss
-        return LinearSVC(maxIter=HINGE_ITERATIONS, tol=1e-2, regParam=1e-4, weightCol="balance")
+        return LinearSVC(maxIter=HINGE_ITERATIONS, tol=HINGE_TOLERANCE, regParam=1e-4, weightCol="balance")
     if name == "ridge_classifier":  # ridge regression on -1/+1, classified by sign
         return LinearRegression(elasticNetParam=0.0, weightCol="balance", labelCol="signed", **plain)
     raise ValueError(name)
@@ -87,6 +88,8 @@ def cross_validated_accuracy(
     Each fit is a distributed job; ``parallelism`` of them are submitted at a time.
     """
     spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:  # boosting cuts its lineage there every few trees
+        spark.sparkContext.setCheckpointDir(scratch_path(spark, "boosting"))
     labelled = df.where(F.col(label).isNotNull()).withColumn("label", F.col(label).cast("double"))
     data = materialise(
         feature_sets(labelled, num_cols).select(
