@@ -15,6 +15,7 @@ from sentrail.llm import (
     quality_classifier,
     quality_rules,
     sharding,
+    simhash,
     token_counts,
     token_files,
     toxicity,
@@ -70,6 +71,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(token_files.read_tokens(spark, folder))
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_token_counts,
         op10_token_files,
+        op13_simhash,
     )
 }
 
