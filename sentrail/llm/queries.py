@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sentrail.llm import (
+    alignment,
+    collocations,
     decontamination,
     license_scan,
     packing,
@@ -71,6 +73,15 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(token_files.read_tokens(spark, folder))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.alignment_report(_table(spark, sf_dir, "documents"), *paths)
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -88,6 +99,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_token_counts,
         op10_token_files,
+        op11_collocations,
+        op12_alignment,
         op13_simhash,
     )
 }
@@ -109,6 +122,21 @@ ORACLE: dict[str, str] = {
       reach as (select a, b from links union select reach.a, links.b from reach join links on reach.b = links.a)
       select doc_id, coalesce(n, 0) n_shingles, least(doc_id, coalesce(m, doc_id)) component_id
       from words left join sizes using (doc_id) left join (select a doc_id, min(b) m from reach group by all) using (doc_id)""",
+    "op11_collocations": f"""with pieces as (select coalesce(lang, 'und') lang,
+        unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) piece from documents),
+      words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') w from pieces),
+      totals as (select lang, cast(sum(len(w)) as bigint) n from words group by all),
+      places as (select lang, w, k, unnest(range(1, len(w) - k + 2)) p from words, (select unnest(range(1, 5)) k) where len(w) >= k),
+      counts as (select lang, k, array_to_string(w[p : p + k - 1], ' ') g, count(*) f from places group by all having count(*) >= 30),
+      covered as (select distinct a.lang, a.g from counts a join counts b on a.lang = b.lang and b.k > a.k
+        and contains(' ' || b.g || ' ', ' ' || a.g || ' ') and 100 * b.f >= 80 * a.f where a.k > 1),
+      cuts as (select lang, g, f, string_split(g, ' ') w, unnest(range(1, k)) c from counts where k > 1 and (lang, g) not in (select (lang, g) from covered)),
+      parts as (select cuts.lang, cuts.g, cuts.f, c, x.f l, y.f r, 2000000::hugeint * cuts.f // (x.f + y.f) s from cuts
+        join counts x on x.lang = cuts.lang and x.g = array_to_string(w[: c], ' ')
+        join counts y on y.lang = cuts.lang and y.g = array_to_string(w[c + 1 :], ' ')),
+      scored as (select * from parts qualify row_number() over (partition by lang, g order by s, c) = 1),
+      ranked as (select *, row_number() over (partition by lang order by s desc, f desc, encode(g)) place from scored)
+      select lang, place as rank, g phrase, f a, l, r, n, cast(s as bigint) score from ranked join totals using (lang) where place <= 2000""",
     "op8_decontamination": f"""with docs as (select doc_id, {_ALNUM} w from documents),
       items as (select cast(item_id as varchar) item, {_ALNUM} w from benchmark),
       starts as (select item, w, least(13, len(w)) k, unnest(range(1, greatest(len(w) - 12, 1) + 1)) p from items where len(w) > 0),
