@@ -6,11 +6,16 @@ for the bytes of its entry, so each side cuts the same bytes, and a text whose t
 exactly the blank and the text on both sides (or that is null or empty) counts as having no tokens.
 
 Two tokens are linked where their byte ranges overlap. Groups, the parts between byte offsets where tokens of both sides
-end, are the components of these links. They are labelled for a whole block of texts at once: every token points to
+end, are the components of these links. They are labelled for many texts at once: every token points to
 the overlapping token that reaches farthest right (to the one of A of two that end together), and pointers
 are doubled until they stand still, at the group's last token of A. That takes as many steps as the logarithm of the
 longest group's tokens.
 
+A text is cut before every blank between two letters, digits or marks (see ``cuts``): there both tokenizers begin anew, as no
+entry of theirs has a blank after anything else, so the parts have the tokens that the whole text has, and a group ends.
+Equal parts of a task are encoded and aligned once while they are kept. Whether a pair of tokenizers may be cut so is
+read off their entries and settings; others encode whole texts.
+
 ``alignments`` returns the tokens and groups of every text. ``alignment_report`` sums them up with corpus-wide counts: an
 id pair's count is the number of rows that hold it linked; a link is among the best of its A id if no other pair
 of that id has a higher count. Each text is encoded once; its distinct linked pairs are written and looked up
@@ -23,6 +28,7 @@ columns are ignored, whatever their names. One text is held whole in one task, a
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -36,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sentrail.llm.words import blocks
+from sentrail.llm.words import blocks, text_bytes
 from sentrail.operators.grouped import join_small
 from sentrail.session import materialise, scratch_path
 
@@ -52,6 +58,9 @@ def _by_id(entries: dict[int, bytes]) -> list[bytes]:
     return [entries.get(k, b"") for k in range(max(entries, default=-1) + 1)]
 
 
+_PROBES = ("two words", "Été à Łódź 42 groß, n'est-ce pas? 3.14 x_y", "日本 語 “q” don't I'll we've")
+
+
 class Tokenizers:
     """Both tokenizers with the bytes of their entries."""
 
@@ -64,6 +73,11 @@ class Tokenizers:
         self.bytes_a = _by_id({k: bytes(byte_of[letter] for letter in entry) for entry, k in self.a.get_vocab(with_added_tokens=False).items() if k not in special})
         self.bytes_b = [self._piece(k) for k in range(self.b.get_piece_size())]
         self.lengths_a, self.lengths_b = (np.array([len(entry) for entry in side], dtype=np.int64) for side in (self.bytes_a, self.bytes_b))
+        # both sides begin anew at a blank: A cuts texts before words, and no entry of B has a blank after something else
+        cutter = json.loads(self.a.to_str())["pre_tokenizer"] or {}
+        simple = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not json.loads(self.a.to_str())["normalizer"]
+        pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
+        self.cut = simple and not any("▁" in piece.lstrip("▁") for piece in pieces) and all(map(self._same, _PROBES))
         # decimal ids with what may follow them in a description of groups
         self.said_a = [np.array([b"%d%s" % (k, end) for k in range(len(self.bytes_a))], dtype=object) for end in (b",", b"|")]
         self.said_b = [np.array([b"%d%s" % (k, end) for k in range(len(self.bytes_b))], dtype=object) for end in (b",", b";")]
@@ -72,6 +86,12 @@ class Tokenizers:
         piece = self.b.id_to_piece(k)
         return bytes([int(piece[3:-1], 16)]) if self.b.is_byte(k) else piece.replace("▁", " ").encode()
 
+    def _same(self, text: str) -> bool:
+        """Whether the parts of a text have the ids of the whole."""
+        parts = text.split(" ")
+        a = self.a.encode(" " + text, add_special_tokens=False).ids == [k for part in parts for k in self.a.encode(" " + part, add_special_tokens=False).ids]
+        return a and self.b.encode(text) == [k for part in parts for k in self.b.encode(part)]
+
     def encode(self, texts: Sequence[str]) -> tuple[list[Sequence[int]], list[Sequence[int]]]:
         """Ids of both sides; none where either side's bytes are not a blank and the text."""
         some = [k for k, text in enumerate(texts) if text]
@@ -87,12 +107,6 @@ class Tokenizers:
         return a, b
 
 
-@lru_cache(maxsize=1)
-def _tokenizers(path_a: str, path_b: str) -> Tokenizers:
-    """One for all tasks of a Python worker."""
-    return Tokenizers(path_a, path_b)
-
-
 def _flat(ids: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
     return np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(sizes.sum())), np.concatenate([[0], np.cumsum(sizes)])
@@ -154,6 +168,107 @@ def align(texts: Sequence[str], tokenizers: Tokenizers) -> Aligned:
     return Aligned(a, of_a, b, of_b, group[: len(a)], group[len(a) :], ends_group[of_a], low, links)
 
 
+#: bytes of parts that a task keeps before it starts anew, each taken as its own bytes and PART_BYTES
+CACHE = 128 << 20
+PART_BYTES = 600
+
+
+def cuts(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Places of the blanks that texts are cut at: single ones, neither first nor last in a text, between characters that
+    can't be white space: ASCII from ! on, or others that the leading bytes of white space beyond ASCII don't begin."""
+    if not len(data):
+        return np.zeros(0, dtype=np.int64)
+    at = np.flatnonzero(data == 0x20)
+    first, end = np.zeros(len(data) + 1, dtype=bool), np.zeros(len(data) + 1, dtype=bool)
+    first[texts[:-1]] = True
+    end[texts[1:]] = True
+    at = at[~first[at] & ~end[at + 1]]
+    before, after = data[at - 1], data[at + 1]
+    # U+0085, U+00A0, U+1680, U+2000 to U+205F and U+3000 begin with these bytes
+    fits_after = (after > 0x20) & (after != 0x7F) & ~np.isin(after, [0xC2, 0xE1, 0xE2, 0xE3])
+    two = (before >= 0x80) & (at > 1) & (data[at - 2] >= 0xC3) & (data[at - 2] <= 0xDF)
+    return at[fits_after & (((before > 0x20) & (before < 0x7F)) | two)]
+
+
+class Parts:
+    """Parts of texts, each encoded and aligned when it is first met and known by its number from then on."""
+
+    def __init__(self, tokenizers: Tokenizers, most: int = CACHE):
+        self.tokenizers, self.most = tokenizers, most
+        self._reset()
+
+    def _reset(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.kept = 0
+        self.right = np.zeros(0, dtype=bool)
+        self.said = np.zeros(0, dtype=object)
+        self.sizes = {name: np.zeros(0, dtype=np.int64) for name in ("a", "b", "groups", "pairs")}
+        self.values = {name: np.zeros(0, dtype=np.int64) for name in ("a", "b", "group_a", "group_b", "pairs")}
+
+    def _learn(self, parts: list[bytes]) -> None:
+        texts = [part.decode() for part in parts]
+        made = align(texts, self.tokenizers)
+        text, one, two = made.pairs()
+        counts = {"a": np.diff(made.of_a), "b": np.diff(made.of_b), "groups": np.diff(made.of_groups), "pairs": np.bincount(text, minlength=len(parts))}
+        first = made.of_groups[:-1]
+        found = {
+            "a": made.a, "b": made.b, "group_a": made.group_a - np.repeat(first, counts["a"]), "group_b": made.group_b - np.repeat(first, counts["b"]),
+            "pairs": one * len(self.tokenizers.bytes_b) + two,
+        }
+        self.right = np.concatenate([self.right, counts["a"] > 0])
+        said = np.empty(len(parts), dtype=object)
+        said[:] = list(made.descriptions(self.tokenizers))
+        self.said = np.concatenate([self.said, said])
+        self.sizes = {name: np.concatenate([old, counts[name]]) for name, old in self.sizes.items()}
+        self.values = {name: np.concatenate([old, found[name]]) for name, old in self.values.items()}
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the parts of all texts end to end, and where each text's begin. Texts that are not cut alike on both
+        sides, or are null or empty, have none."""
+        if self.kept > self.most:
+            self._reset()
+        data, bounds = text_bytes(texts)
+        at = cuts(data, bounds) if self.tokenizers.cut else np.zeros(0, dtype=np.int64)
+        full = np.diff(bounds) > 0
+        inside = np.ones(len(data), dtype=bool)
+        inside[at] = False
+        # a part begins with a text, and after every cut
+        starts = np.union1d(bounds[:-1][full], at + 1)
+        gone = np.concatenate([[0], np.cumsum(~inside)])
+        offsets = np.append(starts - gone[starts], len(data) - len(at))
+        column = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+        coded = column.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = [part for part in distinct if part not in self.number]
+        if new:
+            self._learn(new)
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+            self.kept += sum(map(len, new)) + PART_BYTES * len(new)
+        places = np.fromiter(map(self.number.__getitem__, distinct), dtype=np.int64, count=len(distinct))[coded.indices.to_numpy()]
+        of = np.searchsorted(starts, bounds)
+        wrong = np.concatenate([[0], np.cumsum(~self.right[places])])
+        good = (wrong[of[1:]] == wrong[of[:-1]]) & full
+        counts = np.where(good, np.diff(of), 0)
+        return places[np.repeat(good, np.diff(of))], np.concatenate([[0], np.cumsum(counts)])
+
+    def take(self, name: str, size: str, places: np.ndarray) -> np.ndarray:
+        """Values of the given parts, end to end."""
+        sizes = self.sizes[size][places]
+        begin = (np.cumsum(self.sizes[size]) - self.sizes[size])[places]
+        return self.values[name][np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))]
+
+
+@lru_cache(maxsize=1)
+def _parts(path_a: str, path_b: str) -> Parts:
+    """One for all tasks of a Python worker."""
+    return Parts(Tokenizers(path_a, path_b))
+
+
+def _bounds(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Where each text's share of a number of values for every part begins."""
+    return np.concatenate([[0], np.cumsum(values)])[of]
+
+
 def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.astype(np.int32)))
 
@@ -165,11 +280,17 @@ def alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, "text"):
-                made = align(block.column("text").to_pylist(), _tokenizers(path_a, path_b))
-                first = made.of_groups[:-1]
-                of_a, of_b = (group - np.repeat(first, np.diff(of)) for group, of in ((made.group_a, made.of_a), (made.group_b, made.of_b)))
-                columns = [_lists(made.a, made.of_a), _lists(of_a, made.of_a), _lists(made.b, made.of_b), _lists(of_b, made.of_b)]
-                yield pa.RecordBatch.from_arrays([block.column("doc_id"), *columns], names=names)
+                parts = _parts(path_a, path_b)
+                places, of = parts.of(block.column("text"))
+                groups = parts.sizes["groups"][places]
+                before = np.cumsum(groups) - groups - np.repeat(_bounds(groups, of)[:-1], np.diff(of))
+                columns = [block.column("doc_id")]
+                for side in ("a", "b"):
+                    sizes = parts.sizes[side][places]
+                    bounds = _bounds(sizes, of)
+                    numbers = parts.take(f"group_{side}", side, places) + np.repeat(before, sizes)
+                    columns += [_lists(parts.take(side, side, places), bounds), _lists(numbers, bounds)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return kept.mapInArrow(run, "doc_id long, " + ", ".join(f"{name} array<int>" for name in names[1:]))
@@ -184,18 +305,23 @@ def _summaries(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, "text"):
-                tokenizers = _tokenizers(path_a, path_b)
-                made = align(block.column("text").to_pylist(), tokenizers)
-                text, one, two = made.pairs()
-                width = len(tokenizers.bytes_b)
-                found, times = np.unique((text * len(tokenizers.bytes_a) + one) * width + two, return_counts=True)
-                text, found = np.divmod(found, len(tokenizers.bytes_a) * width)
+                parts = _parts(path_a, path_b)
+                places, of = parts.of(block.column("text"))
+                sizes = [np.diff(_bounds(parts.sizes[name][places], of)) for name in ("a", "b", "groups", "pairs")]
+                said = parts.said[places]
+                digests = [hashlib.sha256(b";".join(said[low:high].tolist())).hexdigest() if high > low else "" for low, high in zip(of[:-1].tolist(), of[1:].tolist(), strict=True)]
+                # each text's distinct parts first, then the pairs in those
+                known, width = len(parts.right), len(parts.tokenizers.bytes_b)
+                key, times = np.unique(np.repeat(np.arange(block.num_rows), np.diff(of)) * known + places, return_counts=True)
+                text, place = np.divmod(key, max(1, known))
+                counts = parts.sizes["pairs"][place]
+                codes = width * len(parts.tokenizers.bytes_a)
+                found, at = np.unique(np.repeat(text, counts) * codes + parts.take("pairs", "pairs", place), return_inverse=True)
+                times = np.bincount(at, weights=np.repeat(times, counts), minlength=len(found))
+                text, pair = np.divmod(found, codes)
                 bounds = np.searchsorted(text, np.arange(block.num_rows + 1))
-                links = np.concatenate([[0], np.cumsum(made.links)])[made.of_a]
-                said = [hashlib.sha256(groups).hexdigest() if groups else "" for groups in made.descriptions(tokenizers)]
-                sizes = [np.diff(made.of_a), np.diff(made.of_b), np.diff(made.of_groups), np.diff(links)]
-                lists = [_lists(found // width, bounds), _lists(found % width, bounds), _lists(times, bounds)]
-                yield pa.RecordBatch.from_arrays([block.column("doc_id"), *map(pa.array, sizes), pa.array(said, pa.string()), *lists], names=_NAMES)
+                lists = [_lists(pair // width, bounds), _lists(pair % width, bounds), _lists(times, bounds)]
+                yield pa.RecordBatch.from_arrays([block.column("doc_id"), *map(pa.array, sizes), pa.array(digests, pa.string()), *lists], names=_NAMES)
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return kept.mapInArrow(run, _SUMMARY)

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -91,6 +92,27 @@ def test_documents_equal_brute_force(spark, sf):
     assert sorted(map(tuple, found)) == sorted((doc, *row) for (doc, _), row in zip(rows, _expected([text for _, text in rows]), strict=True))
 
 
+def test_parts_have_the_tokens_of_the_whole():
+    """Random texts of words, marks, blanks and white space of every kind."""
+    random = np.random.default_rng(12)
+    pieces = ["the", "Été", "don't", "'s", "日本", "x1", "42", "…", "🙂", "-", ".", ",", "_", "ß", "\u200b", "\u0301", "I'll", "<s>", "▁", "\x7f", "\x00", "é", "À"]
+    spaces = [" ", " ", " ", " ", "  ", "\n", "\t", "\xa0", "\u2003", "\u3000", "\x85", "\u2028", " \n ", "\x0b", "\x1c", "\u1680", "\r\n", "\u205f", ""]
+    texts = ["".join(str(random.choice(part)) for _ in range(int(random.integers(1, 25))) for part in (pieces, spaces)) for _ in range(3000)]
+    texts += [str(random.choice(spaces)) + text for text in texts[:300]] + TEXTS
+    tokenizers = alignment.Tokenizers(*PATHS)
+    assert tokenizers.cut
+    a, b = tokenizers.encode([text or "" for text in texts])
+    for most in (1 << 27, 0):
+        parts = alignment.Parts(tokenizers, most)
+        for low in range(0, len(texts), 1500):
+            some = slice(low, low + 1500)
+            places, of = parts.of(pa.array(texts[some]))
+            for side, expected in (("a", a), ("b", b)):
+                bounds = alignment._bounds(parts.sizes[side][places], of)
+                found = np.split(parts.take(side, side, places), bounds[1:-1])
+                assert [x.tolist() for x in found] == [list(x) for x in expected[some]]
+
+
 def test_alignments(spark):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
     digests = [row[-1] for row in _expected(TEXTS)]
