@@ -34,6 +34,10 @@ HEADLINE = [
     "iforest_profile_pas",
     "ocsvm_profile_pas",
     "daily_train_and_score",
+    "classifier_cv_accuracy",
+    "model_store_every_day",
+    "event_stream_batches",
+    "iforest_event_eas",
 ]
 
 

@@ -117,7 +117,17 @@ def _clamped(value: str, low: str, high: str) -> str:
     return f"greatest(0e0, least(100e0, ({value} - {low}) / ({high} - {low}) * 100e0))"
 
 
-SED = " + ".join(_distance(COUNTERS, c) for c in ([0, 0, 0, 0, 0, 0], [1, 2, 1, 0, 3, 1], [4, 1, 0, 2, 2, 0]))
+def _squared(centre: list[float]) -> str:
+    return "(" + " + ".join(f"({c} - {v}) * ({c} - {v})" for c, v in zip(COUNTERS, centre)) + ")"
+
+
+STORED_SCORES = f"""with {SCORES}
+      select name, type, time_window, 1700000000000::bigint execution_timestamp, {", ".join(COUNTERS)}, zscore,
+        coalesce(pas_kmeans, 0) pas_kmeans, coalesce(pas_isolation, 0) pas_isolation, coalesce(pas_svm, 0) pas_svm,
+        coalesce(pas, 0) pas, y, m, d from scores"""
+
+CENTRES = ([0, 0, 0, 0, 0, 0], [1, 2, 1, 0, 3, 1], [4, 1, 0, 2, 2, 0])
+SED = " + ".join(_distance(COUNTERS, c) for c in CENTRES)
 FOREST = """(
   case when logins_count <= 1.5 then (case when pri_count <= 0.5 then 3.7 else 2.0 end) else 1.9 end
   + case when fileactivity_count <= 2.5 then 5.25 else (case when failedlogin_count <= 0.5 then 3.0 else 2.5 end) end
@@ -198,14 +208,11 @@ ORACLE: dict[str, str] = {
       select num1, num2, cat1 from msg where event_type in ('click', 'view') order by event_id limit 1500""",
     "event_intake_all": f"""with {MESSAGES}
       select num1, num2, cat1 from msg where event_type in ('click', 'view')""",
-    "model_store_daily": f"with {AGG} select name, type, y, m, d, true model_found, true same from agg where y = 2024 and m = 1 and d <= 3",
     "model_store_every_day": f"with {AGG} select name, type, y, m, d, true model_found, true same from agg",
     "event_model_stream": """select cast(event_id as varchar) guid, true in_range, true same
       from events where event_type in ('click', 'view')""",
-    "score_sink_roundtrip": f"""with {SCORES}
-      select name, type, time_window, 1700000000000::bigint execution_timestamp, {", ".join(COUNTERS)}, zscore,
-        coalesce(pas_kmeans, 0) pas_kmeans, coalesce(pas_isolation, 0) pas_isolation, coalesce(pas_svm, 0) pas_svm,
-        coalesce(pas, 0) pas, y, m, d from scores""",
+    "score_sink_roundtrip": STORED_SCORES,
+    "profile_score_table": STORED_SCORES,
     "export_capped_json": """select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders order by o_orderkey limit 1000""",
     "adhoc_sql": ADHOC.format(orders="orders", customer="customer"),
     "script_activity_filter": f"""with {WIN} select event_id, windowseventid, windowsprocessname, windowslogontype
@@ -214,6 +221,7 @@ ORACLE: dict[str, str] = {
     "alert_score_normalised": f"with {AGG}, {_alert_rows()} select * from alrt",
     "alert_score_rescaled": f"with {AGG}, {_alert_rows(True)} select * from alrt",
     "final_anomaly_view": _final(),
+    "overall_score_views": f"select name, type, y, m, d, win_total_events, overall_anomaly_score from ({_final()})",
     "final_anomaly_view_by_type": _final("and p.type = t.type"),
     "user_counter_rollup": f"""with {AGG}, spelled as (
         select *, case when d % 2 = 0 then upper(name) else name end username from agg where type = 'user')
@@ -274,6 +282,9 @@ ORACLE: dict[str, str] = {
     "string_index": """with r as (select event_type, cast(row_number() over (order by count(*) desc, event_type) - 1 as double) i
         from events group by event_type)
       select event_id, event_type, i event_type_index from events join r using (event_type)""",
+    "string_index_of_many": """with e as (select l_orderkey, l_linenumber, cast(cast(round(l_extendedprice * 100) as bigint) as varchar) price from lineitem),
+      r as (select price, cast(row_number() over (order by count(*) desc, price) - 1 as double) price_index from e group by price)
+      select l_orderkey, l_linenumber, price_index from e join r using (price)""",
     "onehot_standardise": """with r as (select event_type, row_number() over (order by count(*) desc, event_type) - 1 i
         from events group by event_type), f as (select avg(value) a, stddev_samp(value) s, stddev_pop(value) p from events)
       select event_id, cast(i = 0 as int) slot0, cast(i = 1 as int) slot1, cast(i = 2 as int) slot2, cast(i = 3 as int) slot3,
@@ -298,8 +309,22 @@ ORACLE: dict[str, str] = {
         round(coalesce(c, 0) / (n * w), 6) density from range(20) t(i) left join b on b.bin = t.i, r""",
     "normal_density": """with f as (select avg(value) a, stddev_pop(value) s from events)
       select event_id, round(exp(-0.5e0 * power((value - a) / s, 2)) / (s * sqrt(2e0 * pi())), 9) density from events, f""",
+    "density_histogram": """with r as (select event_type, min(value) lo, (max(value) - min(value)) / 10e0 w, count(*) n from events group by event_type),
+      b as (select event_type, cast(least(floor((value - lo) / w), 9) as int) bin, count(*) c from events join r using (event_type) group by all),
+      every as (select event_type, lo, w, n, cast(i as int) bin from r, range(10) t(i))
+      select event_type, bin, coalesce(c, 0) as count, round(lo + bin * w, 6) bin_start, round(lo + (bin + 1) * w, 6) bin_end,
+        round(coalesce(c, 0) / (n * w), 6) density from every left join b using (event_type, bin)""",
+    "onehot_drop_last": """with r as (select event_type, row_number() over (order by count(*) desc, event_type) - 1 i from events group by event_type)
+      select event_id, cast((select count(*) from r) - 1 as int) slots, cast(i = 0 as int) slot0, cast(i = 1 as int) slot1,
+        cast(i = 2 as int) slot2, cast(i = 3 as int) slot3 from events join r using (event_type)""",
+    "cluster_ids": f"""with {AGG}, near as (select type, {", ".join(f"{_squared(c)} d{k}" for k, c in enumerate(CENTRES))} from agg)
+      select distinct type, case when d0 <= d1 and d0 <= d2 then 0 when d1 <= d2 then 1 else 2 end cluster_id from near""",
+    "label_coordinates": f"""with {SCORES} select name, type, y, m, d, {", ".join(COUNTERS)}, cast(pas > 60 as int) anomaly
+      from scores where pas is not null""",
+    "event_alert_table": EVENT_SCORES,
     "event_batch_scoring": EVENT_SCORES,
     "event_stream_scoring": EVENT_SCORES,
+    "event_stream_batches": EVENT_SCORES,
     "model_store_roundtrip": f"with {AGG} select name, type, y, m, d, true as same from agg",
     "request_routing": """select c_custkey request_id, case when c_custkey % 5 <> 0 then 'os_log' else 'other_log' end source,
         case when c_custkey % 2 = 0 then 'entity' when c_custkey % 3 <> 0 then 'user' end as type,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -21,7 +22,7 @@ from sentrail.operators.ocsvm import MODEL_FIELDS, OneClassModel, fit_one_class
 from sentrail.plans import daily, overall, requests
 from sentrail.session import materialise, scratch_path
 from sentrail.sources import sinks, tables, topic
-from sentrail.streaming.events import epoch_millis, score_events, write_stream
+from sentrail.streaming.events import compact_batches, epoch_millis, read_batches, score_events, write_batches, write_stream
 from sentrail.streaming.windows import stream_profiles
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,6 +159,28 @@ def score_sink_roundtrip(spark, sf):
     return spark.read.orc(path)
 
 
+def _through_table(spark, rows, schema):
+    """Rows written by name into a partitioned table of its own, some of them twice, and what the table then holds."""
+    table, path = f"scores_{uuid.uuid4().hex}", scratch_path(spark, "table")
+    sinks.create_score_table(spark, table, schema, location=path)
+    sinks.write_scores_table(rows, table)
+    sinks.write_scores_table(rows.where("d % 2 = 0"), table)
+    spark.sql(f"DROP TABLE {table}")
+    return spark.read.schema(", ".join(schema.split(", "))).orc(path)
+
+
+@query
+def profile_score_table(spark, sf):
+    scores = blended(I.frozen_scores(activity(spark, sf)))
+    return _through_table(spark, sinks.score_rows(scores, execution_ms=1_700_000_000_000), sinks.PROFILE_SCORE_SCHEMA)
+
+
+@query
+def event_alert_table(spark, sf):
+    scored = materialise(_event_scores(I.messages(spark, sf)), "event-scores")
+    return _rounded(_through_table(spark, scored, sinks.EVENT_SCORE_SCHEMA))
+
+
 @query
 def export_capped_json(spark, sf):
     orders = I.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
@@ -226,6 +249,22 @@ def final_anomaly_view_by_type(spark, sf):
     return alerts.overall_score(scores, alerts.alert_scores(day_rows), match_type=True)
 
 
+@query
+def overall_score_views(spark, sf):
+    """Views over an event table and a score table, read back by name."""
+    mark = uuid.uuid4().hex
+    events, stored, day_view, final = (f"{name}_{mark}" for name in ("events", "scores", "daily_activity", "overall_scores"))
+    path = scratch_path(spark, "view-scores")
+    sinks.write_scores_path(sinks.score_rows(blended(I.frozen_scores(activity(spark, sf))), execution_ms=1_700_000_000_000), path)
+    I.win(spark, sf).createOrReplaceTempView(events)
+    spark.read.parquet(path).createOrReplaceTempView(stored)
+    overall.create_views(spark, events, stored, day_view, final)
+    rows = spark.table(final).select("name", "type", *DAY_COLS, "win_total_events", "overall_anomaly_score")
+    for view in (events, stored, day_view, final):
+        spark.catalog.dropTempView(view)
+    return rows
+
+
 @query
 def user_counter_rollup(spark, sf):
     users = activity(spark, sf).where(F.col("type") == "user")
@@ -362,6 +401,22 @@ def _identity_scaling(spark):
     return spark.createDataFrame(rows, "type string, _n bigint, _means array<double>, _sds array<double>")
 
 
+CENTRES = [[0, 0, 0, 0, 0, 0], [1, 2, 1, 0, 3, 1], [4, 1, 0, 2, 2, 0]]
+
+
+@query
+def cluster_ids(spark, sf):
+    """The clusters that each actor type's profiles fall into, under given centroids."""
+    nearest = S.nearest_centroid([F.col(c) for c in PROFILE_COUNTERS], CENTRES)
+    return activity(spark, sf).select("type", nearest.alias("cluster_id")).distinct()
+
+
+@query
+def label_coordinates(spark, sf):
+    scored = blended(I.frozen_scores(activity(spark, sf))).withColumn("anomaly", S.anomaly_label(F.col("pas")))
+    return scoring.label_coordinates(scored, [*KEYS, *PROFILE_COUNTERS])
+
+
 @query
 def iforest_frozen_score(spark, sf):
     # three trees over (logins, pri), (failedlogin, fileactivity) and (other_scripts, ps)
@@ -381,9 +436,9 @@ def iforest_frozen_score(spark, sf):
 @query
 def ocsvm_frozen_score(spark, sf):
     points = [0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0, 2.0, 0.0, 1.0, 0.0, 1.0]
-    rows = [(kind, "exact", 1.25, [1.5, 0.5], points, [], None) for kind in ("user", "entity")]
+    rows = [(kind, 1.25, 0.0, [1.5, 0.5], points, []) for kind in ("user", "entity")]
     model = OneClassModel(
-        spark.createDataFrame(rows, f"type string, {MODEL_FIELDS}"), _identity_scaling(spark), ("type",), PROFILE_COUNTERS, (), 0.1, 42
+        spark.createDataFrame(rows, f"type string, {MODEL_FIELDS}"), _identity_scaling(spark), ("type",), PROFILE_COUNTERS, (), 0.1
     )
     scored = model.raw(written_activity(spark, sf), KEYS, rows_per_task=1_000)
     return scored.select(*KEYS, F.round("score", 6).alias("score"))
@@ -395,8 +450,16 @@ def ocsvm_frozen_score(spark, sf):
 @query
 def string_index(spark, sf):
     events = I.table(spark, sf, "events")
-    (indexer,) = features.indexers(["event_type"])
-    return indexer.fit(events).transform(events).select("event_id", "event_type", "event_type_index")
+    ranks = features.category_ranks(events, "event_type")
+    return features.index_categories(events, ranks, "event_type").select("event_id", "event_type", "event_type_index")
+
+
+@query
+def string_index_of_many(spark, sf):
+    """A column with nearly as many categories as rows."""
+    lines = I.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.round(F.col("l_extendedprice") * 100).cast("long").cast("string").alias("price"))
+    ranks = features.category_ranks(lines, "price")
+    return features.index_categories(lines, ranks, "price").select("l_orderkey", "l_linenumber", "price_index")
 
 
 @query
@@ -413,6 +476,15 @@ def onehot_standardise(spark, sf):
     )
 
 
+@query
+def onehot_drop_last(spark, sf):
+    """One-hot vectors without the rarest category's slot."""
+    events = I.table(spark, sf, "events")
+    model = features.feature_pipeline([], ["event_type"], one_hot=True, handle_invalid="error").fit(events)
+    parts = vector_to_array("features")
+    return model.transform(events).select("event_id", F.size(parts).alias("slots"), *[parts[i].cast("int").alias(f"slot{i}") for i in range(4)])
+
+
 @query
 def interaction_features(spark, sf):
     counters = ["logins_count", "pri_count", "ps_count"]
@@ -438,6 +510,12 @@ def histogram_bins(spark, sf):
     return bins.select("bin", "count", *[F.round(c, 6).alias(c) for c in ("bin_start", "bin_end", "density")])
 
 
+@query
+def density_histogram(spark, sf):
+    bins = eda.density_histogram(I.table(spark, sf, "events"), "value", ["event_type"])
+    return bins.select("event_type", "bin", "count", *[F.round(c, 6).alias(c) for c in ("bin_start", "bin_end", "density")])
+
+
 @query
 def normal_density(spark, sf):
     density = eda.normal_density(I.table(spark, sf, "events"), "value")
@@ -473,6 +551,19 @@ def event_stream_scoring(spark, sf):
     return _rounded(spark.read.schema(scored.schema).parquet(out))
 
 
+@query
+def event_stream_batches(spark, sf):
+    """The same through batches of a file each, whose small files are then written together."""
+    arriving = I.messages(spark, sf)
+    incoming, out, mark = (scratch_path(spark, n) for n in ("messages", "event-batches", "event-checkpoint"))
+    arriving.repartition(3, "offset").write.parquet(incoming)
+    schema = _event_scores(arriving).schema
+    stream = topic.stream_files(spark, incoming, arriving.schema, per_batch=1)
+    write_batches(stream, lambda rows, _model: _event_scores(rows), out, mark, once=True).awaitTermination()
+    compact_batches(spark, out, schema)
+    return _rounded(read_batches(spark, out, schema))
+
+
 # ------------------------------------------------------------ trained models
 
 
@@ -566,12 +657,6 @@ def model_store_every_day(spark, sf):
     return _stored_by_day(spark, sf)
 
 
-@query
-def model_store_daily(spark, sf):
-    """Of the same work on all days, the days that its SQL lists."""
-    return _stored_by_day(spark, sf).where("y = 2024 and m = 1 and d <= 3")
-
-
 @query
 def event_model_stream(spark, sf):
     """A model trained on the intake, saved, loaded, and scoring the same messages as a batch and as a stream."""
@@ -613,9 +698,9 @@ def request_routing(spark, sf):
 @query
 def request_scoring(spark, sf):
     training = materialise(activity(spark, sf).withColumn("source", F.lit("os_log")), "training")
-    models = daily.train(training, group_cols=["source", "type"], key_cols=KEYS)
-    asked = materialise(_requests(spark, sf), "requests")
-    scored = requests.score_requests(asked, models, ["request_id"])
+    path = modelstore.model_path(scratch_path(spark, "models"), "os_log", "profile", "detectors", "requests")
+    daily.save(spark, daily.train(training, group_cols=["source", "type"], key_cols=KEYS), path)
+    scored = requests.score_stored(_requests(spark, sf), path, ["source", "type"], ["request_id"])
     return scored.select("request_id", "source", "type", "name", "pas", "model_found")
 
 

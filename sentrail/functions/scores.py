@@ -32,6 +32,12 @@ def sed_array(features: Column, centroids: Column) -> Column:
     return F.aggregate(centroids, F.lit(0.0), lambda acc, centre: acc + distance(centre))
 
 
+def nearest_centroid(features: Sequence[Column], centroids: Sequence[Sequence[float]]) -> Column:
+    """Number of the centroid closest to the features; of equally close ones the first."""
+    squared = [sum(((f - F.lit(float(c))) * (f - F.lit(float(c))) for f, c in zip(features, centre, strict=True)), F.lit(0.0)) for centre in centroids]
+    return F.array_position(F.array(*squared), F.array_min(F.array(*squared))).cast("int") - 1
+
+
 def minmax(value: Column, low: Column, high: Column, constant_value: float = 0.0) -> Column:
     """Scale to 0-100 by the fitted range and clamp. ``constant_value`` is the score where the
     fitted range is a single point (50 for the distance model, 0 for the others)."""

@@ -27,11 +27,12 @@ def alert_scores(
     counts: Sequence[str] = ALERT_COUNTS,
     day_cols: Sequence[str] = DAY_COLS,
     rescale: bool = False,
+    lazy: bool = False,
 ) -> DataFrame:
     """Each alert count in percent of its day's range over all actors; 0 on a day without range.
 
     The smallest count is not subtracted, so scores can pass 100; ``rescale=True`` subtracts it.
-    ``activity`` is read twice (ranges, rows): pass a written table.
+    ``activity`` is read twice (ranges, rows): pass a written table. ``lazy`` runs nothing now, for views.
     """
     days = list(day_cols)
     ranges = activity.groupBy(*days).agg(
@@ -43,7 +44,8 @@ def alert_scores(
         part = F.col(count) - F.col(f"_low_{count}") if rescale else F.col(count)
         return S.guarded_percent(part, F.col(f"_range_{count}")).alias(_score_name(count))
 
-    return join_small(activity, materialise(ranges, "alert-ranges"), days).select(
+    placed = activity.join(ranges, days) if lazy else join_small(activity, materialise(ranges, "alert-ranges"), days)
+    return placed.select(
         "name", "type", *days, "total_events", *counts, *[score(c) for c in counts]
     )
 

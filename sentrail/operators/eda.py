@@ -88,6 +88,11 @@ def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS, group_cols
     )
 
 
+def density_histogram(df: DataFrame, column: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """The coarser histogram that a density curve is drawn over."""
+    return histogram(df, column, DENSITY_BINS, group_cols)
+
+
 def normal_density(df: DataFrame, column: str, group_cols: Sequence[str] = (), out: str = "density") -> DataFrame:
     """Density of a normal curve with the column's mean and population deviation at each value."""
     rows, group = _grouped(df, group_cols)

@@ -10,7 +10,9 @@ from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sentrail.operators.grouped import join_small, ranked
 from sentrail.operators.quantiles import exact_quantiles
+from sentrail.session import materialise, row_count
 
 
 def indexers(cat_cols: Sequence[str], handle_invalid: str = "keep") -> list[StringIndexer]:
@@ -19,6 +21,20 @@ def indexers(cat_cols: Sequence[str], handle_invalid: str = "keep") -> list[Stri
     return [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid=handle_invalid) for c in cat_cols]
 
 
+def category_ranks(df: DataFrame, column: str) -> DataFrame:
+    """(column, index) of every category: 0 for the most frequent, equally frequent ones by name. A written table, ranked
+    by ranges: a category per row needs neither a list on the driver nor a task that sees them all."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    order = [F.col("_n").desc(), F.col(column).asc()]
+    return materialise(ranked(counts, [], order, f"{column}_index").select(column, F.col(f"{column}_index").cast("double")), "category-ranks")
+
+
+def index_categories(df: DataFrame, ranks: DataFrame, column: str, handle_invalid: str = "keep") -> DataFrame:
+    """Adds the frequency index of ``column``. Unseen and null values get the index after the last ("keep") or lose their row ("skip")."""
+    joined = join_small(df, ranks, [column], "left" if handle_invalid == "keep" else "inner", row_bytes=64)
+    return joined.withColumn(f"{column}_index", F.coalesce(f"{column}_index", F.lit(float(row_count(ranks)))))
+
+
 def encoders(cat_cols: Sequence[str]) -> list[OneHotEncoder]:
     """One-hot vectors of the indexes without the last slot. Behind indexers that keep invalid values
     that slot is theirs, so each category has one and unknown values are all zeros; behind others

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sentrail.session import row_count
+from sentrail.session import materialise, row_count, written_bytes
 
 BROADCAST_BYTES = 64 << 20
 SALTS = 64
+PACKED = 4
+#: files have headers: a table below this is small whatever it is allowed
+LEAST_BYTES = 1 << 20
 
 
 def join_small(
@@ -25,8 +28,8 @@ def join_small(
 ) -> DataFrame:
     """Join a per-group table to the rows it describes.
 
-    ``small`` should come from ``materialise``, where counting it is cheap. It is counted first
-    and broadcast only within ``max_bytes``. Beyond that each of its rows is repeated once
+    ``small`` should come from ``materialise``, which knows its bytes and makes counting it cheap. It is
+    broadcast only where its rows and its written bytes allow. Beyond that each of its rows is repeated once
     per salt and the join runs on (keys, salt), so a hot group still spreads over many tasks.
     """
     if fits_broadcast(small, row_bytes, max_bytes):
@@ -35,8 +38,9 @@ def join_small(
 
 
 def fits_broadcast(small: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether a table is small enough to send to every executor."""
-    return row_count(small) <= max(1, max_bytes // row_bytes)
+    """Whether a table is small enough to send to every executor: by its rows, and by its bytes as written,
+    which take about ``PACKED`` times as much in memory."""
+    return row_count(small) <= max(1, max_bytes // row_bytes) and PACKED * (written_bytes(small) or 0) <= max(max_bytes, LEAST_BYTES)
 
 
 def salted_join(left: DataFrame, small: DataFrame, on: Sequence[str], how: str, salts: int = SALTS) -> DataFrame:
@@ -83,6 +87,28 @@ def dense_index(
     )
 
 
+def ranked(df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str = "_rank") -> DataFrame:
+    """0-based rank of every row within ``by`` (which may be empty), in ``order``, without a window over a whole group.
+
+    Rows are dealt by ranges of (by, order) and numbered inside a range; a group's earlier ranges, of which there
+    are no more than tasks, tell where its numbers go on. Ties in ``order`` are numbered in any order.
+    """
+    sorting = [*[F.col(c) for c in by], *order]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(parts, *sorting).sortWithinPartitions(*sorting).withColumn("_part", F.spark_partition_id())
+    dealt = materialise(dealt, "ranges")
+    local = Window.partitionBy(*by, "_part").orderBy(*order)
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_in"))
+    starts = starts.withColumn("_from", F.coalesce(F.sum("_in").over(before), F.lit(0))).drop("_in")
+    named = starts.select(*[F.col(c).alias(f"_of_{c}") for c in by], F.col("_part").alias("_of_part"), "_from")
+    same = F.col("_part") == F.col("_of_part")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    numbered = dealt.withColumn("_local", F.row_number().over(local) - 1).join(named, same)
+    return numbered.select(*df.columns, (F.col("_from") + F.col("_local")).alias(out))
+
+
 def salt_groups(
     rows: DataFrame,
     model: DataFrame,

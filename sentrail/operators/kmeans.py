@@ -5,19 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from sentrail.functions import scores as S
+from sentrail.functions.moments import moment_sums, moments
 from sentrail.operators.features import feature_pipeline, standardise
-from sentrail.operators.grouped import fits_broadcast, join_small, salted_join
+from sentrail.operators.grouped import fits_broadcast, join_small, ranked, salted_join
 from sentrail.session import materialise
 
 # Cluster count, and the score of a constant training set.
@@ -143,8 +140,8 @@ def _category_index(df: DataFrame, group_cols: Sequence[str], cat_cols: Sequence
         .groupBy(*group_cols, "_c", "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    order = Window.partitionBy(*group_cols, "_c").orderBy(F.col("_n").desc(), "_v")
-    return counts.withColumn("_i", (F.row_number().over(order) - 1).cast("double")).drop("_n")
+    placed = ranked(counts, [*group_cols, "_c"], [F.col("_n").desc(), F.col("_v").asc()], "_i")
+    return placed.withColumn("_i", F.col("_i").cast("double")).drop("_n")
 
 
 def _features(
@@ -181,33 +178,30 @@ def fit_grouped_distance(
     seed: int = 42,
     max_iter: int = 20,
     tol: float = 1e-4,
-    task_vectors: int = 20_000,
 ) -> GroupedDistanceModel:
     """Fit one k-means model per group, all groups in the same jobs.
 
-    Equal feature vectors are counted together first. A group with up to ``task_vectors``
-    distinct vectors is then fitted inside one task. Larger groups are fitted in passes over all
-    executors, each a broadcast of the centroids and a map-side combined sum, so neither a large
-    group nor a frequent vector gathers in one task. Both ways run the same steps.
+    Equal feature vectors are counted together first. Groups of every size are then fitted in the same passes over
+    all executors, each a broadcast of the centroids and a map-side combined sum, so neither a large
+    group nor a frequent vector gathers in one task.
 
     Starting centroids follow k-means++: each is drawn in proportion to count times squared
     distance, by giving each vector an exponential waiting time at that rate from a hash of its
     values and taking the smallest. Results do not depend on partitioning.
     """
     group = list(group_cols)
-    moments = df.groupBy(*group).agg(
-        F.array(*[F.avg(c) for c in num_cols]).cast("array<double>").alias("_means"),
-        F.array(*[F.stddev_samp(c) for c in num_cols]).cast("array<double>").alias("_sds"),
-        F.array(*[F.approx_count_distinct(c).cast("double") * 0.0 for c in cat_cols]).cast("array<double>").alias("_sizes"),
-    )
+    found = [moments(i, sample=True) for i in range(len(num_cols))]
+    fitted = [F.array(*[pair[k] for pair in found]).cast("array<double>").alias(name) for k, name in enumerate(("_means", "_sds"))]
+    none = F.array(*[F.lit(0.0) for _ in cat_cols]).cast("array<double>").alias("_sizes")
+    scaled = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *moment_sums(num_cols)).select(*group, *fitted, none)
     categories = None
     if cat_cols:
         categories = materialise(_category_index(df, group, cat_cols), "kmeans-categories")
         sizes = categories.groupBy(*group).agg(
             F.array(*[F.coalesce(F.max(F.when(F.col("_c") == i, F.col("_i") + 1)), F.lit(0.0)) for i in range(len(cat_cols))]).alias("_sizes")
         )
-        moments = moments.drop("_sizes").join(sizes, group, "left")
-    scaling = materialise(moments, "kmeans-scaling")
+        scaled = scaled.drop("_sizes").join(sizes, group, "left")
+    scaling = materialise(scaled, "kmeans-scaling")
 
     vectors = materialise(
         _features(
@@ -218,14 +212,9 @@ def fit_grouped_distance(
     width = len(num_cols) + len(cat_cols)
     # one row of centroids per group: the check made on the scaling table holds for every pass
     shape = _Shape(group, k, width, fits_broadcast(scaling, 64 + 8 * k * width))
-    sized = join_small(vectors, materialise(vectors.groupBy(*group).agg(F.count(F.lit(1)).alias("_distinct")), "kmeans-sizes"), group)
-    large = sized.where(F.col("_distinct") > task_vectors).drop("_distinct")
-    small = sized.where(F.col("_distinct") <= task_vectors).drop("_distinct")
-    centroids = _fit_in_tasks(small, shape, seed, max_iter, tol * STEPS)
-    if not large.isEmpty():
-        passes = _settle(large, _plus_plus(large, shape, seed), shape, max_iter, tol * STEPS)
-        present = [F.expr(f"CASE WHEN _c{j}_0 IS NOT NULL THEN array({', '.join(shape.centre(j))}) END") for j in range(k)]
-        centroids = centroids.unionByName(passes.select(*group, F.array_compact(F.array(*present)).alias("_centroids")))
+    passes = _settle(vectors, _plus_plus(vectors, shape, seed), shape, max_iter, tol * STEPS)
+    present = [F.expr(f"CASE WHEN _c{j}_0 IS NOT NULL THEN array({', '.join(shape.centre(j))}) END") for j in range(k)]
+    centroids = passes.select(*group, F.array_compact(F.array(*present)).alias("_centroids"))
     unit = F.transform("_centroids", lambda centre: F.transform(centre, lambda c: c / STEPS))
     centroids = centroids.withColumn("_centroids", unit)
     return GroupedDistanceModel(
@@ -268,40 +257,6 @@ class _Shape:
         return salted_join(vectors, centroids, self.group, "inner")
 
 
-def _fit_in_tasks(vectors: DataFrame, shape: _Shape, seed: int, max_iter: int, tol: float) -> DataFrame:
-    """One row of centroids per group, each group fitted whole by numpy in one task."""
-    features, draws = shape.features(), [f"_u{step}" for step in range(shape.k)]
-    drawn = vectors.selectExpr("*", *[f"{shape.uniform(seed, step)} AS {u}" for step, u in enumerate(draws)])
-    group, k = shape.group, shape.k
-
-    def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        x, w = pdf[features].to_numpy(float), pdf["_w"].to_numpy(float)
-        rate, chosen = w, []
-        for step in range(k):
-            if not (rate > 0).any():
-                break
-            with np.errstate(divide="ignore"):
-                waiting = np.where(rate > 0, -np.log(pdf[draws[step]].to_numpy(float)) / rate, np.inf)
-            chosen.append(x[np.argmin(waiting)])
-            rate = w * ((x[:, None, :] - np.array(chosen)[None]) ** 2).sum(-1).min(1)
-        centres = np.array(chosen)
-        for _ in range(max_iter):
-            nearest = ((x[:, None, :] - centres[None]) ** 2).sum(-1).argmin(1)
-            moved = centres.copy()
-            for j in range(len(centres)):
-                mine = nearest == j
-                if mine.any():
-                    moved[j] = (w[mine, None] * x[mine]).sum(0) / w[mine].sum()
-            shift = ((moved - centres) ** 2).sum(1).max()
-            centres = moved
-            if shift <= tol * tol:
-                break
-        return pd.DataFrame([[*key, centres.tolist()]], columns=[*group, "_centroids"])
-
-    schema = T.StructType([vectors.schema[c] for c in group]).add("_centroids", T.ArrayType(T.ArrayType(T.DoubleType())))
-    return drawn.groupBy(*group).applyInPandas(fit, schema)
-
-
 def _plus_plus(vectors: DataFrame, shape: _Shape, seed: int) -> DataFrame:
     """Up to k starting centroids per group; fewer where a group has fewer distinct vectors."""
     group, features = shape.group, ", ".join(shape.features())
@@ -347,8 +302,9 @@ def _settle(vectors: DataFrame, centroids: DataFrame, shape: _Shape, max_iter: i
             .withColumn("_k", F.expr(f"CASE {first} END"))
         )
         step = assigned.groupBy(*group).agg(*kept, *sums).selectExpr("*", *moved).selectExpr(*group, *renamed, shift)
-        moved_to = materialise(step, "kmeans-centroids")
+        moving = Observation()
+        moved_to = materialise(step.observe(moving, F.count(F.when(F.col("_shift") > tol * tol, 1)).alias("n")), "kmeans-centroids")
         centroids = moved_to.drop("_shift")
-        if moved_to.where(F.col("_shift") > tol * tol).isEmpty():
+        if not moving.get["n"]:
             break
     return centroids

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from sentrail.functions import scores as S
 from sentrail.functions.rules import GROUP_COLS, PROFILE_COUNTERS
 from sentrail.operators import modelstore as store
-from sentrail.operators.encoding import group_counts
+from sentrail.operators.encoding import score_rows
 from sentrail.operators.grouped import join_small
 from sentrail.operators.iforest import TREES, ForestModel, fit_forest
 from sentrail.operators.kmeans import CONSTANT_SCORE, GroupedDistanceModel, fit_grouped_distance
 from sentrail.operators.ocsvm import OneClassModel, fit_one_class
 from sentrail.operators.scoring import zscore_text, zscores
-from sentrail.session import materialise
+from sentrail.session import materialise, released
 from sentrail.sources.sinks import create_score_table, score_rows, write_scores_table
 from sentrail.sources.tables import profile_days
 
@@ -29,6 +29,9 @@ DETECTORS = {
 }
 
 
+ROWS_PER_TASK = 100_000
+
+
 @dataclass
 class ProfileModels:
     """Three detectors for the same groups, and ``ranges``: each raw score's training range."""
@@ -43,17 +46,18 @@ class ProfileModels:
 def _fit_detectors(profiles, num_cols, cat_cols, group_cols, key_cols, n_trees, seed):
     distance = fit_grouped_distance(profiles, num_cols, cat_cols, group_cols, seed=seed)
     forest = fit_forest(profiles, num_cols, cat_cols, group_cols, key_cols, n_trees=n_trees, seed=seed)
-    one_class = fit_one_class(profiles, num_cols, cat_cols, group_cols, seed=seed)
+    one_class = fit_one_class(profiles, num_cols, cat_cols, group_cols)
     return distance, forest, one_class
 
 
 def _raw_scores(profiles: DataFrame, detectors, key_cols: Sequence[str]) -> DataFrame:
     """All raw scores as columns of one frame, so they belong to the same row by construction."""
     distance, forest, one_class = detectors
-    counts = group_counts(profiles, forest.group_cols)
     scored = distance.raw(profiles, "_sed")
-    scored = forest.raw(scored, key_cols, "_isolation", counts=counts)
-    return materialise(one_class.raw(scored, key_cols, "_one_class", counts=counts), "raw-scores")
+    # forest and one-class model are evaluated on the same rows in one crossing to Python
+    encoded = one_class.encode(forest.encode(scored, "_f"), "_o")
+    scorers = [forest.scorer("_isolation", "_f"), one_class.scorer("_one_class", "_o")]
+    return materialise(score_rows(encoded, scorers, forest.group_cols, key_cols, ROWS_PER_TASK), "raw-scores")
 
 
 def _ranges(raw: DataFrame, group_cols: Sequence[str]) -> DataFrame:
@@ -132,9 +136,10 @@ def run(
     """The daily job: the last ``days`` days of a profile table, all days and actor types at once,
     into the score table. Running it again replaces the same days."""
     profiles = profile_days(spark.table(profile_table), last_day, days)
-    scores = train_and_score(profiles, models_path=models_path, **options)
     create_score_table(spark, score_table)
-    write_scores_table(score_rows(scores, execution_ms), score_table)
+    with released(spark):  # the scores are in their table, and the models in their store, when this ends
+        scores = train_and_score(profiles, models_path=models_path, **options)
+        write_scores_table(score_rows(scores, execution_ms), score_table)
 
 
 def save(spark: SparkSession, models: ProfileModels, path: str) -> None:
@@ -144,13 +149,13 @@ def save(spark: SparkSession, models: ProfileModels, path: str) -> None:
     store.save_tables(spark, f"{path}/ranges", {"ranges": models.ranges}, {"group_cols": list(models.group_cols)})
 
 
-def load(spark: SparkSession, path: str) -> ProfileModels | None:
-    """The saved models, or None unless all of them are there."""
+def load(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> ProfileModels | None:
+    """The saved models, or None unless all of them are there; with ``wanted``, those of its groups only."""
     parts = (
-        store.load_grouped_distance(spark, f"{path}/distance"),
-        store.load_forest(spark, f"{path}/forest"),
-        store.load_one_class(spark, f"{path}/one_class"),
-        store.load_tables(spark, f"{path}/ranges"),
+        store.load_grouped_distance(spark, f"{path}/distance", wanted),
+        store.load_forest(spark, f"{path}/forest", wanted),
+        store.load_one_class(spark, f"{path}/one_class", wanted),
+        store.load_tables(spark, f"{path}/ranges", wanted),
     )
     if any(part is None for part in parts):
         return None

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from sentrail.functions.rules import ACTORS, OS_LOG_RULES, ActivityRules
 from sentrail.operators.alerts import OVERALL_WEIGHTS, alert_scores, overall_score
@@ -27,3 +27,20 @@ def overall(
     match_type: bool = False,
 ) -> DataFrame:
     return overall_score(profile_scores, daily_alert_scores(events), weights, match_type)
+
+
+def create_views(
+    spark: SparkSession,
+    event_table: str,
+    score_table: str,
+    activity_view: str,
+    overall_view: str,
+    weights: Sequence[float] = OVERALL_WEIGHTS,
+    match_type: bool = False,
+) -> None:
+    """Two views of the session: the daily activity of a raw event table, and the overall scores of a score table
+    blended with that activity's alert scores. Names are arguments, so several pairs can live side by side. A
+    view holds no rows: each query of it reads the tables as they then are."""
+    daily_activity(spark.table(event_table)).createOrReplaceTempView(activity_view)
+    scored = overall_score(spark.table(score_table), alert_scores(spark.table(activity_view), lazy=True), weights, match_type)
+    scored.createOrReplaceTempView(overall_view)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentrail.plans import daily
+from sentrail.session import materialise
 
 
 def route(requests: DataFrame, address: str = "src_ip", user: str = "user_name") -> DataFrame:
@@ -28,3 +29,12 @@ def score_requests(requests: DataFrame, models: daily.ProfileModels, key_cols: S
     routed = F.col("type").isNotNull()
     names = ["pas_kmeans", "pas_isolation", "pas_svm", "pas"]
     return scored.withColumns({c: F.when(routed, F.col(c)) for c in names})
+
+
+def score_stored(requests: DataFrame, path: str, group_cols: Sequence[str], key_cols: Sequence[str]) -> DataFrame:
+    """The same with the models stored at ``path``, of which only the groups that are asked for are read."""
+    routed = materialise(route(requests), "requests")
+    models = daily.load(requests.sparkSession, path, routed.select(*group_cols))
+    if models is None:
+        raise ValueError(f"no models at {path}")
+    return score_requests(routed, models, key_cols)

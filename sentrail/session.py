@@ -6,6 +6,9 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,14 +54,40 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder, removed when the driver's file system closes."""
+    """A fresh path under the shared folder, removed when the innermost ``released`` ends, else when the driver's file
+    system closes."""
     path = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    files, hadoop_path = _file(spark, path)
+    files.deleteOnExit(hadoop_path)
+    scopes = _scopes.get()
+    if scopes:
+        scopes[-1].append(path)
     return path
 
 
+def _file(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()), hadoop_path
+
+
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scratch_scopes", default=())
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables made inside at the end: for work whose result is written elsewhere before that."""
+    made: list[str] = []
+    token = _scopes.set((*_scopes.get(), made))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in made:
+            files, hadoop_path = _file(spark, path)
+            files.delete(hadoop_path, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -69,7 +98,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._paths = [path]
+    return written
 
 
 def row_count(df: DataFrame) -> int:
@@ -77,3 +108,13 @@ def row_count(df: DataFrame) -> int:
     if not hasattr(df, "_row_count"):
         df._row_count = df.count()
     return df._row_count
+
+
+def written_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files of a table that ``materialise`` or the model store wrote; None for any other frame."""
+    if not hasattr(df, "_paths"):
+        return None
+    if not hasattr(df, "_bytes"):
+        found = [_file(df.sparkSession, path) for path in df._paths]
+        df._bytes = sum(files.getContentSummary(path).getLength() for files, path in found)
+    return df._bytes

@@ -25,9 +25,13 @@ EVENT_SCORE_SCHEMA = ", ".join(
 )
 
 
-def create_score_table(spark: SparkSession, table: str, schema: str = PROFILE_SCORE_SCHEMA, fmt: str = "orc") -> None:
-    """The score table, partitioned by day, unless it exists."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING {fmt} PARTITIONED BY ({', '.join(DAY_COLS)})")
+def create_score_table(
+    spark: SparkSession, table: str, schema: str = PROFILE_SCORE_SCHEMA, fmt: str = "orc", location: str | None = None
+) -> None:
+    """A score table (of profiles, or of events with ``EVENT_SCORE_SCHEMA``), partitioned by day, unless it exists.
+    With ``location`` its files lie there and outlive the table."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING {fmt} PARTITIONED BY ({', '.join(DAY_COLS)}){place}")
 
 
 def score_rows(scores: DataFrame, execution_ms: int, schema: str = PROFILE_SCORE_SCHEMA) -> DataFrame:

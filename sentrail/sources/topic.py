@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from sentrail.functions.text import ascii_text
 
 SOURCE_FIELD = "source.type"
+#: what a micro-batch takes at most, unless told otherwise
+MESSAGES_PER_BATCH = 1_000_000
+FILES_PER_BATCH = 1_000
 
 
 def read_topic(spark: SparkSession, brokers: str, topic: str, **options: str) -> DataFrame:
@@ -19,15 +22,24 @@ def read_topic(spark: SparkSession, brokers: str, topic: str, **options: str) ->
     return reader.option("startingOffsets", "earliest").options(**options).load()
 
 
-def stream_topic(spark: SparkSession, brokers: str, topic: str, group_id: str, **options: str) -> DataFrame:
-    """The topic as a stream; progress lives in the checkpoint, the group id names the reader."""
+def stream_topic(
+    spark: SparkSession, brokers: str, topic: str, group_id: str, per_batch: int | None = MESSAGES_PER_BATCH, **options: str
+) -> DataFrame:
+    """The topic as a stream; progress lives in the checkpoint, the group id names the reader. A micro-batch takes
+    up to ``per_batch`` messages, the first one too, however much the topic already holds."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", brokers).option("subscribe", topic)
-    return reader.option("kafka.group.id", group_id).options(**options).load()
+    reader = reader.option("kafka.group.id", group_id).option("startingOffsets", "earliest")
+    reader = reader.option("maxOffsetsPerTrigger", per_batch) if per_batch else reader
+    return reader.options(**options).load()
 
 
-def stream_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", **options: str) -> DataFrame:
-    """Files that arrive in a folder as a stream."""
-    return spark.readStream.format(fmt).schema(schema).options(**options).load(path)
+def stream_files(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", per_batch: int | None = FILES_PER_BATCH, **options: str
+) -> DataFrame:
+    """Files that arrive in a folder as a stream, up to ``per_batch`` of them to a micro-batch."""
+    reader = spark.readStream.format(fmt).schema(schema)
+    reader = reader.option("maxFilesPerTrigger", per_batch) if per_batch else reader
+    return reader.options(**options).load(path)
 
 
 def message_schema(num_cols: Sequence[str], cat_cols: Sequence[str], extra: Mapping[str, str] | None = None) -> T.StructType:

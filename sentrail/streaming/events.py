@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -13,7 +15,8 @@ from sentrail.functions import scores as S
 from sentrail.functions.rules import DAY_COLS
 from sentrail.functions.text import alert_weight_score
 from sentrail.operators.kmeans import CentroidScorer, DistanceModel
-from sentrail.sources.sinks import EVENT_SCORE_SCHEMA
+from sentrail.sources import commits as log
+from sentrail.sources.sinks import EVENT_SCORE_SCHEMA, by_day
 from sentrail.sources.topic import parse_events
 
 # Fixed value: seconds between micro-batches.
@@ -84,3 +87,59 @@ def write_stream(
     writer = writer.outputMode("append").partitionBy(*partition_cols)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{seconds} seconds")
     return writer.start()
+
+
+def write_batches(
+    messages: DataFrame,
+    score: Callable[[DataFrame, object], DataFrame],
+    path: str,
+    checkpoint: str,
+    version: Callable[[], str | None] = lambda: None,
+    load: Callable[[], object] = lambda: None,
+    once: bool = False,
+    seconds: int = STREAM_SECONDS,
+) -> StreamingQuery:
+    """Score a stream of messages batch by batch into a store that ``read_batches`` reads.
+
+    Before each batch ``version`` is asked, and ``load`` brings the model anew where the answer has changed. A
+    batch is written under a name of its own and counts once its commit, which carries the stream's and the batch's
+    number, is made: a batch that is repeated after a failure finds its commit and writes nothing.
+    """
+    spark = messages.sparkSession
+    held: dict[str, object] = {}
+
+    def one(batch: DataFrame, number: int) -> None:
+        stream = json.loads(log.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+        name = f"{stream}-{number:012d}"
+        if name in log.commits(spark, path):
+            return
+        now = version()
+        if "model" not in held or held["version"] != now:
+            held["version"], held["model"] = now, load()
+        data = f"{path.rstrip('/')}/data/part={uuid.uuid4().hex}"
+        by_day(score(batch, held["model"])).write.partitionBy(*DAY_COLS).parquet(data)
+        log.commit(spark, path, name, {"data": data, "model": now})
+
+    writer = messages.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{seconds} seconds")
+    return writer.start()
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows that committed batches have written."""
+    # a batch without rows wrote no folder of a day
+    folders = [content["data"] for content in log.live(spark, path).values() if log.exists(spark, content["data"])]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", f"{path.rstrip('/')}/data")
+    return reader.parquet(*folders).select(*schema.names)
+
+
+def compact_batches(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Write what is there as a few files a day, in place of the batches' own. Batches that arrive meanwhile stay."""
+    covered = log.live(spark, path)
+    if len(covered) < 2:
+        return
+    data = f"{path.rstrip('/')}/data/part={uuid.uuid4().hex}"
+    by_day(read_batches(spark, path, schema)).write.partitionBy(*DAY_COLS).parquet(data)
+    log.commit(spark, path, f"compact-{uuid.uuid4().hex}", {"data": data, "covers": list(covered)})
