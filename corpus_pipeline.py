@@ -7,27 +7,33 @@ the columns they were given, without the documents they reject; the last one ret
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sentrail.llm import decontamination, packing, parity_join, quality_rules, toxicity
-from sentrail.session import scratch_path
+from sentrail.session import released, scratch_path
 
 TOXIC_FROM = 0.7
 
 
+def _carried(docs: DataFrame, *names: str) -> DataFrame:
+    """The columns a stage works on, and each row as it is in ``_doc``: no column of a user meets one of the stage's own."""
+    return docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc"), *names)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents whose toxicity score reaches ``TOXIC_FROM``; the model learns from labels of documents still here."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    tagged = toxicity.tag(docs, toxicity.fit(docs, labels))
-    return tagged.filter(f"score < {TOXIC_FROM}").select(*docs.columns)
+    tagged = toxicity.tag(_carried(docs, "text"), toxicity.fit(docs, labels))
+    return tagged.filter(f"score < {TOXIC_FROM}").select("_doc.*")
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that fail the base rules or lie beyond their group's fences."""
-    return quality_rules.adaptive_filter(docs).filter("kept").select(*docs.columns)
+    return quality_rules.adaptive_filter(_carried(docs, "text", "lang", "source")).filter("kept").select("_doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of every component of near duplicates."""
+    """One row, that with the smallest id, of every component of near duplicates."""
     return parity_join.keep_one(docs)
 
 
@@ -54,10 +60,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet under the shared folder and read again."""
+    """All stages over ``documents``, each written as Parquet under the shared folder and read again.
+
+    What a stage needed on the way is removed once its rows are written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline_{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with released(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
