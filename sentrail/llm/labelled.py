@@ -12,8 +12,10 @@ def remainder(folds: int) -> Column:
 
 
 def training_labels(labels: DataFrame, name: str, folds: int, held: int) -> DataFrame:
-    """(doc_id, label) of the rows outside fold ``held``, one per document; of repeated rows the largest label counts."""
-    rows = labels.select("doc_id", F.col(name).cast("int").alias("label")).filter("doc_id is not null and label is not null")
+    """(doc_id, label) of the rows outside fold ``held``, one per document; of repeated rows the largest label counts.
+
+    A label is 0 or 1; rows with any other, or with none, teach nothing."""
+    rows = labels.select("doc_id", F.col(name).cast("int").alias("label")).filter("doc_id is not null and label in (0, 1)")
     return rows.filter(remainder(folds) != held).groupBy("doc_id").agg(F.max("label").alias("label"))
 
 

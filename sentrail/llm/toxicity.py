@@ -7,12 +7,15 @@ Fitting, on a bounded sample of labelled documents outside the held-out fold (``
 2. A Levenshtein automaton over the lexicon's trie (``automaton``) finds terms and words one edit away. The
    weight of a term, by edits, is its log odds over documents; a variant that clean documents use weighs nothing.
 3. Evidence of a document: sum over its distinct (term, edits) of weight times the best context factor. A hit
-   inside quotation marks counts ``QUOTED``, one near a word of reporting ``REPORTED``, any other fully.
+   inside quotation marks counts ``QUOTED``, one within ``NEAR`` characters of a word of reporting ``REPORTED``, any
+   other fully. What is inside is worked out over the whole line: an odd number of plain marks before the hit and one
+   after, or an opening mark that none closed before the hit and that one closes after.
 4. A logistic curve over evidence gives the score.
 
 Every whole text is scored. Null and empty texts have no evidence; repeated rows are scored each; without
-toxic labels the lexicon is empty and all scores are equal and low; extra columns are kept by ``tag`` (its own
-replace those of the same name) and ignored by ``toxicity_scores``.
+toxic labels the lexicon is empty and all scores are equal and low; labels other than 0 and 1 teach nothing; extra
+columns are kept by ``tag`` (its own replace those of the same name) and ignored by ``toxicity_scores``. The lexicon
+is as large as the sample's toxic words make it, which ``SAMPLE`` bounds.
 """
 
 from __future__ import annotations
@@ -33,14 +36,14 @@ from pyspark.sql import types as T
 from sentrail.llm.arrow import add_columns
 from sentrail.llm.automaton import TermAutomaton, build
 from sentrail.llm.labelled import bounded_sample, remainder, training_labels
+from sentrail.llm.words import blocks
 from sentrail.session import materialise
 
 SAMPLE = 100_000
 CONTEXTS = 4
-MAX_TERMS = 1_000
 LOG_ODDS = 3.0
 QUOTED, REPORTED = 0.25, 0.5
-WINDOW = 80  # characters on either side of a hit
+NEAR = 30  # characters on either side of a hit
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _REPORT = re.compile(r"\b(said|says|wrote|writes|quoted?|quoting|called|reported|according|term|word|slur)\b")
 _PAIRS = {"“": "”", "«": "»", "„": "“", "‘": "’"}
@@ -68,15 +71,38 @@ def _spans(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def context_factor(before: str, after: str) -> float:
-    """How fully a hit counts, from the characters around it on its line."""
-    before, after = before[before.rfind("\n") + 1 :], after.split("\n", 1)[0]
-    if before.count('"') % 2 and '"' in after:
-        return QUOTED
-    for opening, closing in _PAIRS.items():
-        if before.rfind(opening) > before.rfind(closing) and closing in after:
+class Context:
+    """Quotation marks and line ends of a block of texts, to look the state of any place up in."""
+
+    def __init__(self, points: np.ndarray):
+        self.points = points
+        at = lambda mark: np.flatnonzero(points == ord(mark))
+        self.breaks, self.plain = at("\n"), at('"')
+        self.pairs = [(at(opening), at(closing)) for opening, closing in _PAIRS.items()]
+
+    def line(self, place: int) -> tuple[int, int]:
+        """Where the line of a place begins and ends."""
+        k = int(np.searchsorted(self.breaks, place))
+        return int(self.breaks[k - 1]) + 1 if k else 0, int(self.breaks[k]) if k < len(self.breaks) else len(self.points)
+
+    def factor(self, low: int, high: int) -> float:
+        """How fully a hit from ``low`` to ``high`` counts."""
+        start, end = self.line(low)
+
+        def last(marks: np.ndarray) -> int:
+            k = int(np.searchsorted(marks, low))
+            return int(marks[k - 1]) if k and marks[k - 1] >= start else -1
+
+        def follows(marks: np.ndarray) -> bool:
+            k = int(np.searchsorted(marks, high))
+            return k < len(marks) and marks[k] < end
+
+        if (np.searchsorted(self.plain, low) - np.searchsorted(self.plain, start)) % 2 and follows(self.plain):
+            return QUOTED
+        if any(last(opening) > last(closing) and follows(closing) for opening, closing in self.pairs):
             return QUOTED
-    return REPORTED if _REPORT.search(before[-30:]) or _REPORT.search(after[:30]) else 1.0
+        near = (self.points[max(start, low - NEAR) : low], self.points[high : min(end, high + NEAR)])
+        return REPORTED if any(_REPORT.search(part.tobytes().decode("utf-32-le", "surrogatepass")) for part in near) else 1.0
 
 
 def _hits(texts: list[str], automaton: TermAutomaton) -> Iterator[tuple[int, int, int, float]]:
@@ -85,12 +111,10 @@ def _hits(texts: list[str], automaton: TermAutomaton) -> Iterator[tuple[int, int
     letters = automaton.classes[points]
     first, last = _spans(letters)
     words, terms, edits = automaton.match(letters, first, last)
+    context = Context(points)
     owners = np.searchsorted(starts, first[words], "right") - 1
     for word, term, edit, owner in zip(words.tolist(), terms.tolist(), edits.tolist(), owners.tolist(), strict=True):
-        low, high = int(first[word]), int(last[word])
-        left, right = max(int(starts[owner]), low - WINDOW), min(int(starts[owner + 1]), high + WINDOW)
-        around = points[left:right].tobytes().decode("utf-32-le", "surrogatepass")
-        yield owner, term, edit, context_factor(around[: low - left], around[high - left :])
+        yield owner, term, edit, context.factor(int(first[word]), int(last[word]))
 
 
 def _evidence(texts: list[str], automaton: TermAutomaton, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,11 +135,16 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
     return batch.column("text").fill_null("").to_pylist()
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from blocks(batch, "text")
+
+
 def _toxic_words(train: DataFrame, contexts: int) -> dict[str, int]:
     """Words of toxic documents by number of different neighbour pairs, where that is at least ``contexts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _blocks(batches):
             rows: set[tuple[str, int]] = set()
             for text in _texts(batch):
                 found = ["", *_WORD.findall(text.lower()), ""]
@@ -132,7 +161,7 @@ def _documents_with(train: DataFrame, words: set[str]) -> dict[str, tuple[int, i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[tuple[str, int]] = Counter()
-        for batch in batches:
+        for batch in _blocks(batches):
             for text, label in zip(_texts(batch), batch.column("label").to_pylist(), strict=True):
                 counts.update((word, label) for word in words.intersection(_WORD.findall(text.lower())))
         keys = list(counts)
@@ -151,7 +180,7 @@ def _term_counts(train: DataFrame, automaton: TermAutomaton) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(automaton.terms), 2, 2), dtype=np.int64)
-        for batch in batches:
+        for batch in _blocks(batches):
             labels = batch.column("label").to_pylist()
             for text, term, edit in {hit[:3] for hit in _hits(_texts(batch), automaton)}:
                 counts[term, edit, labels[text]] += 1
@@ -191,17 +220,17 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, sampl
     odds = lambda in_toxic, in_clean: math.log((in_toxic + 0.5) / (toxic + 1)) - math.log((in_clean + 0.5) / (clean + 1))
     words = _toxic_words(train, CONTEXTS) if toxic else {}
     ranked = sorted(((odds(t, c), word) for word, (c, t) in _documents_with(train, set(words)).items() if t >= CONTEXTS), reverse=True) if words else []
-    automaton = build([word for weight, word in ranked if weight >= LOG_ODDS][:MAX_TERMS])
+    automaton = build([word for weight, word in ranked if weight >= LOG_ODDS])
     counts = _term_counts(train, automaton) if automaton.terms else np.zeros((0, 2, 2))
     weights = np.array([[max(0.0, odds(t, c)) for c, t in term] for term in counts]).reshape(-1, 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _blocks(batches):
             quarters = np.round(_evidence(_texts(batch), automaton, weights)[0] * 4).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(quarters, 400)), batch.column("label")], names=["quarters", "label"])
+            yield pa.RecordBatch.from_arrays([pa.array(quarters), batch.column("label")], names=["quarters", "label"])
 
     steps = train.select("text", "label").mapInArrow(run, "quarters long, label int").groupBy("quarters")
-    curve = np.array(steps.agg(F.sum("label"), F.count("*")).collect() or [(0, 0, 1)], dtype=float)  # 401 rows at most
+    curve = np.array(steps.agg(F.sum("label"), F.count("*")).collect() or [(0, 0, 1)], dtype=float)  # no more rows than the sample
     return ToxicityModel(automaton, weights, *_logistic(curve[:, 0] / 4, curve[:, 1], curve[:, 2]))
 
 
@@ -209,11 +238,11 @@ _FIELDS = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("n
 
 
 def tag(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``docs`` with ``score`` and ``n_hits`` of each whole text. Lazy, no shuffle; the model's size is bounded by MAX_TERMS."""
+    """``docs`` with ``score`` and ``n_hits`` of each whole text. Lazy, no shuffle; the model is as large as the sample allows."""
 
     def compute(block: pa.RecordBatch) -> list[np.ndarray]:
         evidence, hits = _evidence(_texts(block), model.automaton, model.weights)
-        return [1 / (1 + np.exp(-(model.slope * np.minimum(evidence, 100) + model.offset))), hits]
+        return [1 / (1 + np.exp(-np.clip(model.slope * evidence + model.offset, -500, 500))), hits]
 
     return add_columns(docs, _FIELDS, compute)
 
