@@ -4,8 +4,9 @@ Every text is measured by numbers of its words, symbols and repeats. Each measur
 summarised by a sketch: counts of values rounded down to 7 significant bits. Sketches add up, so those of a
 language or of everything are sums of the finer ones; a quantile read from one is at most 1/64 too low,
 whatever the order or the partitions. A value beyond its group's far fence, q3 + ``reach`` * (q3 - q1), is an
-outlier; the fence replaces a fixed cut-off. A group with fewer than ``least`` texts takes the fence of its
-language, and a small language that of the corpus.
+outlier; the fence replaces a fixed cut-off. A group's quartiles are averaged with those of its language, which weigh as
+much as ``prior`` texts, and a language's with those of the corpus: every group follows its own texts by as
+much as there are, and none is taken for itself alone.
 
 Texts that fail the base rules (under 50 words, or over half of the words repeated) are not kept and don't
 shape the fences. Null text counts as empty, null lang or source is a group of its own, repeated rows are
@@ -27,9 +28,9 @@ from sentrail.session import materialise
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 OWN = ("n_lines", "n_capitals")
-#: fences read from the sketches: quartiles, how far beyond them, and texts a group must have
+#: fences read from the sketches: how far beyond the quartiles they are, and for how many texts the level above counts
 REACH = 3
-LEAST = 400
+PRIOR = 400
 #: narrowest spread of a measure (in its own unit): groups of near-constant values don't reject the next value
 SPREAD = {"symbol_rate": 150, "repeat_rate": 1000, "line_repeat_rate": 1500, "capital_rate": 600, "word_length": 80}
 
@@ -122,22 +123,23 @@ def _level(sketch: DataFrame, keys: list[str]) -> DataFrame:
     return running.groupBy(*by).agg(F.max("total").alias("total"), at(1).alias("q1"), at(3).alias("q3"))
 
 
-def fences(sketch: DataFrame, reach: int = REACH, least: int = LEAST) -> DataFrame:
-    """One row per (lang, source) with the highest value that passes, for every measure."""
+def fences(sketch: DataFrame, reach: int = REACH, prior: int = PRIOR) -> DataFrame:
+    """One row per (lang, source) with the highest value that passes, for every measure. Whole numbers throughout."""
     spread = F.create_map(*[F.lit(x) for pair in SPREAD.items() for x in pair])
-    fence = F.col("q3") + reach * F.greatest(F.col("q3") - F.col("q1"), spread[F.col("measure")])
-
-    def level(keys: list[str], name: str) -> DataFrame:
-        return _level(sketch, keys).select(*keys, "measure", F.struct("total", fence.alias("fence")).alias(name))
 
-    own, lang, whole = level(["lang", "source"], "own"), level(["lang"], "by_lang"), level([], "whole")
-    lang = lang.withColumnsRenamed({"lang": "_lang", "measure": "_measure"})
-    joined = own.join(lang, own["lang"].eqNullSafe(lang["_lang"]) & (own["measure"] == lang["_measure"]), "left").join(whole, "measure", "left")
-    chosen = F.when(F.col("own.total") >= least, F.col("own.fence")).when(F.col("by_lang.total") >= least, F.col("by_lang.fence"))
-    return (
-        joined.groupBy("lang", "source")
-        .agg(*[F.max(F.when(F.col("measure") == name, F.coalesce(chosen, F.col("whole.fence")))).alias(f"most_{name}") for name in SPREAD])
-    )
+    def blended(own: DataFrame, above: DataFrame, by: list[str]) -> DataFrame:
+        """Quartiles of ``own`` and ``above``, averaged by numbers of texts."""
+        renamed = above.select(*[F.col(c).alias(f"_{c}") for c in (*by, "measure")], F.col("q1").alias("_q1"), F.col("q3").alias("_q3"))
+        same = own["measure"] == renamed["_measure"]
+        for c in by:
+            same = same & own[c].eqNullSafe(renamed[f"_{c}"])
+        joined = own.join(renamed, same)
+        return joined.select(*own.columns[:-2], *[F.expr(f"(total * {q} + {prior}L * _{q}) div (total + {prior}L)").alias(q) for q in ("q1", "q3")])
+
+    lang = blended(_level(sketch, ["lang"]), _level(sketch, []), [])
+    own = blended(_level(sketch, ["lang", "source"]), lang, ["lang"])
+    fence = F.col("q3") + reach * F.greatest(F.col("q3") - F.col("q1"), spread[F.col("measure")])
+    return own.withColumn("fence", fence).groupBy("lang", "source").agg(*[F.max(F.when(F.col("measure") == name, F.col("fence"))).alias(f"most_{name}") for name in SPREAD])
 
 
 def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
@@ -156,15 +158,15 @@ def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
     return kept.drop("_group", *[f"most_{name}" for name in SPREAD])
 
 
-def adaptive_filter(docs: DataFrame, reach: int = REACH, least: int = LEAST) -> DataFrame:
+def adaptive_filter(docs: DataFrame, reach: int = REACH, prior: int = PRIOR) -> DataFrame:
     """``docs`` with measures and verdict. Two passes over the texts: one for the sketches, one lazy for the verdicts."""
     docs = without(docs, ["kept"])
     sketch = materialise(sketches(measure(docs.select("text", "lang", "source"))), "quality_sketches")
-    return judge(measure(docs), fences(sketch, reach, least))
+    return judge(measure(docs), fences(sketch, reach, prior))
 
 
-def quality_report(docs: DataFrame, reach: int = REACH, least: int = LEAST) -> DataFrame:
+def quality_report(docs: DataFrame, reach: int = REACH, prior: int = PRIOR) -> DataFrame:
     """Measures and verdict of every text, without the texts: they are read once and their measures written."""
     measured = materialise(measure(docs).select("doc_id", "lang", "source", *BASE, *OWN, "base_failed"), "quality_measures")
     sketch = materialise(sketches(measured), "quality_sketches")
-    return judge(measured, fences(sketch, reach, least))
+    return judge(measured, fences(sketch, reach, prior))

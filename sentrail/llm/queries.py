@@ -109,8 +109,51 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _ALNUM = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _BY_SPACE = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
 
+_WORDS = r"[^\x20\x09-\x0D]+"
+_RATES = {
+    "symbol_rate": "n_symbols * 10000 // greatest(word_chars, 1)",
+    "repeat_rate": "n_repeat_words * 10000 // greatest(n_words, 1)",
+    "line_repeat_rate": "n_dup_lines * 10000 // greatest(n_lines, 1)",
+    "capital_rate": "n_capitals * 10000 // greatest(word_chars, 1)",
+    "word_length": "word_chars * 100 // greatest(n_words, 1)",
+}
+
+
+def _quartiles(keys: str) -> str:
+    """Total and quartiles of every measure of the groups by ``keys``."""
+    by = f"{keys}, measure" if keys else "measure"
+    return f"""(select {by}, max(c) total, min(v) filter (rn * 4 >= c) q1, min(v) filter (rn * 4 >= c * 3) q3 from (
+      select {by}, v, row_number() over (partition by {by} order by v) rn, count(*) over (partition by {by}) c from passed) group by {by})"""
+
+
+def _blended(own: str, above: str, same: str) -> str:
+    parts = [f"(o.total * o.{q} + {quality_rules.PRIOR} * u.{q}) // (o.total + {quality_rules.PRIOR}) as {q}" for q in ("q1", "q3")]
+    return f"(select o.* exclude (q1, q3), {', '.join(parts)} from {own} o join {above} u on o.measure = u.measure{same})"
+
+
+_LANG = _blended(_quartiles("lang"), _quartiles(""), "")
+_GROUP = _blended(_quartiles("lang, source"), _LANG, " and o.lang is not distinct from u.lang")
+
 #: SQL where it can tell the result; the others rest on fitted models, sketches, hashed draws or tokenizers
 ORACLE: dict[str, str] = {
+    "op3_quality_rules": f"""with texts as (select row_number() over () r, doc_id, lang, source, coalesce(text, '') t from documents),
+      cut as (select *, regexp_extract_all(t, '{_WORDS}') w, [l for l in string_split(t, chr(10)) if regexp_matches(l, '{_WORDS}')] l from texts),
+      base as (select r, doc_id, lang, source, w, len(w) n_words, length(array_to_string(w, '')) word_chars,
+        len(regexp_extract_all(t, '[#*$%&|<>]')) n_symbols, len(l) - len(list_distinct(l)) n_dup_lines, len(l) n_lines,
+        len(regexp_extract_all(t, '[A-Z]')) n_capitals from cut),
+      places as (select r, unnest(range(1, len(w) - 1)) p, unnest([array_to_string(w[i : i + 2], ' ') for i in range(1, len(w) - 1)]) g
+        from base where len(w) > 2),
+      windows as (select r, p, count(*) over (partition by r, g) n from places),
+      repeats as (select r, count(distinct q) c from (select r, unnest(range(p, p + 3)) q from windows where n > 1) group by r),
+      facts as (select base.*, coalesce(c, 0) n_repeat_words from base left join repeats using (r)),
+      judged as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed from facts),
+      rates as ({" union all ".join(f"select r, lang, source, base_failed, '{name}' measure, {rate} x, {quality_rules.SPREAD[name]} spread from judged" for name, rate in _RATES.items())}),
+      passed as (select lang, source, measure, x - x % (1 << greatest(length(bin(x)) - 7, 0)) v from rates where not base_failed),
+      fences as (select * from {_GROUP}),
+      beyond as (select r from rates x join fences f on x.measure = f.measure and x.lang is not distinct from f.lang and x.source is not distinct from f.source
+        group by r having bool_or(x > q3 + {quality_rules.REACH} * greatest(q3 - q1, spread)))
+      select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        not base_failed and r not in (select r from beyond) kept from judged""",
     "op4_parity_join": f"""with recursive words as (select doc_id, {_BY_SPACE} w from documents),
       placed as (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) p from words where len(w) > 0),
       shingles as (select distinct doc_id, array_to_string(w[p : p + 3], ' ') g from placed),
