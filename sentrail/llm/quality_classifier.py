@@ -2,12 +2,14 @@
 
 The statistics (``STATISTICS``) are standardised and sent through fixed random cosines, which approximate a
 Gaussian kernel. Each partition adds up its part of the normal equations; the parts meet row by row of the
-matrix, and the driver solves a system whose size is the number of cosines, whatever the number of rows.
+matrix, and the driver solves a system whose size is the number of cosines, whatever the number of rows. What is summed
+is in whole steps (``STEP`` of a cosine, ``UNIT`` of a statistic), so that sums are exact and the same in any order.
 Raw scores of training rows are counted in narrow steps, and pool-adjacent-violators turns the steps into
 probabilities. All labelled rows outside the held-out fold take part.
 
-Null and empty texts have all-zero counts and are scored like others; repeated documents are scored each;
-without any label every score is 0.5, and an empty table gives an empty result. Extra columns are ignored.
+Null and empty texts have all-zero counts and are scored like others; repeated documents are scored each, and where
+an id stands for several texts the one with the smallest statistics is learnt from; labels other than 0 and 1 teach
+nothing; documents of one score are ties; without any label every score is 0.5, and an empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,7 +18,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,9 @@ COSINES = 256
 WIDTH = 2.0
 RIDGE = 1e-3
 STEPS = 512
+#: steps that a cosine, and a statistic, are counted in: sums of their products stay whole in a double and a long
+STEP = 1 / 4096
+UNIT = 1 / (1 << 20)
 
 _is = lambda chars: np.array([chr(byte) in chars for byte in range(256)])
 _DIGIT, _STOP, _SHOUT, _BAR = _is("0123456789"), _is(".,;:"), _is("!?"), _is("|")
@@ -94,7 +98,7 @@ class QualityModel:
 
     def features(self, stats: np.ndarray) -> np.ndarray:
         standard = np.clip((stats - self.centre) / self.scale, -6, 6)
-        cosines = np.sqrt(2 / len(self.phase)) * np.cos(standard @ self.turns + self.phase)
+        cosines = np.rint(np.cos(standard @ self.turns + self.phase) / STEP) * STEP
         return np.column_stack([cosines, np.ones(len(stats))])
 
     def raw(self, stats: np.ndarray) -> np.ndarray:
@@ -114,7 +118,7 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _normal_equations(train: DataFrame, model: QualityModel) -> tuple[np.ndarray, np.ndarray]:
-    """Sums over all rows of z zT and z y: added up per partition, then row by row of the matrix."""
+    """Sums over all rows of z zT and z y: added up per partition, then cell by cell of the matrix, in whole steps."""
     size = COSINES + 1
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,15 +127,14 @@ def _normal_equations(train: DataFrame, model: QualityModel) -> tuple[np.ndarray
             z = model.features(_matrix(batch))
             total[:, :size] += z.T @ z
             total[:, size] += z.T @ batch.column("label").to_numpy()
-        rows = pa.ListArray.from_arrays(pa.array(np.arange(size + 1, dtype=np.int32) * (size + 1)), pa.array(total.ravel()))
+        whole = np.rint(total / STEP**2).astype(np.int64)
+        rows = pa.ListArray.from_arrays(pa.array(np.arange(size + 1, dtype=np.int32) * (size + 1)), pa.array(whole.ravel()))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), rows], names=["i", "row"])
 
-    def added(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"i": group["i"].iloc[:1], "row": [np.sum(np.stack(group["row"].to_list()), axis=0)]})
-
-    parts = train.select("stats", "label").mapInArrow(partial, "i int, row array<double>")
-    rows = parts.groupBy("i").applyInPandas(added, "i int, row array<double>").collect()  # COSINES + 1 rows
-    whole = np.array([r["row"] for r in sorted(rows, key=lambda r: r["i"])])
+    parts = train.select("stats", "label").mapInArrow(partial, "i int, row array<long>")
+    cells = parts.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x")).toArrow()  # (COSINES + 1) * (COSINES + 2) rows
+    whole = np.zeros((size, size + 1))
+    whole[cells["i"].to_numpy(), cells["j"].to_numpy()] = cells["x"].to_numpy() * STEP**2
     return whole[:, :size], whole[:, size]
 
 
@@ -149,18 +152,23 @@ def isotonic(levels: np.ndarray, ones: np.ndarray, counts: np.ndarray) -> np.nda
 def fit(train: DataFrame, seed: int = 11) -> QualityModel:
     """Fit on written rows of (stats, label). Four jobs; nothing that grows with the rows reaches the driver."""
     width = len(STATISTICS)
-    moments = [f(F.col("stats")[k]) for k in range(width) for f in (F.avg, F.stddev_pop)]
-    row = train.agg(F.count("*"), *moments).collect()[0]
+    units = [F.rint(F.col("stats")[k] / UNIT).cast("decimal(18, 0)") for k in range(width)]
+    row = train.agg(F.count("*"), *[F.sum(x) for unit in units for x in (unit, unit * unit)]).collect()[0]
     empty = row[0] == 0
-    centre = np.zeros(width) if empty else np.array(row[1::2], dtype=float)
-    scale = np.ones(width) if empty else np.maximum(np.array(row[2::2], dtype=float), 1e-6)
+    n = max(1, row[0])
+    sums, squares = ([int(x or 0) for x in row[1 + k :: 2]] for k in (0, 1))
+    centre = np.array([s / n * UNIT for s in sums])
+    variance = np.array([(n * q - s * s) / n**2 * UNIT**2 for s, q in zip(sums, squares, strict=True)])
+    scale = np.ones(width) if empty else np.maximum(np.sqrt(variance), 1e-6)
     random = np.random.default_rng(seed)
     turns = random.normal(0, 1 / (WIDTH * np.sqrt(width / 4)), (width, COSINES))
     model = QualityModel(centre, scale, turns, random.uniform(0, 2 * np.pi, COSINES), np.zeros(COSINES + 1), np.zeros(0), np.zeros(0))
     if empty:
         return model
     left, right = _normal_equations(train, model)
-    model.weights = np.linalg.solve(left + RIDGE * row[0] * 1e-2 * np.eye(len(left)), right)
+    # features are cosines as they are, sqrt(COSINES / 2) times those of the kernel's expansion
+    penalty = np.append(np.full(COSINES, COSINES / 2), 1.0) * RIDGE * row[0] * 1e-2
+    model.weights = np.linalg.solve(left + np.diag(penalty), right)
 
     def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,7 +196,7 @@ def score(stats: DataFrame, model: QualityModel) -> DataFrame:
 def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, least: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted for every document. The texts are read once; their statistics are written."""
     stats = materialise(statistics(docs), "quality_statistics")
-    train = materialise(stats.dropDuplicates(["doc_id"]).join(training_labels(labels, "quality", folds, held), "doc_id"), "quality_training")
+    train = materialise(stats.groupBy("doc_id").agg(F.min("stats").alias("stats")).join(training_labels(labels, "quality", folds, held), "doc_id"), "quality_training")
     scored = score(stats, fit(train))
     return scored.select(
         "doc_id", (remainder(folds) == held).alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted")
