@@ -2,7 +2,7 @@
 
 The texts of a block, as numbers of benchmark words, form one shard. Its suffix array holds every suffix that
 can start a match: one whose first two words stand in that order somewhere in the benchmark, or whose first
-word is a whole item. Every suffix of every benchmark item is binary-searched in every shard. That gives its
+word is a whole item (for longest matches, every suffix that begins with a benchmark word). Every suffix of every benchmark item is binary-searched in every shard. That gives its
 longest verbatim match, and at the depth of its window (13 words, or the whole item where that has fewer) all
 places where the window occurs. Words inside an occurrence are hit.
 
@@ -131,8 +131,10 @@ def search(words: np.ndarray, order: np.ndarray, items: Items) -> tuple[np.ndarr
     return longest, reach, first, last
 
 
-def _shard(block: pa.RecordBatch, items: Items) -> tuple:
-    """The block's words as benchmark numbers (negative elsewhere and after each text), and its suffix array."""
+def _shard(block: pa.RecordBatch, items: Items, every: bool = False) -> tuple:
+    """The block's words as benchmark numbers (negative elsewhere and after each text), and its suffix array.
+
+    ``every`` takes all suffixes that begin with a benchmark word, for matches of a single word too."""
     found = split(block.column("text"), ALNUM, lower=True)
     hashes = found.hashes()
     owner = found.owner()
@@ -143,9 +145,9 @@ def _shard(block: pa.RecordBatch, items: Items) -> tuple:
     known = items.vocabulary[np.minimum(number, len(items.vocabulary) - 1)] == hashes
     words[place[known]] = number[known]
     pair = words[:-1] * (len(items.vocabulary) + 1) + words[1:]
-    candidate = np.zeros(len(words), dtype=bool)
-    candidate[:-1] = (words[:-1] >= 0) & (words[1:] >= 0) & _member(pair, items.pairs)
-    candidate |= (words >= 0) & _member(words, items.singles)
+    candidate = words >= 0
+    if not every:
+        candidate &= _member(words, items.singles) | np.append((words[1:] >= 0) & _member(pair, items.pairs), False)
     return found, words, place, suffix_array(words, np.flatnonzero(candidate))
 
 
@@ -215,7 +217,9 @@ def item_blocks(benchmark: DataFrame, window: int, most: int) -> Iterator[Items]
         if texts and total + size > most:
             yield read_items(ids, texts, window)
             ids, texts, total = [], [], 0
-        ids, texts, total = [*ids, row["item_id"]], [*texts, row["text"]], total + size
+        ids.append(row["item_id"])
+        texts.append(row["text"])
+        total += size
     if texts:
         yield read_items(ids, texts, window)
 
@@ -262,7 +266,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             items = sent.value
             for batch in batches:
                 for block in blocks(batch, "text"):
-                    found, words, _, order = _shard(block, items)
+                    found, words, _, order = _shard(block, items, every=True)
                     longest, reach, _, _ = search(words, order, items)
                     starts = found.of[:-1] + np.arange(block.num_rows)
                     for item in np.unique(items.item[longest > 0]).tolist():
