@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sentrail.functions import scores as S
 from sentrail.functions.rules import GROUP_COLS, PROFILE_COUNTERS
 from sentrail.operators import modelstore as store
-from sentrail.operators.encoding import score_rows
+from sentrail.operators.encoding import score_rows as raw_scores
 from sentrail.operators.grouped import join_small
 from sentrail.operators.iforest import TREES, ForestModel, fit_forest
 from sentrail.operators.kmeans import CONSTANT_SCORE, GroupedDistanceModel, fit_grouped_distance
@@ -57,7 +57,7 @@ def _raw_scores(profiles: DataFrame, detectors, key_cols: Sequence[str]) -> Data
     # forest and one-class model are evaluated on the same rows in one crossing to Python
     encoded = one_class.encode(forest.encode(scored, "_f"), "_o")
     scorers = [forest.scorer("_isolation", "_f"), one_class.scorer("_one_class", "_o")]
-    return materialise(score_rows(encoded, scorers, forest.group_cols, key_cols, ROWS_PER_TASK), "raw-scores")
+    return materialise(raw_scores(encoded, scorers, forest.group_cols, key_cols, ROWS_PER_TASK), "raw-scores")
 
 
 def _ranges(raw: DataFrame, group_cols: Sequence[str]) -> DataFrame:

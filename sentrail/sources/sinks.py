@@ -59,9 +59,15 @@ def write_scores_path(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def write_scores_table(rows: DataFrame, table: str) -> None:
     """Same for a catalog table; columns are matched by name, not by position."""
-    columns = rows.sparkSession.table(table).columns
-    writer = by_day(rows.select(*columns)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(table)
+    spark = rows.sparkSession
+    writer = by_day(rows.select(*spark.table(table).columns)).write.mode("overwrite")
+    # an insert into a table takes this from the session, not from the writer's options
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        writer.insertInto(table)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
 def export_json(df: DataFrame, key_cols: Sequence[str], count: int, path: str) -> None:
