@@ -7,19 +7,22 @@ are cut into bands; for each band, with n its upper end, a sketch has more than
 ``SEGMENT_BITS`` bits, and linked documents agree on a whole segment, among any d(n) + 1 chosen by one side.
 
 1. Documents with equal sets form a class, named by 64 bits of the set's hash; only classes are compared.
-2. Each class sends a key per segment for its own band, and for the next one where a larger partner may be
-   there (index). Of its own band, the d + 1 segments with most rare shingles are marked (probe); which shingles
-   are common is read off a bounded sample and decides the cost, never the result.
-3. Keys with two classes and a probe survive. Classes of one key are first checked against the least of them;
-   confirmed links are joined into components, and keys whose classes share one component are done.
-   This repeats with other centres while it merges, and at last every remaining pair of different
-   components under a key is checked. A group of copies costs about one check each, not one per pair.
-4. A check compares sizes and a short sketch of both sets (512 bits), then the shingle sets themselves.
+2. Each class has a key per segment for its own band, and for the next one where a larger partner may be there.
+   Keys are counted over all classes; those that two classes hold are marked in a bitmap of fixed size (``marks``),
+   and those of ``CROWDED`` classes in another. A class can have a partner in a band only if as many of its segments
+   there are marked as linked sets must share; all others send nothing more.
+3. A class that may have one sends its marked keys, with d(n) + 1 segments of its own band as probes: those without
+   a mark first, which cost nothing, then the marked, the crowded last. Keys with two classes and a probe survive.
+4. Classes of one key are first checked against ``CENTRES`` of them; confirmed links are joined into components,
+   and keys whose classes share one component are done. This is repeated with other centres, and at
+   last the remaining pairs of different components under a key are checked. A group of copies costs a few
+   checks each, not one per pair.
+5. A check compares sizes and a short sketch of both sets (512 bits), then the shingle sets themselves.
 
 The result is exact up to 64-bit hash collisions, and the same for any partitioning: nothing is capped. Null
 and empty texts have an empty set and link with nothing; a short text is one shingle; repeated rows share a
 class; a null doc_id is ignored by components (its component is its class's smallest id). Extra columns are
-ignored by ``near_duplicates`` and kept by ``keep_one``.
+ignored by ``near_duplicates`` and kept by ``keep_one``, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,9 +34,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from sentrail.llm.arrow import add_columns, longs
 from sentrail.llm.components import components
+from sentrail.llm.marks import collect_marks, marked
 from sentrail.llm.words import BY_SPACE, blocks, mix, split, windows
 from sentrail.session import materialise, row_count
 
@@ -42,13 +46,11 @@ SIMILARITY = 85
 BAND = 1.5
 SEGMENT_BITS = 4096
 SHORT_LONGS = 8
-#: centre rounds before all remaining pairs are checked, whatever their number
-ROUNDS = 6
-#: pairs left per row at which they are checked at once
-MANY = 16
-#: documents looked at for common shingles (only the choice of probes depends on them), and how often one must occur
-COMMON_SAMPLE = 4_000
-COMMON_FROM = 8
+#: centres of a key in a round, and rounds before the pairs that are left are checked
+CENTRES = 4
+ROUNDS = 2
+#: classes of a key from which it is probed last
+CROWDED = 32
 
 _ZOBRIST = mix(np.arange(1, SEGMENT_BITS + 1, dtype=np.uint64))
 _RADIX = np.uint64(0x9E3779B97F4A7C15)
@@ -127,8 +129,8 @@ def shingle_sets(column: pa.Array, shingle: int) -> Sets:
     return Sets(flat[new], np.concatenate([[0], np.cumsum(new)])[of])
 
 
-def segment_keys(sets: Sets, bands: np.ndarray, similarity: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, key, rare tokens) of every segment of the sets' sketches for the given bands.
+def segment_keys(sets: Sets, bands: np.ndarray, similarity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, key) of every segment of the sets' sketches for the given bands.
 
     A key is the exclusive or of the numbers of the segment's odd bits, so equal segments have equal keys.
     """
@@ -144,37 +146,20 @@ def segment_keys(sets: Sets, bands: np.ndarray, similarity: int, common: np.ndar
     filled = np.flatnonzero(np.concatenate([[True], segment[order][1:] != segment[order][:-1]])) if len(order) else np.zeros(0, dtype=np.int64)
     if len(filled):
         parity[segment[order][filled]] = np.bitwise_xor.reduceat(bit[order], filled)
-    rare = np.ones(len(segment)) if not len(common) else 0.01 + (common[np.minimum(np.searchsorted(common, sets.shingles), len(common) - 1)] != sets.shingles)
-    tokens = np.where(parity != 0, np.bincount(segment, weights=rare, minlength=total), 0)
     text = np.repeat(np.arange(len(count)), count)
     number = np.arange(total) - base[text]
-    return text, mix(parity ^ mix((number + (bands[text] << 40)).astype(np.uint64))), tokens
+    return text, mix(parity ^ mix((number + (bands[text] << 40)).astype(np.uint64)))
 
 
-def _probes(text: np.ndarray, tokens: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """For each text, its ``wanted`` segments with most rare tokens."""
-    order = np.lexsort((-tokens, text))
+def probes(text: np.ndarray, cost: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """For each text, its ``wanted`` segments of least cost."""
+    order = np.lexsort((cost, text))
     first = np.searchsorted(text[order], np.arange(len(wanted)))
     out = np.zeros(len(text), dtype=bool)
     out[order] = np.arange(len(text)) - first[text[order]] < wanted[text[order]]
     return out
 
 
-def common_shingles(docs: DataFrame, shingle: int) -> np.ndarray:
-    """Shingles that at least COMMON_FROM of about COMMON_SAMPLE documents hold."""
-    n = max(1, docs.count())
-    chosen = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit("common")), F.lit(1_000_000)) < int(min(1.0, COMMON_SAMPLE / n) * 1_000_000)).select("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in blocks(batch, "text"):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(block.column("text"), shingle).shingles.view(np.int64))], names=["shingle"])
-
-    counted = chosen.mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON_FROM)
-    # bounded by the sample: its shingles over COMMON_FROM
-    return np.sort(np.array([row["shingle"] for row in counted.collect()], dtype=np.int64).view(np.uint64))
-
-
 def class_table(docs: DataFrame, shingle: int) -> DataFrame:
     """doc_id, n_shingles, class and short sketch (h0, h1, ...) of every document. Lazy, no shuffle."""
     names = ["doc_id", "n_shingles", "class", *[f"h{k}" for k in range(SHORT_LONGS)]]
@@ -190,10 +175,19 @@ def class_table(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
-def key_table(docs: DataFrame, shingle: int, similarity: int) -> DataFrame:
-    """(key, class and probe mark) of every class, sent once per task however many copies of it the task holds."""
-    common = common_shingles(docs, shingle)
-    wanted = segments(similarity)[1]
+def key_table(docs: DataFrame, shingle: int, similarity: int, marks: object = None) -> DataFrame:
+    """(key, marked: class and, in the lowest bit, probe) of every class, sent once per task however many copies of it the task holds.
+
+    With ``marks``, a broadcast pair of bitmaps, only marked keys of classes that may have a partner in their band.
+    """
+    total, wanted = segments(similarity)
+
+    def needed(text: np.ndarray, key: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys to send, and the cost of each as a probe: 0 without a mark, 1 with one, 2 where crowded."""
+        shared, crowded = (marked(bitmap, key) for bitmap in marks.value)
+        # linked sets differ in at most wanted - 1 segments
+        may = np.bincount(text, weights=shared, minlength=len(bands)) >= (total - wanted + 1)[bands]
+        return shared & may[text], shared.astype(np.int64) + (shared & crowded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -204,24 +198,36 @@ def key_table(docs: DataFrame, shingle: int, similarity: int) -> DataFrame:
                 new = [row for row, name in enumerate(named.tolist()) if name and not (name in seen or seen.add(name))]
                 sets, named = sets.take(np.array(new, dtype=np.int64)), named[new]
                 bands = np.searchsorted(UPPER, sets.sizes)
-                text, key, tokens = segment_keys(sets, bands, similarity, common)
-                # the mark is the lowest bit beside the class, which keeps a row at two numbers
-                own = (named[text] << 1) | _probes(text, tokens, wanted[bands])
                 # a larger partner, in the next band, has at most 100 / similarity times the shingles
                 up = np.flatnonzero(sets.sizes * 100 >= similarity * (UPPER[bands] + 1))
-                above, key_above, _ = segment_keys(sets.take(up), bands[up] + 1, similarity, common)
+                text, key = segment_keys(sets, bands, similarity)
+                above, key_above = segment_keys(sets.take(up), bands[up] + 1, similarity)
+                # the mark is the lowest bit beside the class, which keeps a row at two numbers
+                own, other = named[text] << 1, named[up][above] << 1
+                if marks is not None:
+                    sent, cost = needed(text, key, bands)
+                    own = (own | probes(text, cost, wanted[bands]))[sent]
+                    sent_above, _ = needed(above, key_above, bands[up] + 1)
+                    key, key_above, other = key[sent], key_above[sent_above], other[sent_above]
                 keys = np.concatenate([key, key_above]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate([own, named[up][above] << 1]))], names=["key", "marked"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate([own, other]))], names=["key", "marked"])
 
     return docs.select("text").mapInArrow(run, "key long, marked long")
 
 
-def _survivors(keys: DataFrame) -> DataFrame:
-    """(key, class, probe) of the keys held by two classes of which one is a probe. One shuffle of the keys."""
-    same = Window.partitionBy("key")
-    own = keys.select("key", F.shiftrightunsigned("marked", 1).alias("class"), F.col("marked").bitwiseAND(1).alias("probe"))
-    facts = own.select("*", F.min("class").over(same).alias("least"), F.max("class").over(same).alias("most"), F.max("probe").over(same).alias("probed"))
-    return facts.filter("least <> most and probed = 1").select("key", "class", "probe").distinct()
+def _survivors(docs: DataFrame, shingle: int, similarity: int) -> DataFrame:
+    """(key, class, probe) of the keys held by two classes of which one is a probe.
+
+    One shuffle of all keys counts them; what they leave is sent again, and that alone is joined.
+    """
+    facts = key_table(docs, shingle, similarity).groupBy("key").agg(F.min("marked").alias("least"), F.max("marked").alias("most"), F.count("*").alias("n"))
+    shared = materialise(facts.filter("least <> most").select("key", "n"), "shared_keys")
+    spark = docs.sparkSession
+    marks = spark.sparkContext.broadcast((collect_marks(shared.selectExpr("key as hash")), collect_marks(shared.filter(F.col("n") >= CROWDED).selectExpr("key as hash"))))
+    sent = key_table(docs, shingle, similarity, marks).join(shared, "key").select("key", F.shiftrightunsigned("marked", 1).alias("class"), F.col("marked").bitwiseAND(1).alias("probe"))
+    sent = materialise(sent.groupBy("key", "class").agg(F.max("probe").alias("probe")), "sent_keys")
+    held = sent.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most"), F.max("probe").alias("probed"))
+    return sent.join(held.filter("least <> most and probed = 1").select("key"), "key")
 
 
 def _jaccard(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: int) -> DataFrame:
@@ -259,8 +265,9 @@ _PAIR = ("least(one.class, two.class) as x", "greatest(one.class, two.class) as
 
 def _texts(docs: DataFrame, alive: DataFrame, shingle: int) -> DataFrame:
     """One text of every class that may have partners."""
-    holders = alive.select("class", "doc_id").distinct()
-    found = docs.select(F.col("doc_id").cast("long"), "text").join(holders, "doc_id").select("class", "text")
+    holders = materialise(alive.select("class", "class_id").distinct(), "holders")
+    rows = docs.select(F.col("doc_id").cast("long").alias("class_id"), "text")
+    found = rows.join(holders, "class_id").select("class", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,14 +276,19 @@ def _texts(docs: DataFrame, alive: DataFrame, shingle: int) -> DataFrame:
                 right = shingle_sets(block.column("text"), shingle).classes() == block.column("class").to_numpy()
                 yield block.filter(pa.array(right))
 
-    return materialise(found.mapInArrow(run, found.schema), "texts")
+    found = found.mapInArrow(run, found.schema)
+    # classes that no id stands for are found by their texts
+    nameless = add_columns(rows.filter("class_id is null").select("text"), longs("class"), lambda block: [shingle_sets(block.column("text"), shingle).classes()])
+    found = found.unionByName(nameless.join(holders.filter("class_id is null").select("class"), "class"))
+    return materialise(found.dropDuplicates(["class"]), "texts")
 
 
 def _centred(alive: DataFrame, turn: int, similarity: int) -> DataFrame:
-    """Near pairs of each key's centre, its least class in an order that changes each round, with classes of other components."""
-    rank = F.col("class") if turn == 0 else F.xxhash64("class", F.lit(turn))
-    facts = [name for name in alive.columns if name not in ("key", "probe")]
-    centres = alive.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), *facts)).alias("c")).select("key", "c.*")
+    """Near pairs of each key's centres, its least classes in orders that change each round, with classes of other components."""
+    ranks = [F.col("class") if number == 0 else F.xxhash64("class", F.lit(number)) for number in range(turn * CENTRES, (turn + 1) * CENTRES)]
+    facts = [name for name in alive.columns if name not in ("key", "probe", "class_id")]
+    chosen = alive.groupBy("key").agg(*[F.min(F.struct(rank.alias("rank"), *facts)).alias(f"c{k}") for k, rank in enumerate(ranks)])
+    centres = chosen.select("key", F.explode(F.array_distinct(F.array(*[F.col(f"c{k}").dropFields("rank") for k in range(CENTRES)]))).alias("c")).select("key", "c.*")
     joined = alive.alias("one").join(centres.alias("two"), "key").filter("one.component <> two.component").filter(_near("one", "two", similarity))
     return joined.selectExpr(*_PAIR).distinct()
 
@@ -291,59 +303,73 @@ def _unsettled(alive: DataFrame, parts: DataFrame) -> DataFrame:
     """Keys that still hold a probe and two components, with components as they now are."""
     named = alive.drop("component").join(parts.withColumnRenamed("node", "class"), "class", "left")
     named = named.withColumn("component", F.coalesce("component", "class"))
-    same = Window.partitionBy("key")
-    facts = named.select("*", F.min("component").over(same).alias("low"), F.max("component").over(same).alias("high"), F.max("probe").over(same).alias("probed"))
-    return materialise(facts.filter("low <> high and probed = 1").drop("low", "high", "probed"), "keys")
-
-
-def _pairs_left(alive: DataFrame) -> int:
-    """How many pairs of different components the keys hold, each key on its own."""
-    parts = alive.groupBy("key", "component").agg(F.count("*").cast("double").alias("n"))
-    per_key = parts.groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
-    return int(per_key.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).collect()[0][0])
+    facts = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("probe").alias("probed"))
+    return materialise(named.join(facts.filter("low <> high and probed = 1").select("key"), "key"), "keys")
 
 
 def link_classes(docs: DataFrame, classes: DataFrame, shingle: int, similarity: int) -> DataFrame:
     """(node, component) of every class that links with another."""
-    alive = materialise(_survivors(key_table(docs, shingle, similarity)).join(classes, "class").withColumn("component", F.col("class")), "keys")
+    alive = materialise(_survivors(docs, shingle, similarity).join(classes, "class").withColumn("component", F.col("class")), "keys")
     texts = _texts(docs, alive, shingle)
     tested = docs.sparkSession.createDataFrame([], "x long, y long")
     parts = docs.sparkSession.createDataFrame([], "node long, component long")
-    turn, whole = 0, False
+    turn = 0
     while True:
-        pairs = _all_pairs(alive, similarity) if whole else _centred(alive, turn, similarity)
+        pairs = _all_pairs(alive, similarity) if turn == ROUNDS else _centred(alive, turn, similarity)
         pairs = materialise(pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
         if row_count(pairs):
             found = materialise(_jaccard(pairs, texts, shingle, similarity), "found")
             tested = tested.union(pairs)
             if row_count(found):
                 parts = materialise(components(parts.toDF("a", "b").union(found.toDF("a", "b"))), "components")
-        if whole:
+        if turn == ROUNDS:
             return parts
         alive = _unsettled(alive, parts)
         if not row_count(alive):
             return parts
         turn += 1
-        whole = turn == ROUNDS or _pairs_left(alive) <= MANY * row_count(alive)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
-    """doc_id, n_shingles, class_id (smallest doc_id with the same set) and component_id of every document."""
+def _component_table(docs: DataFrame, shingle: int, similarity: int) -> tuple[DataFrame, DataFrame]:
+    """``class_table`` of the documents, and each class's smallest id (class_id) with its component's smallest (id, class) as ``kept``. Written."""
     table = materialise(class_table(docs, shingle), "classes")
-    classes = materialise(
-        table.filter("class <> 0 and doc_id is not null").groupBy("class").agg(*[F.min(name).alias(name) for name in table.columns if name != "class"]),
-        "class_facts",
-    )
+    facts = [F.min(name).alias(name) for name in table.columns if name not in ("class", "doc_id")]
+    classes = materialise(table.filter("class <> 0").groupBy("class").agg(F.min("doc_id").alias("class_id"), *facts), "class_facts")
     parts = link_classes(docs, classes, shingle, similarity)
-    named = classes.select("class", F.col("doc_id").alias("class_id")).join(parts.withColumnRenamed("node", "class"), "class", "left")
-    smallest = named.filter("component is not null").groupBy("component").agg(F.min("class_id").alias("component_id"))
-    ids = named.join(smallest, "component", "left").select("class", "class_id", F.coalesce("component_id", "class_id").alias("component_id"))
+    named = classes.select("class", "class_id").join(parts.withColumnRenamed("node", "class"), "class", "left")
+    named = named.withColumn("component", F.coalesce("component", "class"))
+    # a class without an id represents its component only where no class has one
+    first = F.min(F.struct(F.col("class_id").isNull().alias("no_id"), F.col("class_id").alias("doc_id"), "class")).alias("kept")
+    return table, materialise(named.join(named.groupBy("component").agg(first), "component").select("class", "class_id", "kept"), "class_components")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
+    """doc_id, n_shingles, class_id (smallest doc_id with the same set) and component_id of every document."""
+    table, ids = _component_table(docs, shingle, similarity)
     return table.join(ids, "class", "left").select(
-        "doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("kept.doc_id", "class_id", "doc_id").alias("component_id")
     )
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id. Rows that repeat a kept id stay."""
-    gone = near_duplicates(docs, shingle, similarity).filter("component_id <> doc_id").select("doc_id")
-    return docs.join(materialise(gone, "near_duplicates"), "doc_id", "left_anti")
+    """``docs`` with one row of each component: of the smallest id, and of its texts the one with the smallest class.
+
+    An id that stands for several texts counts for each of them: only the texts with a partner go. Of rows that are
+    equal in id and set one stays, and one of a component without any id. Rows without words all stay.
+    """
+    table, ids = _component_table(docs, shingle, similarity)
+    held = table.groupBy("doc_id", "class").agg(F.count("*").alias("n"))
+    stays = F.col("kept.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("kept.class") == F.col("class"))
+    judged = held.join(ids, "class", "left").select("doc_id", "class", "n", ((F.col("class") == 0) | stays).alias("stays"))
+    # ids whose rows don't all stay; the rows of those that keep some are told apart by their texts
+    sure = F.min(F.col("stays") & ((F.col("n") == 1) | (F.col("class") == 0)))
+    by_id = judged.filter("doc_id is not null").groupBy("doc_id").agg(sure.alias("sure"), F.max("stays").alias("some"))
+    open_ids = materialise(by_id.filter("not sure"), "open_ids")
+    whole = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
+    clear = whole.filter("doc_id is not null").join(open_ids, "doc_id", "left_anti").select("_doc.*")
+    mixed = whole.join(open_ids.filter("some").select("doc_id"), "doc_id", "left_semi").unionByName(whole.filter("doc_id is null"))
+    mixed = add_columns(mixed, longs("class"), lambda block: [shingle_sets(block.column("text"), shingle).classes()]).drop("text")
+    best = materialise(judged.filter("stays and class <> 0").select(F.col("doc_id").alias("kept_id"), "class").distinct(), "kept_texts")
+    chosen = mixed.alias("m").join(best.alias("b"), F.expr("m.class = b.class and m.doc_id <=> b.kept_id")).select("m.*")
+    chosen = chosen.groupBy("doc_id", "class").agg(F.first("_doc").alias("_doc")).select("_doc.*")
+    return clear.unionByName(chosen).unionByName(mixed.filter("class = 0").select("_doc.*"))

@@ -1,5 +1,6 @@
 """Brute force, invariants and edge cases of the corpus operators."""
 
+import glob
 import hashlib
 import re
 import zlib
@@ -9,7 +10,10 @@ from math import comb
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyarrow import orc
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -68,6 +72,15 @@ def test_pipeline_of_odd_rows(spark, odd, folder, sf):
     assert corpus_pipeline.run(spark, folder).columns == packing.pack(odd).columns
 
 
+def test_pipeline_keeps_the_columns_of_its_input(spark, sf):
+    """Columns named like a stage's own come back as they went in."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("*", "concat('s', doc_id) as SCORE", "concat('k', doc_id) as Kept", "concat('w', doc_id) as n_words", "concat('c', doc_id) as class")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, sf)
+        assert kept.columns == docs.columns, name
+        assert 0 < kept.join(docs, docs.columns).count() == kept.count() <= docs.count(), name
+
+
 def test_pipeline_keeps_what_its_stages_keep(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     last = {row[0] for row in corpus_pipeline.run(spark, sf).select("doc_id").collect()}
@@ -103,11 +116,62 @@ def test_automaton_equals_edit_distance():
         assert found.get(k) == ((near[0][1], near[0][0]) if near else None), word
 
 
+def _factor(line, hit="idiot"):
+    points, _ = toxicity._letters([line])
+    low = line.index(hit)
+    return toxicity.Context(points).factor(low, low + len(hit))
+
+
 def test_quotation_counts_less():
-    assert toxicity.context_factor("you are an ", " indeed") == 1.0
-    assert toxicity.context_factor('the sign read "', '" in red') == toxicity.QUOTED
-    assert toxicity.context_factor("«", "» a-t-il dit") == toxicity.QUOTED
-    assert toxicity.context_factor("they called me ", "") == toxicity.REPORTED
+    far = "x " * 60
+    assert _factor("you are an idiot indeed") == 1.0
+    assert _factor('the sign read "idiot" in red') == toxicity.QUOTED
+    assert _factor("«idiot» a-t-il dit") == toxicity.QUOTED
+    assert _factor("they called me idiot") == toxicity.REPORTED
+    # inside a long quotation, and outside with quotations on both sides
+    assert _factor(f'the sign read "{far} idiot {far}" in red') == toxicity.QUOTED
+    assert _factor(f'"{far} a long quotation" you idiot and "another {far}"') == 1.0
+    assert _factor(f"“{far}” you idiot “{far}”") == 1.0
+    assert _factor(f"“{far} idiot {far}”") == toxicity.QUOTED
+    # a line ends a quotation, and a mark that nothing closes opens none
+    assert _factor('"open\nyou idiot" there') == 1.0
+    assert _factor('"you idiot') == 1.0
+
+
+def test_evidence_equals_brute_force(spark):
+    """Hits by edit distance over every word, weights and contexts as the model has them."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    assert model.automaton.terms
+    docs = docs.filter("length(text) < 1500 and doc_id < 400").limit(80)
+    found = {row["doc_id"]: (row["score"], row["n_hits"]) for row in toxicity.tag(docs, model).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    seen = 0
+    for doc, text in rows:
+        lower, best, hits = text.lower(), {}, 0
+        points, _ = toxicity._letters([text])
+        for match in re.finditer(r"[^\W\d_]+", lower):
+            near = sorted((_edits(match[0], t), k) for k, t in enumerate(model.automaton.terms) if abs(len(t) - len(match[0])) < 2 and _edits(match[0], t) <= (len(t) >= automaton.FUZZY_FROM))
+            if near:
+                edit, term = near[0][0], min((model.automaton.terms[k], k) for e, k in near if e == near[0][0])[1]
+                if model.weights[term, edit] > 0:
+                    hits += 1
+                    best[term, edit] = max(best.get((term, edit), 0), toxicity.Context(points).factor(*match.span()))
+        evidence = sum(model.weights[key] * factor for key, factor in best.items())
+        score = 1 / (1 + np.exp(-np.clip(model.slope * evidence + model.offset, -500, 500)))
+        assert found[doc] == (pytest.approx(score, abs=1e-9), hits), doc
+        seen += hits
+    assert seen
+
+
+def test_other_labels_teach_nothing(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").selectExpr("doc_id", "quality", "toxic")
+    more = labels.union(spark.createDataFrame([(k, 7, -3) for k in range(100_000, 100_050)] + [(None, 1, 1)], "doc_id long, quality int, toxic int"))
+    extra = docs.union(spark.createDataFrame([(k, "some more text here", "en", "s", 0) for k in range(100_000, 100_050)], docs.schema))
+    for scores in (lambda d, l: toxicity.toxicity_scores(d, l), lambda d, l: quality_classifier.quality_scores(d, l)):
+        assert sorted(scores(docs, labels).select("doc_id", "score").collect()) == sorted(scores(extra, more).filter("doc_id < 100000").select("doc_id", "score").collect())
 
 
 def test_toxicity_of_held_out_rows(spark):
@@ -126,6 +190,35 @@ def test_quality_of_held_out_rows(spark):
     assert np.mean([row["predicted"] == labels[row["doc_id"]] for row in held]) > 0.98
 
 
+def test_quality_weights_equal_brute_force(spark, sf):
+    stats = quality_classifier.statistics(spark.read.parquet(f"{sf}/documents.parquet"))
+    train = stats.join(spark.read.parquet(f"{sf}/labels.parquet").selectExpr("doc_id", "cast(quality as int) label"), "doc_id").cache()
+    model = quality_classifier.fit(train)
+    x = np.array([row["stats"] for row in train.orderBy("doc_id").collect()])
+    y = np.array([row["label"] for row in train.orderBy("doc_id").collect()], float)
+    np.testing.assert_allclose(model.centre, x.mean(0), atol=1e-5)
+    np.testing.assert_allclose(model.scale, np.maximum(x.std(0), 1e-6), atol=1e-4)
+    # the kernel's expansion, its ridge solution, and pools of equal raw scores
+    z = np.column_stack([np.sqrt(2 / quality_classifier.COSINES) * np.cos(np.clip((x - model.centre) / model.scale, -6, 6) @ model.turns + model.phase), np.ones(len(x))])
+    weights = np.linalg.solve(z.T @ z + quality_classifier.RIDGE * len(x) * 1e-2 * np.eye(z.shape[1]), z.T @ y)
+    np.testing.assert_allclose(model.raw(x), np.clip(z @ weights, -0.5, 1.5), atol=2e-2)
+    step = np.floor(model.raw(x) * quality_classifier.STEPS)
+    levels = np.unique(step)
+    expected = quality_classifier.isotonic(levels, np.array([y[step == s].sum() for s in levels]), np.array([(step == s).sum() for s in levels]))
+    np.testing.assert_allclose(model.chances, expected)
+    # a Gaussian kernel between documents
+    gaps = ((x[:40, None] - x[None, :40]) / model.scale)
+    kernel = np.exp(-(gaps**2).sum(-1) / (2 * quality_classifier.WIDTH**2 * x.shape[1] / 4))
+    assert np.abs(z[:40, :-1] @ z[:40, :-1].T - kernel).mean() < 0.08
+
+
+def test_quality_scores_do_not_depend_on_partitions(spark, sf):
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    docs = docs.union(docs.withColumn("text", F.expr("concat(text, ' another ending')")).limit(40))  # ids of two texts
+    one, two = (quality_classifier.quality_scores(docs.repartition(n), labels).orderBy("doc_id", "score").collect() for n in (3, 7))
+    assert one == two
+
+
 def test_isotonic():
     out = quality_classifier.isotonic(np.arange(4), np.array([1, 0, 5, 9]), np.array([10, 10, 10, 10]))
     assert (np.diff(out) >= 0).all() and out[0] == out[1]
@@ -148,6 +241,43 @@ def test_quality_measures(spark, sf):
         assert not (row["kept"] and row["base_failed"])
 
 
+def _low(value):
+    shift = 2 ** max(0, value.bit_length() - 7)
+    return value - value % shift
+
+
+def test_quality_verdicts_equal_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    docs = docs.withColumn("source", F.expr("if(doc_id % 5 = 0, null, source)")).withColumn("lang", F.expr("if(doc_id % 11 = 0, null, lang)"))
+    rows = quality_rules.measure(docs).select("*", *[rate.alias(name) for name, rate in quality_rules.rates().items()]).collect()
+    passed = [row for row in rows if not row["base_failed"]]
+
+    def quartiles(group, name):
+        values = sorted(_low(row[name]) for row in group)
+        return [next(v for k, v in enumerate(values, 1) if 4 * k >= share * len(values)) for share in (1, 3)]
+
+    def blend(group, name, above):
+        n = len(group)
+        return [(n * q + quality_rules.PRIOR * p) // (n + quality_rules.PRIOR) for q, p in zip(quartiles(group, name), above, strict=True)]
+
+    langs, groups = defaultdict(list), defaultdict(list)
+    for row in passed:
+        langs[row["lang"]].append(row)
+        groups[row["lang"], row["source"]].append(row)
+    found = {row["doc_id"]: row["kept"] for row in quality_rules.quality_report(docs).collect()}
+    rejected, own = 0, set()
+    for row in rows:
+        expected = not row["base_failed"]
+        for name, spread in quality_rules.SPREAD.items():
+            if expected:
+                low, high = blend(groups[row["lang"], row["source"]], name, blend(langs[row["lang"]], name, quartiles(passed, name)))
+                own.add((name, low, high))
+                expected = row[name] <= high + quality_rules.REACH * max(high - low, spread)
+                rejected += not expected
+        assert found[row["doc_id"]] == expected, row["doc_id"]
+    assert rejected and len(own) > 2 * len(quality_rules.SPREAD)
+
+
 # ---- near duplicates
 def _shingles(text):
     words = [re.sub("[A-Z]", lambda m: m[0].lower(), word) for word in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
@@ -187,6 +317,18 @@ def test_near_duplicates_equal_brute_force(spark, sf):
     assert {r["doc_id"]: (r["component_id"], r["n_shingles"]) for r in found} == {i: (expected[i], len(sets[i])) for i in sets}
 
 
+def test_keep_one_row_of_each_component(spark):
+    a, near, other = "one two three four five six seven eight nine ten " * 3, "ONE two three four five six seven eight nine ten " * 3, "quite another text that nothing equals here"
+    rows = [(1, a), (5, a), (5, "unique to five and to nobody else at all"), (7, near), (1, a), (None, a), (None, other), (None, other), (8, ""), (8, ""), (9, None), (None, ""), (6, other + " x y"), (6, "short")]
+    docs = spark.createDataFrame([(i, t, "C", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, class string, N long").repartition(3)
+    kept = parity_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    found = sorted([tuple(row)[:2] for row in kept.collect()], key=str)
+    expected = [(1, a), (5, rows[2][1]), (None, other), (8, ""), (8, ""), (9, None), (None, ""), (6, other + " x y"), (6, "short")]
+    assert found == sorted(expected, key=str)
+    assert {row["class"] for row in kept.collect()} == {"C"}
+
+
 def test_linked_sets_share_a_probe():
     random = np.random.default_rng(1)
     for size in (7, 20, 57, 300):
@@ -197,9 +339,12 @@ def test_linked_sets_share_a_probe():
         band = np.array([max(bands)])
         keys = []
         for shingles in (one, two):
-            text, key, tokens = parity_join.segment_keys(parity_join.Sets(shingles, np.array([0, len(shingles)])), band, 85, np.zeros(0, dtype=np.uint64))
-            keys.append((set(key.tolist()), set(key[parity_join._probes(text, tokens, parity_join.segments(85)[1][band])].tolist())))
+            text, key = parity_join.segment_keys(parity_join.Sets(shingles, np.array([0, len(shingles)])), band, 85)
+            chosen = parity_join.probes(text, random.integers(0, 3, len(key)), parity_join.segments(85)[1][band])
+            keys.append((set(key.tolist()), set(key[chosen].tolist())))
         assert keys[0][1] & keys[1][0]
+        total, wanted = (numbers[band[0]] for numbers in parity_join.segments(85))
+        assert len(keys[0][0] & keys[1][0]) >= total - wanted + 1
 
 
 def test_components(spark):
@@ -290,9 +435,9 @@ def test_contamination_equals_brute_force(spark, sf, most):
 
 def test_longest_matches(spark):
     docs = spark.createDataFrame([(2, "x a b c d y"), (1, "a b q"), (3, "A, b c d")], "doc_id long, text string")
-    items = spark.createDataFrame([(1, "k a b c d z"), (2, "q"), (3, "nothing here")], "item_id long, text string")
+    items = spark.createDataFrame([(1, "k a b c d z"), (2, "q"), (3, "nothing here"), (4, "y nowhere")], "item_id long, text string")
     found = {row["item_id"]: (row["n_words"], row["doc_id"]) for row in decontamination.longest_matches(docs, items).collect()}
-    assert found == {"1": (4, 2), "2": (1, 1)}
+    assert found == {"1": (4, 2), "2": (1, 1), "4": (1, 2)}
 
 
 def test_suffix_array():
@@ -365,13 +510,47 @@ def test_field_tokens(spark):
 
 def test_word_encoder_equals_the_whole_text():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    texts = ["<|endoftext|> a", "it's don't’s", "áb é é", "İstanbul ΣΑΣ ß", "x\x1cy z\x85w", "  two  blanks\n\n", "", "日本語。テスト", "A1b2 a.b ...", "é. É, ñ! µ º", "ﬁne ǅ.", "tab\tbed\r\nx", "Word., ,.", "ÅÅ"]
-    encoder = token_files.WordEncoder(tokenizer, most=5)
-    for _ in range(2):
-        ids, counts = encoder.encode(texts)
-        expected = [item.ids for item in tokenizer.encode_batch(texts, add_special_tokens=False)]
-        assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] == expected
-    assert encoder.direct
+    texts = ["<|endoftext|> a", "it's don't’s", "áb é é", "İstanbul ΣΑΣ ß", "x\x1cy z\x85w", "  two  blanks\n\n", "", "日本語。テスト", "A1b2 a.b ...", "é. É, ñ! µ º", "ﬁne ǅ.", "tab\tbed\r\nx", "Word., ,.", "ÅÅ"]
+    texts += ["<|ENDOFTEXT|> b", "c <|EndOfText|>d", "<|STARTOFTEXT|><|startoftext|>", "é <|endoftext|>É", None, "THE The the", "plain words again"]
+    expected = [item.ids for item in tokenizer.encode_batch([text or "" for text in texts], add_special_tokens=False)]
+    for most in (0, 1 << 20):
+        encoder = token_files.WordEncoder(tokenizer, most=most)
+        for _ in range(2):
+            ids, counts = encoder.encode(pa.array(texts))
+            assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] == expected
+        assert encoder.direct
+
+
+def test_looking_up_an_id_skips_stripes(spark, folder):
+    rows = [(k, f"text number {k} " * 20) for k in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    settings = {"orc.row.index.stride": "1000", "orc.stripe.size": "65536", "orc.stripe.row.count": "1000"}
+    token_files.write_tokens(docs, f"{folder}/t", public_tokenizers.path("word_bpe_49k.json"), **settings)
+    files = glob.glob(f"{folder}/t/*.orc")
+    assert len(files) == 1 and orc.ORCFile(files[0]).nstripes > 1
+
+    found = spark.read.schema(token_files.ROW).orc(f"{folder}/t").filter(F.col("doc_id") == 4321)
+    assert [row["doc_id"] for row in found.collect()] == [4321]
+    plan = found._jdf.queryExecution().executedPlan()
+    assert "doc_id" in plan.toString().split("PushedFilters: [")[1].split("]")[0]
+    scanned = plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+    assert 0 < scanned <= 1000 < len(rows)
+    # an id between those of a stripe is kept out by its Bloom filter
+    absent = spark.createDataFrame([(2 * k, "even") for k in range(3000)], "doc_id long, text string")
+    token_files.write_tokens(absent, f"{folder}/e", public_tokenizers.path("word_bpe_49k.json"), **settings)
+    found = spark.read.schema(token_files.ROW).orc(f"{folder}/e").filter(F.col("doc_id") == 2001)
+    assert found.collect() == []
+    assert found._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value() == 0
+
+
+def test_an_id_may_fill_several_files(spark, folder, monkeypatch):
+    monkeypatch.setattr(token_files, "FILE_ROWS", 5)
+    rows = [(k, f"t{k}") for k in range(6)] + [(3, f"hot text {k} " * 3) for k in range(20)] + [(3, "same")] * 15
+    token_files.write_tokens(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), f"{folder}/t", public_tokenizers.path("word_bpe_49k.json"))
+    found = token_files.read_tokens(spark, f"{folder}/t").orderBy("start").collect()
+    assert [row["doc_id"] for row in found] == sorted(i for i, _ in rows)
+    assert [row["start"] for row in found] == np.cumsum([0, *[row["n_tokens"] for row in found]])[:-1].tolist()
+    assert len(glob.glob(f"{folder}/t/*.orc")) > 4
 
 
 def test_token_files(spark, sf):
