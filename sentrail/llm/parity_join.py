@@ -13,7 +13,8 @@ are cut into bands; for each band, with n its upper end, a sketch has more than
    there are marked as linked sets must share; all others send nothing more.
 3. A class that may have one sends its marked keys, with d(n) + 1 segments of its own band as probes: those without
    a mark first, which cost nothing, then the marked, the crowded last. Keys with two classes and a probe survive.
-4. Classes of one key are first checked against ``CENTRES`` of them; confirmed links are joined into components,
+4. Of keys with up to ``FEW`` classes all pairs are checked. Classes of a larger key are first checked against
+   ``CENTRES`` of them; confirmed links are joined into components,
    and keys whose classes share one component are done. This is repeated with other centres, and at
    last the remaining pairs of different components under a key are checked. A group of copies costs a few
    checks each, not one per pair.
@@ -46,7 +47,9 @@ SIMILARITY = 85
 BAND = 1.5
 SEGMENT_BITS = 4096
 SHORT_LONGS = 8
-#: centres of a key in a round, and rounds before the pairs that are left are checked
+#: classes of a key whose pairs are checked one by one
+FEW = 8
+#: centres of a larger key in a round, and rounds before the pairs that are left are checked
 CENTRES = 4
 ROUNDS = 2
 #: classes of a key from which it is probed last
@@ -216,7 +219,7 @@ def key_table(docs: DataFrame, shingle: int, similarity: int, marks: object = No
 
 
 def _survivors(docs: DataFrame, shingle: int, similarity: int) -> DataFrame:
-    """(key, class, probe) of the keys held by two classes of which one is a probe.
+    """(key, class, probe, n) of the keys held by ``n`` > 1 classes of which one is a probe.
 
     One shuffle of all keys counts them; what they leave is sent again, and that alone is joined.
     """
@@ -226,8 +229,8 @@ def _survivors(docs: DataFrame, shingle: int, similarity: int) -> DataFrame:
     marks = spark.sparkContext.broadcast((collect_marks(shared.selectExpr("key as hash")), collect_marks(shared.filter(F.col("n") >= CROWDED).selectExpr("key as hash"))))
     sent = key_table(docs, shingle, similarity, marks).join(shared, "key").select("key", F.shiftrightunsigned("marked", 1).alias("class"), F.col("marked").bitwiseAND(1).alias("probe"))
     sent = materialise(sent.groupBy("key", "class").agg(F.max("probe").alias("probe")), "sent_keys")
-    held = sent.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most"), F.max("probe").alias("probed"))
-    return sent.join(held.filter("least <> most and probed = 1").select("key"), "key")
+    held = sent.groupBy("key").agg(F.count("*").alias("n"), F.max("probe").alias("probed"))
+    return sent.join(held.filter("n > 1 and probed = 1").select("key", "n"), "key")
 
 
 def _jaccard(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: int) -> DataFrame:
@@ -286,7 +289,7 @@ def _texts(docs: DataFrame, alive: DataFrame, shingle: int) -> DataFrame:
 def _centred(alive: DataFrame, turn: int, similarity: int) -> DataFrame:
     """Near pairs of each key's centres, its least classes in orders that change each round, with classes of other components."""
     ranks = [F.col("class") if number == 0 else F.xxhash64("class", F.lit(number)) for number in range(turn * CENTRES, (turn + 1) * CENTRES)]
-    facts = [name for name in alive.columns if name not in ("key", "probe", "class_id")]
+    facts = [name for name in alive.columns if name not in ("key", "probe", "class_id", "n")]
     chosen = alive.groupBy("key").agg(*[F.min(F.struct(rank.alias("rank"), *facts)).alias(f"c{k}") for k, rank in enumerate(ranks)])
     centres = chosen.select("key", F.explode(F.array_distinct(F.array(*[F.col(f"c{k}").dropFields("rank") for k in range(CENTRES)]))).alias("c")).select("key", "c.*")
     joined = alive.alias("one").join(centres.alias("two"), "key").filter("one.component <> two.component").filter(_near("one", "two", similarity))
@@ -313,9 +316,12 @@ def link_classes(docs: DataFrame, classes: DataFrame, shingle: int, similarity:
     texts = _texts(docs, alive, shingle)
     tested = docs.sparkSession.createDataFrame([], "x long, y long")
     parts = docs.sparkSession.createDataFrame([], "node long, component long")
+    # keys of few classes are done at once, those of many by centres first
+    few, alive = alive.filter(F.col("n") <= FEW), alive.filter(F.col("n") > FEW)
     turn = 0
     while True:
         pairs = _all_pairs(alive, similarity) if turn == ROUNDS else _centred(alive, turn, similarity)
+        pairs = pairs.union(_all_pairs(few, similarity)).distinct() if turn == 0 else pairs
         pairs = materialise(pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
         if row_count(pairs):
             found = materialise(_jaccard(pairs, texts, shingle, similarity), "found")
