@@ -1,22 +1,23 @@
 """Collocations by stripes: every prefix keys an associative counter of the words that follow it.
 
 Texts are lower-cased (A-Z), cut into pieces at ``.,;:!?`` and line breaks, and pieces into words at blanks and
-tabs. All counts are per language. A stripe of a prefix of k words holds how often each next word follows it, and, under
-no word (null), how often the piece ends there or a word follows that can't matter; so the counters of a stripe add up
-to the occurrences of its prefix. From the merged stripes alone come
+tabs. All counts are per language. A stripe of a prefix of k words holds how often each next word follows it. The stripe of
+the empty prefix also has, under no word (null), the words that can't matter, so that it adds up to all words. From
+the merged stripes alone come
 
 - extensions: a counter of at least ``least`` makes prefix and next word a candidate phrase;
-- prefix totals: occurrences of both parts of every cut of a candidate;
+- prefix totals: a prefix's own counter, in the stripe of the prefix one word shorter, is how often it occurs, which both
+  parts of every cut of a candidate are looked up by;
 - subsumption maxima: the largest counter in a phrase's own stripe (one word more on the right), and the largest
   counter that ends stripes of phrases with one word more on the left. A phrase is no more frequent than what it
   holds, so a longer phrase that covers a candidate also shows in one of these two.
 
-Stripes grow a word at a time. Phrases that occur ``least`` times are marked in a bitmap of fixed size (by hash), which
-goes to every task; the next round counts a word after a prefix only where the marks allow both the prefix and
-the words without its first one. Marks hit by chance cost rows and change nothing. Tasks keep stripes in memory up to
-``TASK_ROWS`` counters and send them as rows (prefix, next word, count), so that one prefix's stripe is merged, element by
-element, by as many tasks as there are. Phrases are compared as text; 64-bit hashes only join a task's equal
-phrases and pick marks.
+Which counters matter is found first, a word at a time: a round counts the hashes of all phrases of its length whose
+first and last words the round before has left in, and marks those that occur ``least`` times in a bitmap of fixed size
+(``marks``), which goes to every task. Then one pass makes the stripes, counters under marked phrases only. Marks
+hit by chance cost rows and change nothing: phrases are counted again there, and compared as text; 64-bit
+hashes only join a task's equal phrases and pick marks. Tasks keep counters up to a number and send them as
+rows (prefix, next word, count), so that one prefix's stripe is merged, element by element, by as many tasks as there are.
 
 A null language counts as ``und``, a null text as empty; repeated rows count each; ties go by the smaller cut and by
 phrase in byte order; an empty table gives an empty result. Extra columns are ignored, whatever their names. One text is
@@ -34,8 +35,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sentrail.llm.marks import collect_marks, marked
 from sentrail.llm.words import Words, blocks, mix, split
-from sentrail.operators.grouped import join_small
 from sentrail.session import materialise
 
 LONGEST = 4
@@ -43,10 +44,9 @@ LEAST = 30
 COVERED_PERCENT = 80
 TOP = 2_000
 SCALE = 2_000_000
-#: bits of the marks, as a power of two: 4 MB
-MARK_BITS = 25
-#: counters that a task holds before it sends them
-TASK_ROWS = 300_000
+#: counters that a task holds before it sends them, of hashes and of stripes
+TASK_COUNTS = 2_000_000
+TASK_ROWS = 1_000_000
 #: slices of a language that are ranked on their own first
 SLICES = 64
 
@@ -57,7 +57,7 @@ _ENDS = np.array([byte in _PIECE_ENDS for byte in range(256)])
 _INSIDE = np.array([byte not in _PIECE_ENDS + _WORD_ENDS for byte in range(256)])
 _RADIX = np.uint64(0x9E3779B97F4A7C15)
 _NOTHING = np.uint64(0xD6E8FEB86659FD93)
-STRIPE = "lang string, prefix string, next string, n long"
+STRIPE = "lang string, prefix string, next string, size int, n long"
 
 
 def _language(column: pa.Array) -> np.ndarray:
@@ -81,11 +81,6 @@ def _phrase_hashes(words: Words, language: np.ndarray, together: np.ndarray, mos
     return out
 
 
-def _marked(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes >> np.uint64(64 - MARK_BITS)
-    return (marks[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-
-
 class _Text:
     """Words of a block with one blank after each, to cut phrases out of."""
 
@@ -111,100 +106,104 @@ class _Text:
 
 
 class _Held:
-    """The stripes of a task: counters by hash of language, prefix and next word."""
+    """The counters of a task by hash, with a row of names for each where they have any."""
 
-    def __init__(self) -> None:
-        self.parts: list[tuple[np.ndarray, np.ndarray, pa.RecordBatch]] = []
-        self.rows = 0
+    def __init__(self, most: int) -> None:
+        self.parts: list[tuple[np.ndarray, np.ndarray, pa.RecordBatch | None]] = []
+        self.rows, self.most = 0, most
 
-    def add(self, hashes: np.ndarray, counts: np.ndarray, named: pa.RecordBatch) -> None:
+    def add(self, hashes: np.ndarray, counts: np.ndarray, named: pa.RecordBatch | None = None) -> bool:
+        """Take counters in; whether there are now too many of them to go on."""
         self.parts.append((hashes, counts, named))
         self.rows += len(hashes)
+        if self.rows > self.most:
+            self.merge()
+        return self.rows > self.most // 2 and len(self.parts) == 1
 
     def merge(self) -> None:
-        hashes = np.concatenate([part[0] for part in self.parts])
-        found, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-        counts = np.bincount(place, weights=np.concatenate([part[1] for part in self.parts]), minlength=len(found)).astype(np.int64)
-        named = pa.Table.from_batches([part[2] for part in self.parts]).take(pa.array(first)).combine_chunks()
-        self.parts = [(found, counts, (named.to_batches() or [self.parts[0][2].slice(0, 0)])[0])]
-        self.rows = len(found)
+        hashes, first, place = np.unique(np.concatenate([part[0] for part in self.parts]), return_index=True, return_inverse=True)
+        counts = np.bincount(place, weights=np.concatenate([part[1] for part in self.parts]), minlength=len(hashes)).astype(np.int64)
+        named = None
+        if self.parts[0][2] is not None:
+            named = pa.Table.from_batches([part[2] for part in self.parts]).take(pa.array(first)).combine_chunks()
+            named = (named.to_batches() or [self.parts[0][2].slice(0, 0)])[0]
+        self.parts, self.rows = [(hashes, counts, named)], len(hashes)
 
     def rows_out(self) -> pa.RecordBatch:
-        _, counts, named = self.parts[0]
-        return pa.RecordBatch.from_arrays([*named.columns, pa.array(counts)], names=["lang", "prefix", "next", "n"])
-
-
-def _block_stripes(block: pa.RecordBatch, size: int, marks: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, pa.RecordBatch] | None:
-    """Hashes, counts and (lang, prefix, next) of the stripes of prefixes of ``size`` - 1 words in a block of texts."""
-    words = split(block.column("text"), _INSIDE, lower=True)
-    total = len(words.starts)
-    if not total:
-        return None
-    piece = np.cumsum(_ENDS[words.data])[words.starts]
-    owner = words.owner()
-    together = (piece[1:] == piece[:-1]) & (owner[1:] == owner[:-1])
-    made = _phrase_hashes(words, _language(block.column("lang")), together, size)
-    whole, there = made[size - 1]
-    if size == 1:
-        start, extended = np.arange(total), np.ones(total, dtype=bool)
-        hashes = whole
-    else:
-        before, had = made[size - 2]
-        allowed = had & _marked(marks, before)
-        start = np.flatnonzero(allowed)
-        after = np.zeros(total, dtype=bool)
-        after[:-1] = allowed[1:]
-        extended = (there & after)[start]
-        hashes = np.where(extended, whole[start], mix(before[start] ^ _NOTHING))
-    found, first, counts = np.unique(hashes, return_index=True, return_counts=True)
-    start, extended = start[first], extended[first]
-    text = _Text(words)
-    languages = block.column("lang").cast(pa.string()).fill_null("und").take(pa.array(owner[start]))
-    named = [languages, text.cut(start, size - 1, np.ones(len(start), dtype=bool)), text.cut(start + size - 1, 1, extended)]
-    return found, counts, pa.RecordBatch.from_arrays(named, names=["lang", "prefix", "next"])
-
-
-def _task_stripes(docs: DataFrame, size: int, marks: object) -> DataFrame:
-    """The stripes of every task, a row for each counter. Narrow: nothing is shuffled."""
+        self.merge()
+        hashes, counts, named = self.parts[0]
+        if named is None:
+            return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["hash", "n"])
+        return pa.RecordBatch.from_arrays([*named.columns, pa.array(counts)], names=["lang", "prefix", "next", "size", "n"])
+
+
+class _Block:
+    """Words of a block of texts with the phrases that begin at each, by length."""
+
+    def __init__(self, block: pa.RecordBatch, longest: int):
+        self.words = split(block.column("text"), _INSIDE, lower=True)
+        self.total = len(self.words.starts)
+        piece = np.cumsum(_ENDS[self.words.data])[self.words.starts] if self.total else np.zeros(0, dtype=np.int64)
+        self.owner = self.words.owner()
+        together = (piece[1:] == piece[:-1]) & (self.owner[1:] == self.owner[:-1])
+        self.phrases = _phrase_hashes(self.words, _language(block.column("lang")), together, longest)
+        self.lang = block.column("lang").cast(pa.string()).fill_null("und")
+
+    def allowed(self, size: int, marks: np.ndarray) -> np.ndarray:
+        """Words where a marked phrase of ``size`` words begins."""
+        hashes, there = self.phrases[size - 1]
+        return there & marked(marks, hashes)
+
+    def counts(self, size: int, marks: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the phrases of ``size`` words whose first and last ``size`` - 1 are marked, with their counts."""
+        hashes, there = self.phrases[size - 1]
+        if marks is not None:
+            allowed = self.allowed(size - 1, marks)
+            there = there & allowed & np.append(allowed[1:], False)
+        return np.unique(hashes[there], return_counts=True)
+
+    def stripes(self, longest: int, marks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, pa.RecordBatch]:
+        """Hashes, counts and (lang, prefix, next, size) of the counters of all marked phrases, and of the other words."""
+        text, parts = _Text(self.words), []
+        for size in range(1, longest + 1):
+            counted = self.allowed(size, marks[size - 1])
+            start = np.arange(self.total) if size == 1 else np.flatnonzero(counted)
+            named = counted[start]
+            hashes = self.phrases[size - 1][0][start]
+            if size == 1:
+                hashes = np.where(named, hashes, mix(_language(self.lang) ^ _NOTHING)[self.owner])
+            found, first, counts = np.unique(mix(hashes + np.uint64(size)), return_index=True, return_counts=True)
+            start, named = start[first], named[first]
+            names = [self.lang.take(pa.array(self.owner[start])), text.cut(start, size - 1, np.ones(len(start), dtype=bool))]
+            names += [text.cut(start + size - 1, 1, named), pa.array(np.full(len(start), size, dtype=np.int32))]
+            parts.append((found, counts, pa.RecordBatch.from_arrays(names, names=["lang", "prefix", "next", "size"])))
+        named = pa.Table.from_batches([part[2] for part in parts]).combine_chunks().to_batches()[0]
+        return np.concatenate([part[0] for part in parts]), np.concatenate([part[1] for part in parts]), named
+
+
+def _per_task(docs: DataFrame, longest: int, most: int, made: object, schema: str) -> DataFrame:
+    """Counters of every task, from what ``made`` finds in a block. Narrow: nothing is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Held()
+        held = _Held(most)
         for batch in batches:
-            for block in blocks(batch, "text"):
-                made = _block_stripes(block, size, None if marks is None else marks.value)
-                if made:
-                    held.add(*made)
-                if held.rows > TASK_ROWS:
-                    held.merge()
-                    if held.rows > TASK_ROWS // 2:
-                        yield held.rows_out()
-                        held = _Held()
+            for rows in blocks(batch, "text"):
+                block = _Block(rows, longest)
+                if block.total and held.add(*made(block)):
+                    yield held.rows_out()
+                    held = _Held(most)
         if held.parts:
-            held.merge()
             yield held.rows_out()
 
-    return docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(run, STRIPE)
-
+    return docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
-def _marks(stripes: DataFrame) -> np.ndarray:
-    """The bitmap of the phrases that these stripes' counters stand for: 2 ** MARK_BITS bits, whatever their number."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = split(batch.column("phrase"), _INSIDE)
-            owner = words.owner()
-            made = _phrase_hashes(words, _language(batch.column("lang")), owner[1:] == owner[:-1], LONGEST)
-            sizes = words.counts
-            hashes = np.stack([hashes for hashes, _ in made])[sizes - 1, words.of[:-1]] if len(sizes) else np.zeros(0, dtype=np.uint64)
-            place = hashes >> np.uint64(64 - MARK_BITS)
-            bits = np.uint64(1) << (place & np.uint64(63))
-            yield pa.RecordBatch.from_arrays([pa.array((place >> np.uint64(6)).astype(np.int64)), pa.array(bits.view(np.int64))], names=["place", "bits"])
-
-    phrases = stripes.filter("next is not null").select("lang", _phrase().alias("phrase"))
-    found = phrases.mapInArrow(run, "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
-    marks = np.zeros(1 << (MARK_BITS - 6), dtype=np.uint64)
-    marks[found["place"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return marks
+def _frequent(docs: DataFrame, size: int, before: object, least: int) -> np.ndarray:
+    """Marks of the phrases of ``size`` words that occur ``least`` times, among those that the marks ``before`` allow."""
+    counts = _per_task(docs, size, TASK_COUNTS, lambda block: block.counts(size, None if before is None else before.value), "hash long, n long")
+    # dealt out before they are added up: tasks have added up their own already
+    whole = counts.repartition("hash").groupBy("hash").agg(F.sum("n").alias("n"))
+    return collect_marks(whole.filter(F.col("n") >= least).select("hash"))
 
 
 def _phrase() -> Column:
@@ -212,46 +211,38 @@ def _phrase() -> Column:
 
 
 def stripes(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
-    """(lang, prefix, next, n, size): merged stripes of prefixes of up to ``longest`` - 1 words that occur ``least`` times.
+    """(lang, prefix, next, size, n): merged stripes of prefixes of up to ``longest`` - 1 words, counters of at least ``least``. Written.
 
-    ``size`` is the number of words of prefix and next. Next words below ``least`` are under null. A prefix of
-    fewer occurrences may be there too.
+    ``size`` is the number of words of prefix and next. Words below ``least`` are one counter, under null, of the empty prefix.
     """
-    spark = docs.sparkSession
-    levels, marks = [], None
+    context = docs.sparkSession.sparkContext
+    marks = []
     for size in range(1, longest + 1):
-        merged = _task_stripes(docs, size, marks).groupBy("lang", "prefix", "next").agg(F.sum("n").alias("n"))
-        pooled = merged.withColumn("next", F.when(F.col("n") >= least, F.col("next")))
-        level = materialise(pooled.groupBy("lang", "prefix", "next").agg(F.sum("n").alias("n")).withColumn("size", F.lit(size)), f"stripes_{size}")
-        levels.append(level)
-        if marks is not None:
-            marks.unpersist()
-        if size < longest:
-            marks = spark.sparkContext.broadcast(_marks(level))  # of fixed size
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.union(level)
-    return out
+        marks.append(context.broadcast(_frequent(docs, size, marks[-1] if marks else None, least)))  # of fixed size
+    entries = _per_task(docs, longest, TASK_ROWS, lambda block: block.stripes(longest, [m.value for m in marks]), STRIPE)
+    key = ["lang", "prefix", "next", "size"]
+    merged = entries.groupBy(*key).agg(F.sum("n").alias("n"))
+    words = merged.filter("size = 1").withColumn("next", F.when(F.col("n") >= least, F.col("next"))).groupBy(*key).agg(F.sum("n").alias("n"))
+    return materialise(merged.filter((F.col("size") > 1) & (F.col("n") >= least)).unionByName(words), "stripes")
 
 
 def scored(table: DataFrame, covered_percent: int = COVERED_PERCENT) -> DataFrame:
     """lang, phrase, a, l, r, score of the candidates that no longer phrase covers, from merged stripes."""
-    entries = table.filter("next is not null and size > 1").select("lang", "size", _phrase().alias("phrase"), "prefix", F.col("n").alias("a"))
-    # own stripes: what a phrase totals, and its most frequent extension to the right
-    own = table.filter("size > 1").groupBy("lang", F.col("prefix").alias("phrase"))
-    own = materialise(own.agg(F.sum("n").alias("total"), F.max(F.when(F.col("next").isNotNull(), F.col("n"))).alias("right")), "prefix_totals")
+    counted = table.filter("next is not null").select("lang", "size", _phrase().alias("phrase"), "prefix", F.col("n").alias("a"))
+    entries = counted.filter("size > 1")
+    totals = materialise(counted.select("lang", "phrase", F.col("a").alias("total")), "prefix_totals")
+    # the most frequent extension of a phrase to the right, in its own stripe, and to the left
+    own = entries.filter("size > 2").groupBy("lang", F.col("prefix").alias("phrase")).agg(F.max("a").alias("right"))
     to_left = entries.filter("size > 2").groupBy("lang", F.expr("substring(phrase, locate(' ', phrase) + 1)").alias("phrase")).agg(F.max("a").alias("left"))
-    longer = own.select("lang", "phrase", "right").join(to_left, ["lang", "phrase"], "left")
-    longer = materialise(longer.select("lang", "phrase", F.greatest("right", "left").alias("longer")).filter("longer is not null"), "longer_phrases")
+    longer = materialise(own.join(to_left, ["lang", "phrase"], "full").select("lang", "phrase", F.greatest("right", "left").alias("longer")), "longer_phrases")
     wide = "decimal(38, 0)"
-    kept = join_small(entries, longer, ["lang", "phrase"], "left", row_bytes=128)
+    kept = entries.join(longer, ["lang", "phrase"], "left")
     kept = kept.filter(f"longer is null or 100 * cast(longer as {wide}) < {covered_percent} * cast(a as {wide})")
     cuts = kept.select("lang", "phrase", "a", F.explode(F.expr("sequence(1, size - 1)")).alias("k"))
     cuts = cuts.withColumn("first", F.expr("substring_index(phrase, ' ', k)")).withColumn("rest", F.expr("substring(phrase, length(first) + 2)"))
-    totals = own.select("lang", "phrase", "total")
     for part, name in (("first", "l"), ("rest", "r")):
         renamed = totals.select("lang", F.col("phrase").alias(part), F.col("total").alias(name))
-        cuts = join_small(cuts, renamed, ["lang", part], row_bytes=128)
+        cuts = cuts.join(renamed, ["lang", part])
     cuts = cuts.withColumn("score", F.expr(f"cast(({SCALE} * cast(a as {wide})) div (cast(l as decimal(20, 0)) + r) as long)"))
     best = cuts.groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "a", "l", "r")).alias("b"))
     return best.select("lang", "phrase", "b.a", "b.l", "b.r", "b.score")
