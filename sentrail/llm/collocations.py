@@ -221,7 +221,7 @@ def stripes(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> Data
         marks.append(context.broadcast(_frequent(docs, size, marks[-1] if marks else None, least)))  # of fixed size
     entries = _per_task(docs, longest, TASK_ROWS, lambda block: block.stripes(longest, [m.value for m in marks]), STRIPE)
     key = ["lang", "prefix", "next", "size"]
-    merged = entries.groupBy(*key).agg(F.sum("n").alias("n"))
+    merged = materialise(entries.groupBy(*key).agg(F.sum("n").alias("n")), "merged_stripes")  # read twice below
     words = merged.filter("size = 1").withColumn("next", F.when(F.col("n") >= least, F.col("next"))).groupBy(*key).agg(F.sum("n").alias("n"))
     return materialise(merged.filter((F.col("size") > 1) & (F.col("n") >= least)).unionByName(words), "stripes")
 
