@@ -8,9 +8,10 @@ of ids in all documents before: it adds up one total per file and moves no row.
 (...)``) reaches the file reader as a filter.
 
 A text is cut at blanks, where this kind of tokenizer never joins, and equal words of a task are encoded once,
-by the same library and with the same ids as the whole text. A tokenizer that keeps white space needs
-``cut_at_blanks=False``. Null counts as empty and has the end id alone. Repeated ids are written each, in an order
-given by their ids' checksum; a null doc_id comes first. Extra columns are ignored.
+by the same library and with the same ids as the whole text; texts that hold an added token's text go through it
+whole. A tokenizer that keeps white space needs ``cut_at_blanks=False``. Null counts as empty and has the end id alone.
+Repeated ids are written each, in the order of their texts' checksums, and an id may fill many files; a null doc_id comes
+first; an empty table gives no rows. Extra columns are ignored. One text is held whole in one task.
 """
 
 from __future__ import annotations
@@ -23,19 +24,21 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from sentrail.llm.words import blocks
+from sentrail.llm.words import blocks, split
 from sentrail.operators.grouped import join_small
 from sentrail.session import materialise
 
 END = 2
-#: encoded words that a task keeps before it starts anew
-CACHE = 600_000
+#: bytes of encoded words that a task keeps before it starts anew, each word taken as its own bytes and WORD_BYTES
+CACHE = 128 << 20
+WORD_BYTES = 200
 #: bytes of text encoded together
 BLOCK = 1 << 20
 #: documents to a file, about
@@ -43,58 +46,49 @@ FILE_ROWS = 10_000
 ROW = "doc_id long, place long, n_tokens long, ids array<int>"
 
 
+#: what is not a blank, tab or line feed
+_WORD = np.array([byte not in b" \t\n" for byte in range(256)])
 _LAST_LATIN = "\u024f"  # letters up to here have one form and no marks
-_PROBES = ("a", "Word", "word,", "Été.", "ñandú", "groß", "straße,", "łódź")
+_PROBES = ("a", "Word", "Été", "ñandú", "groß", "straße", "łódź")
 _BYTES = ByteLevel(add_prefix_space=False, use_regex=False)
 _MAPPED = {point: _BYTES.pre_tokenize_str(chr(point))[0][0] for point in range(0x80, ord(_LAST_LATIN) + 1)}
 
 
-class _Numbers(dict):
-    """Numbers words as they are first asked for, and notes the new ones."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        self.new.append(word)
-        return number
-
-
 class WordEncoder:
     """Encodes texts by their words; each distinct word is encoded once while it is kept.
 
-    A word of Latin letters, with or without a full stop or comma after it, goes straight to the tokenizer's model
-    in lower case; all other words go through the whole tokenizer. Whether that shortcut holds for a tokenizer
-    is tried on ``_PROBES`` first.
+    Words are what lies between blanks, tabs and line feeds, with A-Z in lower case and a full stop or comma after a last
+    letter a-z on its own. A word of Latin letters goes straight to the tokenizer's model in lower case; all other
+    words go through the whole tokenizer. Whether these shortcuts hold for a tokenizer is tried on ``_PROBES``
+    first; else words are taken as they are. Texts that hold an added token's text, in any case, are encoded whole.
     """
 
     def __init__(self, tokenizer: Tokenizer, most: int = CACHE):
         self.tokenizer, self.model, self.most = tokenizer, tokenizer.model, most
-        self.stops = {stop: self._whole([stop])[0] for stop in ".,"}
-        self.direct = all(self._simple(word) == self._whole([word])[0] for word in _PROBES)
+        self.added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+        self.direct = all(self._simple(word) == self._whole([word])[0] for word in _PROBES) and all(
+            self._whole([word + stop])[0] == self._whole([word.lower()])[0] + self._whole([stop])[0] for word in _PROBES for stop in ".,"
+        )
         self._reset()
 
     def _reset(self) -> None:
-        self.number = _Numbers()
+        self.number: dict[bytes, int] = {}
+        self.kept = 0
         self.ids, self.bounds = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
-    def _whole(self, words: list[str]) -> list[list[int]]:
-        return [item.ids for item in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [item.ids for item in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _simple(self, word: str) -> list[int] | None:
         """Ids of a word of Latin letters, else None."""
-        stop = self.stops.get(word[-1:])
-        stem = (word if stop is None else word[:-1]).lower()
-        if not stem.isalpha():
+        if not word.isalpha():
             return None
-        if not stem.isascii():
-            if max(stem) > _LAST_LATIN:
+        word = word.lower()
+        if not word.isascii():
+            if max(word) > _LAST_LATIN:
                 return None
-            stem = stem.translate(_MAPPED)
-        ids = [token.id for token in self.model.tokenize(stem)]
-        return ids if stop is None else ids + stop
+            word = word.translate(_MAPPED)
+        return [token.id for token in self.model.tokenize(word)]
 
     def _learn(self, words: list[str]) -> None:
         found = list(map(self._simple, words)) if self.direct else [None] * len(words)
@@ -106,30 +100,52 @@ class WordEncoder:
         self.ids = np.concatenate([self.ids, flat])
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
 
-    def _words(self, text: str) -> list[str]:
-        if self.direct:
-            try:
-                text.encode("latin-1")  # whose letters have one lower case each
-            except UnicodeEncodeError:
-                pass
-            else:
-                text = text.lower()
-        return text.replace("\n", " ").replace("\t", " ").split(" ")
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, and how many each has."""
-        if len(self.number) > self.most:
+    def _places(self, distinct: list[bytes]) -> np.ndarray:
+        """The number of each word, new ones learnt."""
+        if self.kept > self.most:
             self._reset()
-        words = [self._words(text) for text in texts]
-        places = np.fromiter(map(self.number.__getitem__, chain.from_iterable(words)), dtype=np.int64)
-        if self.number.new:
-            self._learn(self.number.new)
-            self.number.new = []
+        new = [word for word in distinct if word not in self.number]
+        if new:
+            self._learn([word.decode() for word in new])
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+            self.kept += sum(map(len, new)) + WORD_BYTES * len(new)
+        return np.fromiter(map(self.number.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        words = split(texts, _WORD, lower=self.direct)
+        # all words end to end: a binary array whose values Arrow tells apart without making them objects
+        lengths = words.ends - words.starts
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        inside = words.data[_WORD[words.data]]
+        of = words.of
+        if self.direct and len(lengths):
+            last, before = words.data[words.ends - 1], words.data[np.maximum(words.ends - 2, 0)]
+            stopped = (lengths > 1) & ((last == 0x2E) | (last == 0x2C)) & (before >= 0x61) & (before <= 0x7A)
+            ends = np.sort(np.concatenate([ends, ends[1:][stopped] - 1]))
+            of = of + np.concatenate([[0], np.cumsum(stopped)])[of]
+        column = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(inside)])
+        coded = column.dictionary_encode()
+        places = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         sizes = self.bounds[places + 1] - self.bounds[places]
         last = np.cumsum(sizes)
         take = np.arange(int(last[-1]) if len(last) else 0) + np.repeat(self.bounds[places] - (last - sizes), sizes)
-        total = np.concatenate([[0], last])[np.concatenate([[0], np.cumsum([len(part) for part in words])]).astype(np.int64)]
-        return self.ids[take], np.diff(total)
+        return self.ids[take], np.diff(np.concatenate([[0], last])[of])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and how many each has. Null counts as empty."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        whole = np.zeros(len(texts), dtype=bool)
+        for content in self.added:
+            whole |= pc.match_substring(texts, content, ignore_case=True).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self._by_words(texts)
+        ids, counts = self._by_words(pc.if_else(pa.array(whole), "", texts))
+        rows = np.flatnonzero(whole)
+        found = self._whole(texts.take(pa.array(rows)).to_pylist())
+        before = np.concatenate([[0], np.cumsum(counts)])
+        counts[rows] = list(map(len, found))
+        at = np.repeat(before[rows], counts[rows])
+        return np.insert(ids, at, np.fromiter(chain.from_iterable(found), dtype=np.int32, count=len(at))), counts
 
 
 @lru_cache(maxsize=1)
@@ -145,11 +161,10 @@ def _encoded(docs: DataFrame, path: str, end: int, cut_at_blanks: bool) -> DataF
         before = 0
         for batch in batches:
             for block in blocks(batch, "text", BLOCK):
-                texts = block.column("text").fill_null("").to_pylist()
                 if cut_at_blanks:
-                    ids, counts = encoder.encode(texts)
+                    ids, counts = encoder.encode(block.column("text"))
                 else:
-                    found = [item.ids for item in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+                    found = encoder._whole(block.column("text").fill_null("").to_pylist())
                     ids, counts = np.array([i for part in found for i in part], dtype=np.int32), np.array([len(part) for part in found])
                 ids = np.insert(ids, np.cumsum(counts), end)
                 ends = np.concatenate([[0], np.cumsum(counts + 1)])
@@ -161,20 +176,23 @@ def _encoded(docs: DataFrame, path: str, end: int, cut_at_blanks: bool) -> DataF
     return docs.select("doc_id", "text").mapInArrow(run, ROW)
 
 
-def write_tokens(docs: DataFrame, folder: str, path: str, end: int = END, cut_at_blanks: bool = True) -> None:
-    """Write the token files. Texts are dealt by ranges of doc_id, then encoded and written where they are."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+def write_tokens(docs: DataFrame, folder: str, path: str, end: int = END, cut_at_blanks: bool = True, **orc: str) -> None:
+    """Write the token files. Texts are dealt by ranges of doc_id, then encoded and written where they are. ``orc`` adds writer settings."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     files = max(1, -(-docs.count() // FILE_ROWS))
-    dealt = docs.repartitionByRange(files, F.col("doc_id")).sortWithinPartitions("doc_id", F.crc32(F.col("text").cast("binary")))
-    writer = _encoded(dealt, path, end, cut_at_blanks).write.option("orc.compress", "ZSTD").option("orc.create.index", "true")
-    writer.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").option("orc.row.index.stride", "10000").orc(folder)
+    # repeated ids are told apart by their texts, and rows that are equal in both by where they were read
+    order = ["doc_id", F.crc32(F.col("text").cast("binary")), F.monotonically_increasing_id()]
+    dealt = docs.repartitionByRange(files, *order).sortWithinPartitions(*order[:2])
+    settings = {"orc.compress": "ZSTD", "orc.create.index": "true", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.row.index.stride": "10000"}
+    _encoded(dealt, path, end, cut_at_blanks).write.options(**settings | orc).orc(folder)
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids of every document. Placing the files reads (doc_id, place, n_tokens) only."""
-    rows = spark.read.schema(ROW).orc(folder).withColumn("_file", F.col("_metadata.file_name"))
-    sizes = rows.groupBy("_file").agg(F.min("doc_id").alias("first"), F.sum("n_tokens").alias("total"))
-    in_order = Window.orderBy(F.col("first").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    """doc_id, start, n_tokens, ids of every document. Placing the files reads their names and n_tokens only."""
+    # files are numbered in the order of their ranges
+    rows = spark.read.schema(ROW).orc(folder).withColumn("_file", F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("int"))
+    sizes = rows.groupBy("_file").agg(F.sum("n_tokens").alias("total"))
+    in_order = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     files = materialise(sizes.select("_file", F.coalesce(F.sum("total").over(in_order), F.lit(0)).alias("_before")), "token_files")  # one row a file
     placed = join_small(rows, files, ["_file"], row_bytes=128)
     return placed.select("doc_id", (F.col("_before") + F.col("place")).alias("start"), "n_tokens", "ids")
