@@ -35,9 +35,7 @@ HEADLINE = [
     "ocsvm_profile_pas",
     "daily_train_and_score",
     "classifier_cv_accuracy",
-    "model_store_every_day",
     "event_stream_batches",
-    "iforest_event_eas",
 ]
 
 
