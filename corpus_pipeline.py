@@ -16,20 +16,28 @@ TOXIC_FROM = 0.7
 
 
 def _carried(docs: DataFrame, *names: str) -> DataFrame:
-    """The columns a stage works on, and each row as it is in ``_doc``: no column of a user meets one of the stage's own."""
-    return docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc"), *names)
+    """The columns a stage works on, and the others in ``_doc``: no column of a user meets one of the stage's own, and a
+    row's text goes through the stage once."""
+    others = [F.col(f"`{name}`") for name in docs.columns if name.lower() not in names]
+    return docs.select(*([F.struct(*others).alias("_doc")] if others else []), *names)
+
+
+def _restored(kept: DataFrame, docs: DataFrame, *names: str) -> DataFrame:
+    """The columns of ``docs``, in their order, of what is left of ``_carried`` rows."""
+    return kept.select(*[F.col(name.lower()).alias(name) if name.lower() in names else F.col(f"_doc.`{name}`") for name in docs.columns])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents whose toxicity score reaches ``TOXIC_FROM``; the model learns from labels of documents still here."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     tagged = toxicity.tag(_carried(docs, "text"), toxicity.fit(docs, labels))
-    return tagged.filter(f"score < {TOXIC_FROM}").select("_doc.*")
+    return _restored(tagged.filter(f"score < {TOXIC_FROM}"), docs, "text")
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that fail the base rules or lie beyond their group's fences."""
-    return quality_rules.adaptive_filter(_carried(docs, "text", "lang", "source")).filter("kept").select("_doc.*")
+    worked_on = ("text", "lang", "source")
+    return _restored(quality_rules.adaptive_filter(_carried(docs, *worked_on)).filter("kept"), docs, *worked_on)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -135,9 +135,13 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
     return batch.column("text").fill_null("").to_pylist()
 
 
+#: bytes of text whose words are Python objects at a time, at about 50 bytes a byte
+PART = 1 << 18
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield from blocks(batch, "text")
+        yield from blocks(batch, "text", PART)
 
 
 def _toxic_words(train: DataFrame, contexts: int) -> dict[str, int]:

@@ -81,6 +81,17 @@ def test_pipeline_keeps_the_columns_of_its_input(spark, sf):
         assert 0 < kept.join(docs, docs.columns).count() == kept.count() <= docs.count(), name
 
 
+def test_pipeline_stages_carry_a_text_once(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumnRenamed("text", "Text")
+    carried = corpus_pipeline._carried(docs, "text", "lang", "source")
+    assert carried.columns == ["_doc", "text", "lang", "source"]
+    assert not {"Text", "text", "lang", "source"} & set(carried.schema["_doc"].dataType.names)
+    back = corpus_pipeline._restored(carried, docs, "text", "lang", "source")
+    assert back.schema.names == docs.columns and back.exceptAll(docs).count() == 0 == docs.exceptAll(back).count()
+    alone = docs.select("Text")
+    assert corpus_pipeline._restored(corpus_pipeline._carried(alone, "text"), alone, "text").columns == ["Text"]
+
+
 def test_pipeline_keeps_what_its_stages_keep(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     last = {row[0] for row in corpus_pipeline.run(spark, sf).select("doc_id").collect()}
