@@ -39,6 +39,8 @@ WORKING = 2_048
 TOLERANCE = 1e-4
 #: changed points that meet a task's points at a time
 CHUNK = 16_384
+#: numbers of a kernel matrix that a task holds at a time
+CELLS = 1 << 20
 #: weights closer to a bound than this share of it are at the bound
 SLACK = 1e-9
 
@@ -83,12 +85,25 @@ class OneClassModel:
 def kernel(za: np.ndarray, ca: np.ndarray, zb: np.ndarray, cb: np.ndarray, gamma: float) -> np.ndarray:
     """RBF kernel over scaled numbers and one-hot categories, without building one-hot columns:
     two different known categories are 2 apart, a known and an unknown one (0) 1."""
-    squared = (za**2).sum(1)[:, None] + (zb**2).sum(1)[None] - 2.0 * za @ zb.T
+    squared = (za**2).sum(1)[:, None] + (zb**2).sum(1)[None]
+    squared -= 2.0 * za @ zb.T
     for i in range(ca.shape[1]):
         known_a, known_b = ca[:, i] != 0, cb[:, i] != 0
         same = (ca[:, i][:, None] == cb[:, i][None]) & known_a[:, None]
         squared += np.where(same, 0, known_a[:, None].astype(int) + known_b[None].astype(int))
-    return np.exp(-gamma * np.maximum(squared, 0.0))
+    np.maximum(squared, 0.0, out=squared)
+    squared *= -gamma
+    return np.exp(squared, out=squared)
+
+
+def similarity(za: np.ndarray, ca: np.ndarray, zb: np.ndarray, cb: np.ndarray, weight: np.ndarray, gamma: float) -> np.ndarray:
+    """Kernel of every row of ``a`` with all of ``b``, by ``weight``. At most about ``CELLS`` numbers are held at a time."""
+    out = np.zeros(len(za))
+    step = max(1, CELLS // max(1, len(zb)))
+    for low in range(0, len(za), step):
+        some = slice(low, low + step)
+        out[some] = kernel(za[some], ca[some], zb, cb, gamma) @ weight
+    return out
 
 
 def settle(k: np.ndarray, w: np.ndarray, a: np.ndarray, g: np.ndarray, tol: float) -> None:
@@ -191,9 +206,7 @@ def _moved(state: DataFrame, changes: DataFrame, gamma: float, shape: tuple[int,
         z, c = features(rows, *shape)
         ids, weight, gradient = rows["_id"].to_numpy(), rows["_a"].to_numpy().copy(), rows["_grad"].to_numpy().copy()
         mz, mc, d = *features(moves, *shape), moves["_d"].to_numpy()
-        for low in range(0, len(z), 1_024):
-            part = slice(low, low + 1_024)
-            gradient[part] += kernel(z[part], c[part], mz, mc, gamma) @ d
+        gradient += similarity(z, c, mz, mc, d, gamma)
         if not start:
             order = np.argsort(moves["_id"].to_numpy())
             sorted_ids = moves["_id"].to_numpy()[order]
@@ -283,7 +296,7 @@ def _chosen(state: DataFrame, left: DataFrame, working: int, tolerance: float, g
     return partial.groupBy("_g").applyInArrow(solve, _CHANGE)
 
 
-def evaluate(rows: pa.Table, model: pa.Table, gamma: float, width: int, cats: int, suffix: str = "", block: int = 1_024) -> np.ndarray:
+def evaluate(rows: pa.Table, model: pa.Table, gamma: float, width: int, cats: int, suffix: str = "") -> np.ndarray:
     """Raw scores of rows against their group's model; equal rows are evaluated once."""
     z, c = features(rows, width, cats, suffix)
     first, back = distinct_rows(z, c)
@@ -293,7 +306,5 @@ def evaluate(rows: pa.Table, model: pa.Table, gamma: float, width: int, cats: in
         alpha = np.array(model["alpha"][part].values, float)
         sz = np.array(model["points"][part].values, float).reshape(len(alpha), width)
         sc = np.array(model["cats"][part].values, np.int64).reshape(len(alpha), cats)
-        for low in range(0, len(z), block):
-            some = slice(low, low + block)
-            score[some] -= kernel(z[some], c[some], sz, sc, gamma) @ alpha
+        score -= similarity(z, c, sz, sc, alpha, gamma)
     return score[back]

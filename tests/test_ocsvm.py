@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -32,6 +34,18 @@ def in_one_task(z, w, nu=0.5, gamma=0.1, tol=1e-8):
     return a, g, rho
 
 
+def test_memory_of_the_kernel_does_not_grow_with_the_model():
+    random = np.random.default_rng(2)
+    a, b, weight = random.random((1_024, 9)), random.random((16_384, 9)), random.random(16_384)
+    none = [np.zeros((len(x), 0), np.int64) for x in (a, b)]
+    tracemalloc.start()
+    found = ocsvm.similarity(a, none[0], b, none[1], weight, 0.1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20  # one matrix of all pairs takes 128 MB
+    assert found[:9] == pytest.approx(kernel(a[:9], none[0][:9], b, none[1], 0.1) @ weight)
+
+
 @pytest.mark.parametrize("n", [2, 40, 300])
 def test_solution_meets_the_optimality_conditions(n):
     rng = np.random.default_rng(n)
