@@ -40,6 +40,8 @@ TREE_BINS = 32
 CELLS = 1 << 20
 #: trees of a forest in one task
 TREES_PER_TASK = 25
+#: rows that a task of the linear models takes in
+TASK_ROWS = 20_000
 #: the hinge is rounded off over this width, narrower each time the models have settled; at first no margin near 0 is beyond it
 ROUNDING = (2.0, 0.5, 0.1, 0.02)
 NEWTON_STEPS = 100
@@ -98,7 +100,15 @@ def losses(name: str, margin: np.ndarray, width: float) -> tuple[np.ndarray, np.
     return loss, np.where(bent, -short / (2 * width), np.where(short > 0, -1.0, 0.0)), bent / (2 * width)
 
 
-def _sums(data: DataFrame, models: list[Linear], balance: tuple[float, float], width: float) -> list[list[np.ndarray]]:
+def _counted(data: DataFrame, rows: int) -> DataFrame:
+    """Rows of equal features, label and fold once for each feature set, with their number ``n``: written, in as many parts as the work needs."""
+    sets = [F.struct(F.lit(k).alias("features"), F.col(name).alias("x")) for k, name in enumerate(FEATURE_SETS)]
+    key = ["features", "label", "fold", "x"]
+    counted = data.select("label", "fold", F.inline(F.array(*sets))).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    return materialise(counted.repartition(1 + rows // TASK_ROWS, *key), "study-points")
+
+
+def _sums(points: DataFrame, models: list[Linear], balance: tuple[float, float], width: float) -> list[list[np.ndarray]]:
     """For every trial of every model: weight, loss, gradient and curvature, summed over its training rows."""
     size = len(models[0].weights)
     parts = [(m.name, m.features, m.held, trial) for m in models for trial in m.trials]
@@ -106,23 +116,24 @@ def _sums(data: DataFrame, models: list[Linear], balance: tuple[float, float], w
     def run(batches):
         total = np.zeros((len(parts), 2 + size + size * size))
         for batch in batches:
-            label, fold = batch.column("label").to_numpy(), batch.column("fold").to_numpy()
-            sign = 2 * label - 1
-            weight = np.where(label > 0, balance[1], balance[0])
-            x = []
-            for name in FEATURE_SETS:
-                flat = np.array(batch.column(name).flatten(), float).reshape(len(label), size - 1)
-                x.append(np.column_stack([flat, np.ones(len(label))]))
-            for k, (name, features, held, trial) in enumerate(parts):
-                w = np.where(fold == held, 0.0, weight if name in BALANCED else 1.0)
-                loss, slope, curve = losses(name, sign * (x[features] @ trial), width)
-                total[k, 0] += w.sum()
-                total[k, 1] += w @ loss
-                total[k, 2 : 2 + size] += x[features].T @ (w * slope * sign)
-                total[k, 2 + size :] += ((x[features].T * (w * curve)) @ x[features]).ravel()
+            of, labels, folds, counts = (batch.column(name).to_numpy() for name in ("features", "label", "fold", "n"))
+            flat = np.array(batch.column("x").flatten(), float).reshape(len(of), size - 1)
+            for features_ in np.unique(of).tolist():
+                mine = of == features_
+                x, sign, fold, count = np.column_stack([flat[mine], np.ones(mine.sum())]), 2 * labels[mine] - 1, folds[mine], counts[mine].astype(float)
+                weight = np.where(sign > 0, balance[1], balance[0]) * count
+                for k, (name, features, held, trial) in enumerate(parts):
+                    if features != features_:
+                        continue
+                    w = np.where(fold == held, 0.0, weight if name in BALANCED else count)
+                    loss, slope, curve = losses(name, sign * (x @ trial), width)
+                    total[k, 0] += w.sum()
+                    total[k, 1] += w @ loss
+                    total[k, 2 : 2 + size] += x.T @ (w * slope * sign)
+                    total[k, 2 + size :] += ((x.T * (w * curve)) @ x).ravel()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts))), _rows(total)], names=["model", "sums"])
 
-    made = data.select("label", "fold", *FEATURE_SETS).mapInArrow(run, "model long, sums array<double>")
+    made = points.mapInArrow(run, "model long, sums array<double>")
     added = made.select("model", F.posexplode("sums").alias("place", "x")).groupBy("model", "place").agg(F.sum("x").alias("x")).toArrow()
     out = np.zeros((len(parts), 2 + size + size * size))  # a bounded table: trials by squared features
     out[added["model"].to_numpy(), added["place"].to_numpy()] = added["x"].to_numpy()
@@ -150,6 +161,7 @@ def fit_linear(data: DataFrame, width: int, rows: int, balance: tuple[float, flo
     penalty = lambda name: 1e-4 if name == "sgd_classifier" else 1.0 / rows
     models = [Linear(name, k, held, penalty(name), np.zeros(width + 1)) for name in names for k in range(len(FEATURE_SETS)) for held in range(folds)]
     free = np.append(np.ones(width), 0.0)
+    points = _counted(data, rows)
     for rounding in ROUNDING:
         live = [m for m in models if rounding == ROUNDING[0] or m.name in HINGED]
         for m in live:
@@ -158,7 +170,7 @@ def fit_linear(data: DataFrame, width: int, rows: int, balance: tuple[float, flo
             open_ = [m for m in live if not m.done]
             if not open_:
                 break
-            for m, tried in zip(open_, _sums(data, open_, balance, rounding), strict=True):
+            for m, tried in zip(open_, _sums(points, open_, balance, rounding), strict=True):
                 loss = [sums[1] / max(sums[0], 1e-300) + m.penalty / 2 * float((free * w**2).sum()) for sums, w in zip(tried, m.trials, strict=True)]
                 best = int(np.argmin(loss))
                 m.done = not loss[best] < m.loss - TOLERANCE * max(abs(loss[best]), 1e-12)
@@ -320,7 +332,10 @@ def cross_validated_accuracy(
     Labels other than 0 and 1 are an error; rows without a label are left out; a fold without rows counts nowhere.
     """
     spark = df.sparkSession
-    labelled = df.where(F.col(label).isNotNull()).withColumn("label", F.col(label).cast("double"))
+    # written first: bins and scaling read it many times, and what ``df`` is made of may be far larger
+    columns = [F.col(c) for c in dict.fromkeys([*key_cols, *num_cols])]
+    named = F.col(label).cast("double").alias("_label")
+    labelled = materialise(df.where(F.col(label).isNotNull()).select(*columns, named), "study-rows").withColumn("label", F.col("_label"))
     others = labelled.where(~F.col("label").isin(0.0, 1.0)).limit(1).collect()
     if others:
         raise ValueError(f"labels are 0 or 1, not {others[0]['label']}")

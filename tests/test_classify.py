@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sentrail.operators import classify
 
@@ -26,6 +27,24 @@ def test_linear_models_reach_the_optimum(spark):
             assert all(objective(m.weights + size * random.standard_normal(3)) >= best - 1e-5 for _ in range(50)), m.name
 
 
+def test_the_study_reads_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def value(x):
+        seen.add(1)
+        return x
+
+    classify.cross_validated_accuracy(study(spark, 100).withColumn("a", value("a")), ["a", "b"], "label", ["id"], trees=2)
+    assert seen.value == 100
+
+
+def test_equal_rows_are_counted(spark):
+    rows = spark.createDataFrame([(1.0, 0, [0.0], [0.5]), (1.0, 0, [0.0], [0.7]), (0.0, 0, [0.0], [0.5])], f"label double, fold int, {classify.FEATURE_SETS[0]} array<double>, {classify.FEATURE_SETS[1]} array<double>")
+    points = classify._counted(rows, classify.TASK_ROWS * 3)
+    assert sorted((r.features, r.label, r.x, r.n) for r in points.collect()) == [(0, 0.0, [0.0], 1), (0, 1.0, [0.0], 2), (1, 0.0, [0.5], 1), (1, 1.0, [0.5], 1), (1, 1.0, [0.7], 1)]
+
+
 def test_splits_are_the_best_ones():
     random = np.random.default_rng(3)
     bins = random.integers(0, 6, (200, 3))
