@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
@@ -15,7 +16,7 @@ from sentrail.functions import scores as S
 from sentrail.functions.moments import moment_sums, moments
 from sentrail.operators.features import feature_pipeline, standardise
 from sentrail.operators.grouped import fits_broadcast, join_small, ranked, salted_join
-from sentrail.session import materialise
+from sentrail.session import materialise, row_count, written_bytes
 
 # Cluster count, and the score of a constant training set.
 CLUSTERS = 4
@@ -94,14 +95,20 @@ def fit_distance_model(
     rows_per_partition: int = 200_000,
 ) -> DistanceModel:
     """Cluster all rows once. The layout follows from the row count alone, so a refit gives the
-    same model wherever it runs."""
-    columns = [*key_cols, *num_cols, *cat_cols]
-    training = materialise(df.select(*dict.fromkeys(columns)), "kmeans-input")
-    laid_out = fixed_layout(training, key_cols, 1 + training.count() // rows_per_partition)
+    same model wherever it runs. A written table is read as it is, any other is written first. Every stage of the fit
+    reads all rows: they are laid out once and stay on the executors' disks meanwhile, as files would lose the layout."""
+    columns = list(dict.fromkeys([*key_cols, *num_cols, *cat_cols]))
+    training = df if written_bytes(df) is not None else materialise(df.select(*columns), "kmeans-input")
+    rows = row_count(training)
+    laid_out = fixed_layout(training.select(*columns), key_cols, 1 + rows // rows_per_partition)
+    laid_out = laid_out.select(*dict.fromkeys([*num_cols, *cat_cols])).persist(StorageLevel.DISK_ONLY)
     features = feature_pipeline(num_cols, cat_cols, one_hot, handle_invalid)
     clusterer = KMeans(featuresCol="features", predictionCol="cluster_id", k=k, seed=seed)
     features.setStages([*features.getStages(), clusterer])
-    model = DistanceModel(features.fit(laid_out), 0.0, 0.0)
+    try:
+        model = DistanceModel(features.fit(laid_out), 0.0, 0.0)
+    finally:
+        laid_out.unpersist()
     ends = model.raw(training).agg(F.min("sed"), F.max("sed")).first()
     model.low, model.high = float(ends[0]), float(ends[1])
     return model

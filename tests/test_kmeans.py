@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sentrail.functions.rules import GROUP_COLS, PROFILE_COUNTERS
+from sentrail.operators import kmeans
 from sentrail.operators.kmeans import CentroidScorer, fit_distance_model, fit_grouped_distance
 from sentrail.session import materialise
 
@@ -60,6 +61,20 @@ def test_single_model_covers_the_scale_and_repeats(activity):
     assert tuple(ends) == (0.0, 100.0, activity.count())
 
 
+def test_single_model_lays_its_rows_out_once(spark, monkeypatch):
+    seen, lay_out = spark.sparkContext.accumulator(0), kmeans.fixed_layout
+
+    @F.udf("double")
+    def value(x):
+        seen.add(1)
+        return x
+
+    monkeypatch.setattr(kmeans, "fixed_layout", lambda *args: lay_out(*args).withColumn("x", value("x")))
+    rows = materialise(spark.createDataFrame([(i, float(i % 7), "ab"[i % 2]) for i in range(60)], "id long, x double, c string"), "rows")
+    fit_distance_model(rows, ["x"], ["c"], ["id"])
+    assert seen.value == 60
+
+
 def test_unseen_category_keeps_its_row_unless_skipped(spark):
     train = spark.createDataFrame([(i, float(i % 5), "ab"[i % 2]) for i in range(40)], "id long, x double, c string")
     unseen = spark.createDataFrame([(1, 1.0, "z"), (2, 1.0, None), (3, 1.0, "a")], "id long, x double, c string")
