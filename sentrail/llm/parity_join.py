@@ -18,7 +18,8 @@ are cut into bands; for each band, with n its upper end, a sketch has more than
    and keys whose classes share one component are done. This is repeated with other centres, and at
    last the remaining pairs of different components under a key are checked. A group of copies costs a few
    checks each, not one per pair.
-5. A check compares sizes and a short sketch of both sets (512 bits), then the shingle sets themselves.
+5. A check compares sizes and a short sketch of both sets (512 bits), then the shingle sets themselves: of the
+   classes in a round's pairs, and of no others, one text each is taken from the documents.
 
 The result is exact up to 64-bit hash collisions, and the same for any partitioning: nothing is capped. Null
 and empty texts have an empty set and link with nothing; a short text is one shingle; repeated rows share a
@@ -266,24 +267,30 @@ def _near(one: str, two: str, similarity: int) -> Column:
 _PAIR = ("least(one.class, two.class) as x", "greatest(one.class, two.class) as y")
 
 
-def _texts(docs: DataFrame, alive: DataFrame, shingle: int) -> DataFrame:
-    """One text of every class that may have partners."""
-    holders = materialise(alive.select("class", "class_id").distinct(), "holders")
+def _texts(docs: DataFrame, pairs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+    """One text of every class of ``pairs``. Only rows whose id stands for such a class leave their task."""
+    wanted = pairs.selectExpr("explode(array(x, y)) as class").distinct()
+    holders = materialise(classes.join(wanted, "class").select("class", "class_id"), "holders")
+    marks = docs.sparkSession.sparkContext.broadcast(collect_marks(holders.filter("class_id is not null").select(F.xxhash64("class_id").alias("hash"))))
     rows = docs.select(F.col("doc_id").cast("long").alias("class_id"), "text")
-    found = rows.join(holders, "class_id").select("class", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            for block in blocks(batch, "text"):
-                # where an id stands for different texts, only the one of that set counts
-                right = shingle_sets(block.column("text"), shingle).classes() == block.column("class").to_numpy()
-                yield block.filter(pa.array(right))
-
-    found = found.mapInArrow(run, found.schema)
+            hit = marked(marks.value, batch.column("hash").to_numpy().view(np.uint64))
+            for block in blocks(batch.select(["text"]).filter(pa.array(hit)), "text"):
+                # an id may stand for different texts, and repeat: the class tells which are wanted, once a task
+                named = shingle_sets(block.column("text"), shingle).classes()
+                new = pa.array([row for row, name in enumerate(named.tolist()) if name and not (name in seen or seen.add(name))], pa.int64())
+                yield pa.RecordBatch.from_arrays([block.column("text").take(new), pa.array(named).take(new)], names=["text", "class"])
+
+    named = rows.filter("class_id is not null").select("text", F.xxhash64("class_id").alias("hash"))
+    found = named.mapInArrow(run, "text string, class long").join(holders.select("class"), "class", "left_semi")
     # classes that no id stands for are found by their texts
     nameless = add_columns(rows.filter("class_id is null").select("text"), longs("class"), lambda block: [shingle_sets(block.column("text"), shingle).classes()])
-    found = found.unionByName(nameless.join(holders.filter("class_id is null").select("class"), "class"))
-    return materialise(found.dropDuplicates(["class"]), "texts")
+    nameless = nameless.join(holders.filter("class_id is null").select("class"), "class", "left_semi")
+    # each side has one exchange, by class, which its own join and the choice share
+    return materialise(found.dropDuplicates(["class"]).unionByName(nameless.dropDuplicates(["class"])).select("class", "text"), "texts")
 
 
 def _centred(alive: DataFrame, turn: int, similarity: int) -> DataFrame:
@@ -313,7 +320,6 @@ def _unsettled(alive: DataFrame, parts: DataFrame) -> DataFrame:
 def link_classes(docs: DataFrame, classes: DataFrame, shingle: int, similarity: int) -> DataFrame:
     """(node, component) of every class that links with another."""
     alive = materialise(_survivors(docs, shingle, similarity).join(classes, "class").withColumn("component", F.col("class")), "keys")
-    texts = _texts(docs, alive, shingle)
     tested = docs.sparkSession.createDataFrame([], "x long, y long")
     parts = docs.sparkSession.createDataFrame([], "node long, component long")
     # keys of few classes are done at once, those of many by centres first
@@ -324,6 +330,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, shingle: int, similarity:
         pairs = pairs.union(_all_pairs(few, similarity)).distinct() if turn == 0 else pairs
         pairs = materialise(pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
         if row_count(pairs):
+            texts = _texts(docs, pairs, classes, shingle)
             found = materialise(_jaccard(pairs, texts, shingle, similarity), "found")
             tested = tested.union(pairs)
             if row_count(found):

@@ -328,6 +328,25 @@ def test_near_duplicates_equal_brute_force(spark, sf):
     assert {r["doc_id"]: (r["component_id"], r["n_shingles"]) for r in found} == {i: (expected[i], len(sets[i])) for i in sets}
 
 
+def test_only_texts_of_pairs_are_moved(spark, monkeypatch):
+    """Classes that share keys but make no pair send no text, and repeated ids stand for all their texts."""
+    random = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(random.choice(words, 9)) + " the same four words " + " ".join(random.choice(words, 9)) for _ in range(400)]
+    base = " ".join(random.choice(words, 80))
+    rows = [(k % 350, text) for k, text in enumerate(texts)] + [(3, base + " left"), (3, base + " right"), (None, base + " up")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    written = []
+    materialise = parity_join.materialise
+    monkeypatch.setattr(parity_join, "materialise", lambda df, name: (written.append((name, made := materialise(df, name))), made)[1])
+    found = parity_join.near_duplicates(docs).collect()
+    moved = {name: [{row[0] for row in table.select(*columns).collect()} for n, table in written if n == name] for name, columns in (("texts", ["class"]), ("holders", ["class"]))}
+    pairs = [{name for row in table.collect() for name in row} for n, table in written if n == "pairs"]
+    alive = next({row["class"] for row in table.collect()} for n, table in written if n == "keys")
+    assert moved["texts"] == [classes for classes in pairs if classes] and len(set.union(*pairs)) < len(alive)
+    assert {row["component_id"] for row in found if row["doc_id"] is None} == {3}
+
+
 def test_keep_one_row_of_each_component(spark):
     a, near, other = "one two three four five six seven eight nine ten " * 3, "ONE two three four five six seven eight nine ten " * 3, "quite another text that nothing equals here"
     rows = [(1, a), (5, a), (5, "unique to five and to nobody else at all"), (7, near), (1, a), (None, a), (None, other), (None, other), (8, ""), (8, ""), (9, None), (None, ""), (6, other + " x y"), (6, "short")]
