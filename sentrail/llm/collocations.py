@@ -13,11 +13,13 @@ the merged stripes alone come
   holds, so a longer phrase that covers a candidate also shows in one of these two.
 
 Which counters matter is found first, a word at a time: a round counts the hashes of all phrases of its length whose
-first and last words the round before has left in, and marks those that occur ``least`` times in a bitmap of fixed size
-(``marks``), which goes to every task. Then one pass makes the stripes, counters under marked phrases only. Marks
-hit by chance cost rows and change nothing: phrases are counted again there, and compared as text; 64-bit
-hashes only join a task's equal phrases and pick marks. Tasks keep counters up to a number and send them as
-rows (prefix, next word, count), so that one prefix's stripe is merged, element by element, by as many tasks as there are.
+first and last words the round before has left in, and keeps those that occur ``least`` times, which are also marked in a
+bitmap of fixed size (``marks``) that goes to every task. With its count a task sends a number from 0 to ``GIVERS`` - 1, made
+of one of the texts that it met the phrase in; the least one sent is chosen to give the phrase's words. Then one pass
+gives (prefix, next word) of the phrases that are kept, out of texts of the chosen number alone, so that a phrase is sent
+by a task or few and not by all that hold it, and the counts are joined to them. Marks hit by chance cost rows, which find
+no count. One prefix's stripe is merged, element by element, by as many tasks as there are. Counts are exact up to
+collisions of 64-bit hashes.
 
 A null language counts as ``und``, a null text as empty; repeated rows count each; ties go by the smaller cut and by
 phrase in byte order; an empty table gives an empty result. Extra columns are ignored, whatever their names. One text is
@@ -27,6 +29,7 @@ held whole in one task, at about 100 bytes a byte.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +50,9 @@ SCALE = 2_000_000
 #: counters that a task holds before it sends them, of hashes and of stripes
 TASK_COUNTS = 2_000_000
 TASK_ROWS = 1_000_000
+#: numbers that texts have by what they say, one of which gives a phrase's words
+GIVER_BITS = 8
+GIVERS = 1 << GIVER_BITS
 #: slices of a language that are ranked on their own first
 SLICES = 64
 
@@ -57,7 +63,7 @@ _ENDS = np.array([byte in _PIECE_ENDS for byte in range(256)])
 _INSIDE = np.array([byte not in _PIECE_ENDS + _WORD_ENDS for byte in range(256)])
 _RADIX = np.uint64(0x9E3779B97F4A7C15)
 _NOTHING = np.uint64(0xD6E8FEB86659FD93)
-STRIPE = "lang string, prefix string, next string, size int, n long"
+NAMED = "hash long, lang string, prefix string, next string, size int, n long"
 
 
 def _language(column: pa.Array) -> np.ndarray:
@@ -93,28 +99,26 @@ class _Text:
         inside[self.last] = False
         self.bytes[inside] = words.data[np.repeat(words.starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))]
 
-    def cut(self, start: np.ndarray, size: int, present: np.ndarray) -> pa.Array:
-        """Strings of ``size`` words from each start; null where not ``present``."""
-        start = np.where(present, start, 0)
+    def cut(self, start: np.ndarray, size: int) -> pa.Array:
+        """Strings of ``size`` words from each start."""
         low = self.first[start]
-        lengths = np.where(present, self.last[np.minimum(start + size - 1, len(self.last) - 1)] - low, 0) if size else np.zeros(len(start), dtype=np.int64)
+        lengths = self.last[start + size - 1] - low if size else np.zeros(len(start), dtype=np.int64)
         ends = np.cumsum(lengths)
         taken = self.bytes[np.repeat(low - (ends - lengths), lengths) + np.arange(int(lengths.sum()))]
         offsets = np.concatenate([[0], ends]).astype(np.int32)
-        valid = None if present.all() else pa.py_buffer(np.packbits(present, bitorder="little"))
-        return pa.Array.from_buffers(pa.string(), len(start), [valid, pa.py_buffer(offsets), pa.py_buffer(taken)])
+        return pa.Array.from_buffers(pa.string(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(taken)])
 
 
 class _Held:
-    """The counters of a task by hash, with a row of names for each where they have any."""
+    """The counters of a task by hash, each with a row of what else is known of it."""
 
     def __init__(self, most: int) -> None:
-        self.parts: list[tuple[np.ndarray, np.ndarray, pa.RecordBatch | None]] = []
+        self.parts: list[tuple[np.ndarray, np.ndarray, pa.RecordBatch]] = []
         self.rows, self.most = 0, most
 
-    def add(self, hashes: np.ndarray, counts: np.ndarray, named: pa.RecordBatch | None = None) -> bool:
+    def add(self, hashes: np.ndarray, counts: np.ndarray, facts: pa.RecordBatch) -> bool:
         """Take counters in; whether there are now too many of them to go on."""
-        self.parts.append((hashes, counts, named))
+        self.parts.append((hashes, counts, facts))
         self.rows += len(hashes)
         if self.rows > self.most:
             self.merge()
@@ -123,18 +127,16 @@ class _Held:
     def merge(self) -> None:
         hashes, first, place = np.unique(np.concatenate([part[0] for part in self.parts]), return_index=True, return_inverse=True)
         counts = np.bincount(place, weights=np.concatenate([part[1] for part in self.parts]), minlength=len(hashes)).astype(np.int64)
-        named = None
-        if self.parts[0][2] is not None:
-            named = pa.Table.from_batches([part[2] for part in self.parts]).take(pa.array(first)).combine_chunks()
-            named = (named.to_batches() or [self.parts[0][2].slice(0, 0)])[0]
-        self.parts, self.rows = [(hashes, counts, named)], len(hashes)
+        facts = pa.Table.from_batches([part[2] for part in self.parts]).take(pa.array(first)).combine_chunks()
+        self.parts, self.rows = [(hashes, counts, (facts.to_batches() or [self.parts[0][2].slice(0, 0)])[0])], len(hashes)
 
     def rows_out(self) -> pa.RecordBatch:
         self.merge()
-        hashes, counts, named = self.parts[0]
-        if named is None:
-            return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["hash", "n"])
-        return pa.RecordBatch.from_arrays([*named.columns, pa.array(counts)], names=["lang", "prefix", "next", "size", "n"])
+        hashes, counts, facts = self.parts[0]
+        if facts.schema.names == ["giver"]:  # beside the count, which keeps a row at two numbers
+            packed = counts << GIVER_BITS | facts.column("giver").to_numpy()
+            return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(packed)], names=["hash", "packed"])
+        return pa.RecordBatch.from_arrays([*facts.columns, pa.array(counts)], names=[*facts.schema.names, "n"])
 
 
 class _Block:
@@ -148,37 +150,45 @@ class _Block:
         together = (piece[1:] == piece[:-1]) & (self.owner[1:] == self.owner[:-1])
         self.phrases = _phrase_hashes(self.words, _language(block.column("lang")), together, longest)
         self.lang = block.column("lang").cast(pa.string()).fill_null("und")
+        # of the text's words alone, so that it is the same whichever task reads the text
+        self.giver = (mix(self.words.per_text(self.words.hashes().view(np.int64)).view(np.uint64)) % np.uint64(GIVERS)).astype(np.int64)
 
     def allowed(self, size: int, marks: np.ndarray) -> np.ndarray:
         """Words where a marked phrase of ``size`` words begins."""
         hashes, there = self.phrases[size - 1]
         return there & marked(marks, hashes)
 
-    def counts(self, size: int, marks: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the phrases of ``size`` words whose first and last ``size`` - 1 are marked, with their counts."""
+    def counts(self, size: int, marks: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, pa.RecordBatch]:
+        """Hashes of the phrases of ``size`` words whose first and last ``size`` - 1 are marked, with their counts and a giver."""
         hashes, there = self.phrases[size - 1]
         if marks is not None:
             allowed = self.allowed(size - 1, marks)
             there = there & allowed & np.append(allowed[1:], False)
-        return np.unique(hashes[there], return_counts=True)
+        start = np.flatnonzero(there)
+        found, first, counts = np.unique(hashes[start], return_index=True, return_counts=True)
+        return found, counts, pa.RecordBatch.from_arrays([pa.array(self.giver[self.owner[start[first]]])], names=["giver"])
 
-    def stripes(self, longest: int, marks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, pa.RecordBatch]:
-        """Hashes, counts and (lang, prefix, next, size) of the counters of all marked phrases, and of the other words."""
+    def named(self, longest: int, marks: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, pa.RecordBatch]:
+        """(hash, lang, prefix, next, size) of the marked phrases that a text here is to give, and under no hash all words of each language."""
         text, parts = _Text(self.words), []
+
+        def part(key: np.ndarray, counts: np.ndarray, hashes: pa.Array, start: np.ndarray, prefix: pa.Array, further: pa.Array, size: int) -> None:
+            rows = [hashes, self.lang.take(pa.array(self.owner[start])), prefix, further, pa.array(np.full(len(start), size, dtype=np.int32))]
+            parts.append((key, counts, pa.RecordBatch.from_arrays(rows, names=["hash", "lang", "prefix", "next", "size"])))
+
+        words, first, counts = np.unique(mix(_language(self.lang) ^ _NOTHING)[self.owner], return_index=True, return_counts=True)
+        part(words, counts, pa.nulls(len(words), pa.int64()), first, text.cut(first, 0), pa.nulls(len(words), pa.string()), 1)
         for size in range(1, longest + 1):
-            counted = self.allowed(size, marks[size - 1])
-            start = np.arange(self.total) if size == 1 else np.flatnonzero(counted)
-            named = counted[start]
+            frequent, given = marks[size - 1]
+            start = np.flatnonzero(self.allowed(size, frequent))
             hashes = self.phrases[size - 1][0][start]
-            if size == 1:
-                hashes = np.where(named, hashes, mix(_language(self.lang) ^ _NOTHING)[self.owner])
-            found, first, counts = np.unique(mix(hashes + np.uint64(size)), return_index=True, return_counts=True)
-            start, named = start[first], named[first]
-            names = [self.lang.take(pa.array(self.owner[start])), text.cut(start, size - 1, np.ones(len(start), dtype=bool))]
-            names += [text.cut(start + size - 1, 1, named), pa.array(np.full(len(start), size, dtype=np.int32))]
-            parts.append((found, counts, pa.RecordBatch.from_arrays(names, names=["lang", "prefix", "next", "size"])))
-        named = pa.Table.from_batches([part[2] for part in parts]).combine_chunks().to_batches()[0]
-        return np.concatenate([part[0] for part in parts]), np.concatenate([part[1] for part in parts]), named
+            giver = self.giver[self.owner[start]].astype(np.uint64) << np.uint64(64 - GIVER_BITS)
+            here = marked(given, hashes ^ giver)
+            found, first = np.unique(hashes[here], return_index=True)
+            start = start[here][first]
+            part(mix(found + np.uint64(size)), np.zeros(len(found), dtype=np.int64), pa.array(found.view(np.int64)), start, text.cut(start, size - 1), text.cut(start + size - 1, 1), size)
+        facts = pa.Table.from_batches([p[2] for p in parts]).combine_chunks().to_batches()[0]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), facts
 
 
 def _per_task(docs: DataFrame, longest: int, most: int, made: object, schema: str) -> DataFrame:
@@ -198,12 +208,18 @@ def _per_task(docs: DataFrame, longest: int, most: int, made: object, schema: st
     return docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def _frequent(docs: DataFrame, size: int, before: object, least: int) -> np.ndarray:
-    """Marks of the phrases of ``size`` words that occur ``least`` times, among those that the marks ``before`` allow."""
-    counts = _per_task(docs, size, TASK_COUNTS, lambda block: block.counts(size, None if before is None else before.value), "hash long, n long")
+def _frequent(docs: DataFrame, size: int, before: object, least: int) -> DataFrame:
+    """(hash, n, giver) of the phrases of ``size`` words that occur ``least`` times, among those that the marks ``before`` allow. Written."""
+    counts = _per_task(docs, size, TASK_COUNTS, lambda block: block.counts(size, None if before is None else before.value[0]), "hash long, packed long")
     # dealt out before they are added up: tasks have added up their own already
-    whole = counts.repartition("hash").groupBy("hash").agg(F.sum("n").alias("n"))
-    return collect_marks(whole.filter(F.col("n") >= least).select("hash"))
+    giver = F.min(F.col("packed").bitwiseAND(GIVERS - 1)).alias("giver")
+    whole = counts.repartition("hash").groupBy("hash").agg(F.sum(F.shiftright("packed", GIVER_BITS)).alias("n"), giver)
+    return materialise(whole.filter(F.col("n") >= least), "frequent")
+
+
+def _marks(frequent: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Of frequent phrases, and of them with the number of the texts that give their words."""
+    return collect_marks(frequent.select("hash")), collect_marks(frequent.select(F.col("hash").bitwiseXOR(F.shiftleft("giver", 64 - GIVER_BITS)).alias("hash")))
 
 
 def _phrase() -> Column:
@@ -216,14 +232,21 @@ def stripes(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> Data
     ``size`` is the number of words of prefix and next. Words below ``least`` are one counter, under null, of the empty prefix.
     """
     context = docs.sparkSession.sparkContext
-    marks = []
+    marks, counted = [], []
     for size in range(1, longest + 1):
-        marks.append(context.broadcast(_frequent(docs, size, marks[-1] if marks else None, least)))  # of fixed size
-    entries = _per_task(docs, longest, TASK_ROWS, lambda block: block.stripes(longest, [m.value for m in marks]), STRIPE)
+        frequent = _frequent(docs, size, marks[-1] if marks else None, least)
+        marks.append(context.broadcast(_marks(frequent)))  # of fixed size
+        counted.append(frequent.select("hash", "n", F.lit(size).alias("size")))
+    # read twice below
+    named = materialise(_per_task(docs, longest, TASK_ROWS, lambda block: block.named(longest, [m.value for m in marks]), NAMED), "named_phrases")
     key = ["lang", "prefix", "next", "size"]
-    merged = materialise(entries.groupBy(*key).agg(F.sum("n").alias("n")), "merged_stripes")  # read twice below
-    words = merged.filter("size = 1").withColumn("next", F.when(F.col("n") >= least, F.col("next"))).groupBy(*key).agg(F.sum("n").alias("n"))
-    return materialise(merged.filter((F.col("size") > 1) & (F.col("n") >= least)).unionByName(words), "stripes")
+    found = named.drop("n").join(reduce(DataFrame.union, counted), ["hash", "size"]).groupBy(*key).agg(F.max("n").alias("n"))
+    found = materialise(found, "frequent_phrases")
+    words = found.filter("size = 1").unionByName(named.filter("hash is null").select(*key, "n"))
+    held = F.sum(F.when(F.col("next").isNull(), F.col("n")).otherwise(-F.col("n")))
+    rest = words.groupBy("lang").agg(held.alias("n")).filter("n > 0")
+    rest = rest.select("lang", F.lit("").alias("prefix"), F.lit(None).cast("string").alias("next"), F.lit(1).alias("size"), "n")
+    return materialise(found.unionByName(rest), "stripes")
 
 
 def scored(table: DataFrame, covered_percent: int = COVERED_PERCENT) -> DataFrame:

@@ -93,6 +93,18 @@ def test_stripes_add_up(spark, sf):
     assert found == {key: n for key, n in counts.items() if n >= 8}
 
 
+def test_a_phrase_is_not_sent_by_every_task_that_holds_it(spark, monkeypatch):
+    """60 texts hold each phrase, dealt over 20 tasks: its words come from a few of them, its count from all."""
+    rows = [("en", f"first{k % 100} second{k % 100} third{k % 100}, only{k}") for k in range(6000)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(20)
+    sent, per_task = [], collocations._per_task
+    monkeypatch.setattr(collocations, "_per_task", lambda *given: (sent.append(made := per_task(*given)), made)[1])
+    found = collocations.stripes(docs, least=60).collect()
+    assert {row["n"] for row in found if row["next"] is not None} == {60} and len(found) == 600 + 1
+    (named,) = [made.count() for made in sent if "prefix" in made.columns]
+    assert named < 4 * len(found)
+
+
 def test_products_beyond_64_bits(spark):
     """Scores and cover tests of counts that no long holds once multiplied."""
     a, l, r = 4_000_000_000_000_000_000, 4_600_000_000_000_000_000, 4_000_000_000_000_000_003
