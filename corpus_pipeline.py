@@ -7,26 +7,15 @@ the columns they were given, without the documents they reject; the last one ret
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sentrail.llm import decontamination, packing, parity_join, quality_rules, toxicity
+from sentrail.llm.arrow import carried as _carried
+from sentrail.llm.arrow import restored as _restored
 from sentrail.session import released, scratch_path
 
 TOXIC_FROM = 0.7
 
 
-def _carried(docs: DataFrame, *names: str) -> DataFrame:
-    """The columns a stage works on, and the others in ``_doc``: no column of a user meets one of the stage's own, and a
-    row's text goes through the stage once."""
-    others = [F.col(f"`{name}`") for name in docs.columns if name.lower() not in names]
-    return docs.select(*([F.struct(*others).alias("_doc")] if others else []), *names)
-
-
-def _restored(kept: DataFrame, docs: DataFrame, *names: str) -> DataFrame:
-    """The columns of ``docs``, in their order, of what is left of ``_carried`` rows."""
-    return kept.select(*[F.col(name.lower()).alias(name) if name.lower() in names else F.col(f"_doc.`{name}`") for name in docs.columns])
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents whose toxicity score reaches ``TOXIC_FROM``; the model learns from labels of documents still here."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")

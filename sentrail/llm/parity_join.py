@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentrail.llm.arrow import add_columns, longs
+from sentrail.llm.arrow import add_columns, longs, small_batches
 from sentrail.llm.components import components
 from sentrail.llm.marks import collect_marks, marked
 from sentrail.llm.words import BY_SPACE, blocks, mix, split, windows
@@ -345,10 +345,11 @@ def link_classes(docs: DataFrame, classes: DataFrame, shingle: int, similarity:
 
 def _component_table(docs: DataFrame, shingle: int, similarity: int) -> tuple[DataFrame, DataFrame]:
     """``class_table`` of the documents, and each class's smallest id (class_id) with its component's smallest (id, class) as ``kept``. Written."""
-    table = materialise(class_table(docs, shingle), "classes")
-    facts = [F.min(name).alias(name) for name in table.columns if name not in ("class", "doc_id")]
-    classes = materialise(table.filter("class <> 0").groupBy("class").agg(F.min("doc_id").alias("class_id"), *facts), "class_facts")
-    parts = link_classes(docs, classes, shingle, similarity)
+    with small_batches(docs.sparkSession):
+        table = materialise(class_table(docs, shingle), "classes")
+        facts = [F.min(name).alias(name) for name in table.columns if name not in ("class", "doc_id")]
+        classes = materialise(table.filter("class <> 0").groupBy("class").agg(F.min("doc_id").alias("class_id"), *facts), "class_facts")
+        parts = link_classes(docs, classes, shingle, similarity)
     named = classes.select("class", "class_id").join(parts.withColumnRenamed("node", "class"), "class", "left")
     named = named.withColumn("component", F.coalesce("component", "class"))
     # a class without an id represents its component only where no class has one

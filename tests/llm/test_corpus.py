@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from sentrail.llm import automaton, components, decontamination, license_scan, packing, parity_join, quality_classifier, quality_rules, sharding, token_counts, token_files, toxicity
+from sentrail.llm import arrow, automaton, components, decontamination, license_scan, packing, parity_join, quality_classifier, quality_rules, sharding, token_counts, token_files, toxicity
 from sentrail.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, SCORE string, Kept string, shard string, n_words string"
@@ -92,6 +92,39 @@ def test_pipeline_stages_carry_a_text_once(spark, sf):
     assert corpus_pipeline._restored(corpus_pipeline._carried(alone, "text"), alone, "text").columns == ["Text"]
 
 
+def test_decontamination_carries_a_text_once(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumnRenamed("text", "Text")
+    sent, matches = [], decontamination.matches
+    monkeypatch.setattr(decontamination, "matches", lambda rows, benchmark: (sent.append(rows), matches(rows, benchmark))[1])
+    kept = decontamination.decontaminate(docs, spark.read.parquet(f"{sf}/benchmark.parquet"))
+    assert sent[0].columns == ["_doc", "text"] and "text" not in [name.lower() for name in sent[0].schema["_doc"].dataType.names]
+    assert kept.columns == docs.columns and kept.exceptAll(docs).count() == 0 < kept.count()
+
+
+def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    """While near duplicates are looked for, a batch is limited by its bytes; the session's own limit holds again afterwards."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, sizes, sets = spark.conf.get(name), [], parity_join.class_table
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(999)), lambda k: F.concat(F.lit("w"), F.xxhash64("id", k).cast("string"))))
+    docs = spark.range(0, 600, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"))
+
+    def measured(docs, shingle):
+        def run(batches):
+            yield from (pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"]) for batch in batches)
+
+        sizes.extend(row["n"] for row in docs.select("text").mapInArrow(run, "n long").collect())
+        return sets(docs, shingle)
+
+    monkeypatch.setattr(parity_join, "class_table", measured)
+    assert parity_join.keep_one(docs).count() == 600
+    assert len(sizes) > 1 and max(sizes) <= 1.1 * arrow.BATCH_BYTES < sum(sizes)
+    assert spark.conf.get(name) == before
+    monkeypatch.setattr(parity_join, "class_table", None)
+    with pytest.raises(TypeError):
+        parity_join.keep_one(docs)
+    assert spark.conf.get(name) == before
+
+
 def test_pipeline_keeps_what_its_stages_keep(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     last = {row[0] for row in corpus_pipeline.run(spark, sf).select("doc_id").collect()}
