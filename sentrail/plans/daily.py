@@ -51,13 +51,24 @@ def _fit_detectors(profiles, num_cols, cat_cols, group_cols, key_cols, n_trees,
 
 
 def _raw_scores(profiles: DataFrame, detectors, key_cols: Sequence[str]) -> DataFrame:
-    """All raw scores as columns of one frame, so they belong to the same row by construction."""
+    """All raw scores as columns of one frame, so they belong to the same row by construction.
+
+    A score depends on a row's group and inputs alone: each different vector of a group is scored once, whatever the number
+    of rows that have it, and rows take the scores of theirs. Nulls are values like others here."""
     distance, forest, one_class = detectors
-    scored = distance.raw(profiles, "_sed")
+    inputs = list(dict.fromkeys([*distance.group_cols, *distance.num_cols, *distance.cat_cols]))
+    # counted vectors take up few bytes and much time: they are dealt to as many tasks as the session has for a shuffle
+    tasks = int(profiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    different = profiles.select(*inputs).distinct().repartition(tasks, *inputs)
+    scored = distance.raw(materialise(different, "vectors"), "_sed")
     # forest and one-class model are evaluated on the same rows in one crossing to Python
     encoded = one_class.encode(forest.encode(scored, "_f"), "_o")
     scorers = [forest.scorer("_isolation", "_f"), one_class.scorer("_one_class", "_o")]
-    return materialise(raw_scores(encoded, scorers, forest.group_cols, key_cols, ROWS_PER_TASK), "raw-scores")
+    raw = raw_scores(encoded, scorers, forest.group_cols, inputs, ROWS_PER_TASK)
+    vector = F.struct(*inputs).alias("_vector")
+    raw = materialise(raw.select(vector, *DETECTORS), "vector-scores")
+    joined = join_small(profiles.select("*", vector), raw, ["_vector"], "left", row_bytes=128 + 32 * len(inputs))
+    return materialise(joined.select(*profiles.columns, *DETECTORS), "raw-scores")
 
 
 def _ranges(raw: DataFrame, group_cols: Sequence[str]) -> DataFrame:

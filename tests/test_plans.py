@@ -44,6 +44,25 @@ def test_rerun_gives_the_same_scores(scored, activity):
     assert joined.agg(F.max(F.abs(F.col("pas") - F.col("again")))).first()[0] == 0
 
 
+def test_equal_vectors_are_scored_once(spark, monkeypatch):
+    """Rows share their vector's scores, those with nulls among them; no row is lost, doubled or mixed up with another."""
+    given = [(f"n{k}", None if k % 11 == 0 else "ab"[k % 2], None if k % 7 == 0 else k % 3, float(k % 5)) for k in range(400)]
+    rows = materialise(spark.createDataFrame([*given, given[5]], "name string, type string, x long, z double"), "rows")
+    seen, score = [], daily.raw_scores
+    monkeypatch.setattr(daily, "raw_scores", lambda encoded, *rest: (seen.append(encoded.count()), score(encoded, *rest))[1])
+    models = daily.train(rows, ["x", "z"], group_cols=["type"], n_trees=20)
+    scored = materialise(daily.score(rows, models), "scored")
+    different = {row[1:] for row in given}
+    assert seen == [len(different)] * 2 and len(different) < 100
+    assert scored.select("name", "type", "x", "z").exceptAll(rows).isEmpty() and scored.count() == 401
+    found = {}
+    for row in scored.collect():
+        found.setdefault((row["type"], row["x"], row["z"]), set()).add((row["pas"], row["model_found"]))
+        assert row["model_found"] == (row["type"] is not None)
+    assert set(found) == different and all(len(values) == 1 for values in found.values())
+    assert len(set().union(*found.values())) > 10
+
+
 def test_saved_models_score_the_same_and_unknown_groups_score_zero(spark, activity, folder):
     users = materialise(activity.where("type = 'user'"), "users")
     models = daily.train(users, group_cols=["type"], key_cols=KEYS, n_trees=30)
