@@ -20,7 +20,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +50,14 @@ ROW = "doc_id long, place long, n_tokens long, ids array<int>"
 _WORD = np.array([byte not in b" \t\n" for byte in range(256)])
 _LAST_LATIN = "\u024f"  # letters up to here have one form and no marks
 _PROBES = ("a", "Word", "Été", "ñandú", "groß", "straße", "łódź")
+#: kinds of bytes: a-z (and, two bytes each, À to ÿ), 0-9, the apostrophe, other ASCII signs; 0 is all else
+_LETTER, _DIGIT, _QUOTE, _SIGN = 1, 2, 3, 4
+_SIGNS = [chr(byte) for byte in range(0x21, 0x7F) if not chr(byte).isalnum() and byte != 0x27]
+_KIND = np.zeros(256, dtype=np.uint8)
+_KIND[0x61:0x7B], _KIND[0x30:0x3A], _KIND[0x27], _KIND[[ord(sign) for sign in _SIGNS]] = _LETTER, _DIGIT, _QUOTE, _SIGN
+#: whether a piece ends between bytes of two kinds, by 8 times the first and the second. 's and the like stay in one
+_CUT = np.zeros(64, dtype=bool)
+_CUT[[8 * one + two for one, two in [(1, 2), (1, 3), (1, 4), (2, 1), (2, 2), (2, 3), (2, 4), (3, 2), (4, 1), (4, 2)]]] = True
 _BYTES = ByteLevel(add_prefix_space=False, use_regex=False)
 _MAPPED = {point: _BYTES.pre_tokenize_str(chr(point))[0][0] for point in range(0x80, ord(_LAST_LATIN) + 1)}
 
@@ -57,18 +65,16 @@ _MAPPED = {point: _BYTES.pre_tokenize_str(chr(point))[0][0] for point in range(0
 class WordEncoder:
     """Encodes texts by their words; each distinct word is encoded once while it is kept.
 
-    Words are what lies between blanks, tabs and line feeds, with A-Z in lower case and a full stop or comma after a last
-    letter a-z on its own. A word of Latin letters goes straight to the tokenizer's model in lower case; all other
-    words go through the whole tokenizer. Whether these shortcuts hold for a tokenizer is tried on ``_PROBES``
-    first; else words are taken as they are. Texts that hold an added token's text, in any case, are encoded whole.
+    Words are what lies between blanks, tabs and line feeds, with A-Z in lower case and cut further where letters a-z and
+    À-ÿ, single digits and other ASCII signs meet. A word of Latin letters goes straight to the tokenizer's model in
+    lower case; all other words go through the whole tokenizer. Whether these shortcuts hold for a tokenizer is tried on
+    ``_PROBES`` first; else words are taken as they are. Texts that hold an added token's text, in any case, are encoded whole.
     """
 
     def __init__(self, tokenizer: Tokenizer, most: int = CACHE):
         self.tokenizer, self.model, self.most = tokenizer, tokenizer.model, most
         self.added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
-        self.direct = all(self._simple(word) == self._whole([word])[0] for word in _PROBES) and all(
-            self._whole([word + stop])[0] == self._whole([word.lower()])[0] + self._whole([stop])[0] for word in _PROBES for stop in ".,"
-        )
+        self.direct = all(self._simple(word) == self._whole([word])[0] for word in _PROBES) and self._cuts_hold()
         self._reset()
 
     def _reset(self) -> None:
@@ -79,6 +85,14 @@ class WordEncoder:
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [item.ids for item in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _cuts_hold(self) -> bool:
+        """Whether the probes, joined by what ``_CUT`` parts, have the ids of their parts."""
+        joints = [[sign] for sign in [*_SIGNS, *"0123456789", "***", "!?.", "'!", "'."]] + [["4", "2"], ["'", "7"], ["5", "'."], ["-", "3"], ["3", ","]]
+        cases = [[word.lower(), *joint, other.lower()] for joint in joints for word, other in zip(_PROBES, (*_PROBES[1:], _PROBES[0]), strict=True)]
+        cases += [[word.lower(), tail] for word in _PROBES for tail in ("'", "'s", "'ll", "'x", "'S.")]
+        parts = {part: ids for part in {part for case in cases for part in case} for ids in self._whole([part])}
+        return self._whole(["".join(case) for case in cases]) == [[i for part in case for i in parts[part]] for case in cases]
+
     def _simple(self, word: str) -> list[int] | None:
         """Ids of a word of Latin letters, else None."""
         if not word.isalpha():
@@ -104,28 +118,35 @@ class WordEncoder:
         """The number of each word, new ones learnt."""
         if self.kept > self.most:
             self._reset()
-        new = [word for word in distinct if word not in self.number]
-        if new:
-            self._learn([word.decode() for word in new])
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+        places = np.fromiter(map(self.number.get, distinct, repeat(-1)), dtype=np.int64, count=len(distinct))
+        fresh = np.flatnonzero(places < 0)
+        if len(fresh):
+            new = [distinct[k] for k in fresh.tolist()]
+            self._learn(b"\n".join(new).decode().split("\n"))  # no word holds a line feed
+            places[fresh] = np.arange(len(self.number), len(self.number) + len(new))
+            self.number.update(zip(new, places[fresh].tolist(), strict=True))
             self.kept += sum(map(len, new)) + WORD_BYTES * len(new)
-        return np.fromiter(map(self.number.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+        return places
 
     def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = split(texts, _WORD, lower=self.direct)
         # all words end to end: a binary array whose values Arrow tells apart without making them objects
-        lengths = words.ends - words.starts
-        ends = np.concatenate([[0], np.cumsum(lengths)])
+        ends = np.concatenate([[0], np.cumsum(words.ends - words.starts)])
         inside = words.data[_WORD[words.data]]
         of = words.of
-        if self.direct and len(lengths):
-            last, before = words.data[words.ends - 1], words.data[np.maximum(words.ends - 2, 0)]
-            stopped = (lengths > 1) & ((last == 0x2E) | (last == 0x2C)) & (before >= 0x61) & (before <= 0x7A)
-            ends = np.sort(np.concatenate([ends, ends[1:][stopped] - 1]))
-            of = of + np.concatenate([[0], np.cumsum(stopped)])[of]
+        if self.direct and len(inside):
+            kind = _KIND[inside]
+            latin = np.flatnonzero(inside == 0xC3)  # À to ÿ, without the two signs among them
+            latin = latin[(inside[latin + 1] != 0x97) & (inside[latin + 1] != 0xB7)]
+            kind[latin] = kind[latin + 1] = _LETTER
+            edge = np.ones(len(inside) + 1, dtype=bool)
+            edge[1:-1] = _CUT[(kind[:-1] << 3) | kind[1:]]
+            edge[ends] = True
+            cut = np.flatnonzero(edge)
+            ends, of = cut, np.searchsorted(cut, ends[of])
         column = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(inside)])
         coded = column.dictionary_encode()
-        places = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        places = self._places(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
         sizes = self.bounds[places + 1] - self.bounds[places]
         last = np.cumsum(sizes)
         take = np.arange(int(last[-1]) if len(last) else 0) + np.repeat(self.bounds[places] - (last - sizes), sizes)

@@ -584,6 +584,19 @@ def test_word_encoder_equals_the_whole_text():
         assert encoder.direct
 
 
+def test_word_encoder_cuts_words_at_signs():
+    """A word is learnt once, whatever signs and digits stand beside it, with the ids of the whole text."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["word word. word*** (Word) word, été! ÉTÉ*** !?été", "x-word 42word7 a@b.co", "don't 'll '.s ''s 7's é's", "a×b. c÷ é×- İ. i̇- ł, ñ́. a≮ 1⃣", "a\x0b-b c\x85. d\x00e"]
+    expected = [item.ids for item in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    encoder = token_files.WordEncoder(tokenizer)
+    ids, counts = encoder.encode(pa.array(texts))
+    assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] == expected
+    encoder = token_files.WordEncoder(tokenizer)
+    encoder.encode(pa.array(texts[:1]))
+    assert set(encoder.number) == {word.encode() for word in ("word", ".", "***", "(", ")", ",", "été", "ÉtÉ", "!", "!?")}
+
+
 def test_looking_up_an_id_skips_stripes(spark, folder):
     rows = [(k, f"text number {k} " * 20) for k in range(6000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
