@@ -17,6 +17,7 @@ table gives an empty result. Extra columns are ignored.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentrail.llm.arrow import add_columns, longs
-from sentrail.llm.words import BY_SPACE, split
+from sentrail.llm.arrow import small_batches
+from sentrail.llm.words import BY_SPACE, blocks, split
 from sentrail.session import materialise, row_count
 
 CAPACITY = 2048
@@ -90,12 +91,26 @@ def pack_pool(rows: pa.Table, capacity: int) -> pa.Table:
     return pa.table(columns)
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, pool: int = POOL) -> DataFrame:
-    """One row per piece: doc_id, piece, pool, bin (of the pool), start in the bin, n_words, first_word in the document, source, cluster."""
+def lengths(docs: DataFrame) -> DataFrame:
+    """doc_id, source, n_words, cluster of every document. Lazy, no shuffle; texts go to Python and don't come back."""
     # equal texts share a cluster; only its number is needed to tell them apart
     same = F.xxhash64(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
-    sized = add_columns(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "text"), longs("n_words"), lambda block: [split(block.column("text"), BY_SPACE).counts])
-    rows = materialise(sized.select("doc_id", "source", "n_words", same.alias("cluster")), "lengths")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch, "text"):
+                n_words = pa.array(split(block.column("text"), BY_SPACE).counts)
+                columns = [block.column("doc_id"), block.column("source"), n_words, block.column("cluster")]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "source", "n_words", "cluster"])
+
+    facts = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "text", same.alias("cluster"))
+    return facts.mapInArrow(run, "doc_id long, source string, n_words long, cluster long")
+
+
+def pack(docs: DataFrame, capacity: int = CAPACITY, pool: int = POOL) -> DataFrame:
+    """One row per piece: doc_id, piece, pool, bin (of the pool), start in the bin, n_words, first_word in the document, source, cluster."""
+    with small_batches(docs.sparkSession):
+        rows = materialise(lengths(docs), "lengths")
     pools = max(1, -(-row_count(rows) // pool))
     dealt = rows.withColumn("pool", F.pmod(F.xxhash64(*rows.columns, F.lit("pool")), F.lit(pools)).cast("long"))
     return dealt.groupBy("pool").applyInArrow(lambda part: pack_pool(part, capacity), SCHEMA)

@@ -2,6 +2,7 @@
 
 import glob
 import hashlib
+import os
 import re
 import zlib
 from collections import defaultdict
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from sentrail import session
 from sentrail.llm import arrow, automaton, components, decontamination, license_scan, packing, parity_join, quality_classifier, quality_rules, sharding, token_counts, token_files, toxicity
 from sentrail.llm.queries import QUERIES
 
@@ -125,6 +127,29 @@ def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
     assert spark.conf.get(name) == before
 
 
+def test_stages_send_texts_in_small_batches(spark, sf):
+    """Also when their rows are read after they returned; of what a stage wrote, only its rows stay."""
+    name, most = "spark.sql.execution.arrow.maxBytesPerBatch", 1.1 * arrow.BATCH_BYTES
+    before, shared = spark.conf.get(name), os.path.join(session.shared_dir(spark), spark.sparkContext.applicationId)
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(999)), lambda k: F.concat(F.lit("w"), F.xxhash64("id", k).cast("string"))))
+    rows = spark.range(0, 600, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"), F.lit(None).cast("string").alias("source"))
+
+    def small(batches):
+        for batch in batches:
+            assert batch.nbytes <= most
+            yield batch
+
+    docs = rows.mapInArrow(small, rows.schema)
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_low_quality, corpus_pipeline.drop_contaminated):
+        old = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+        kept = stage(spark, docs, sf)
+        assert kept.columns == docs.columns and kept.count() == 600 and kept.select("text").distinct().count() == 600
+        assert len(set(os.listdir(shared)) - old) == 1
+        assert spark.conf.get(name) == before
+    assert corpus_pipeline.pack_bins(spark, docs, sf).filter("n_words = 1000").count() == 600
+    assert spark.conf.get(name) == before
+
+
 def test_pipeline_keeps_what_its_stages_keep(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     last = {row[0] for row in corpus_pipeline.run(spark, sf).select("doc_id").collect()}
