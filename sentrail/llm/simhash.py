@@ -308,14 +308,15 @@ def link_classes(classes: DataFrame, distance: int = DISTANCE, parts_of: Sequenc
     plan = allocate(classes, distance, parts_of)
     index = _index(classes, plan)
     held = index.groupBy("key").agg(F.min("fp").alias("least"), F.max("fp").alias("most"), F.count("*").alias("n"))
-    found = _probes(classes, plan).join(held, "key").filter("fp <> least or fp <> most")
+    # the planner sizes both sides by the classes that they are made from, and would broadcast many times that
+    found = _probes(classes, plan).join(held.hint("merge"), "key").filter("fp <> least or fp <> most")
     found = materialise(found, "probes")
     links = found.filter(_near("fp", "least", distance)).selectExpr("fp as a", "least as b")
     links = links.union(found.filter(_near("fp", "most", distance)).selectExpr("fp as a", "most as b"))
     parts = materialise(components(links), "components")
     # keys with more than two indexed fingerprints: their probes from elsewhere, and all that they index
     open_keys = found.filter("n > 2")
-    rows = open_keys.filter("own = 0").select("key", "fp", "own").union(index.join(open_keys.select("key").distinct(), "key", "left_semi").selectExpr("key", "fp", "1 as own"))
+    rows = open_keys.filter("own = 0").select("key", "fp", "own").union(index.join(open_keys.select("key").distinct().hint("merge"), "key", "left_semi").selectExpr("key", "fp", "1 as own"))
     while True:
         named = materialise(_named(rows, parts), "keys")
         facts = named.groupBy("key").agg(

@@ -98,6 +98,18 @@ def test_classes_equal_brute_force(spark, pair_rows, parts):
     assert sorted(map(sorted, groups.values())) == sorted(sorted(g) for g in expected.values() if len(g) > 1)
 
 
+def test_probes_and_keys_are_not_broadcast(spark, monkeypatch):
+    """Few bytes of classes make many probes: the planner's size of them must not lead to a broadcast."""
+    plans, materialise = {}, simhash.materialise
+    monkeypatch.setattr(simhash, "materialise", lambda df, name: (plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()), materialise(df, name))[1])
+    fps = np.random.default_rng(8).integers(0, 2**63, 2000, dtype=np.uint64).tolist()
+    classes = materialise(spark.createDataFrame([(fp ^ low,) for fp in fps for low in (0, 1, 3)], "fp long"), "classes")
+    assert simhash.link_classes(classes).count() == 6000
+    assert "SortMergeJoin" in plans["probes"] and "Broadcast" not in plans["probes"]
+    semi = [line for line in plans["keys"].splitlines() if "LeftSemi" in line]
+    assert semi and all("SortMergeJoin" in line for line in semi)
+
+
 def test_thresholds_follow_the_estimates():
     """Units add up, cost is the least of all shares, and a crowded partition gets the smaller threshold."""
     random = np.random.default_rng(4)
