@@ -8,10 +8,12 @@ are cut into bands; for each band, with n its upper end, a sketch has more than
 
 1. Documents with equal sets form a class, named by 64 bits of the set's hash; only classes are compared.
 2. Each class has a key per segment for its own band, and for the next one where a larger partner may be there.
-   Keys are counted over all classes; those that two classes hold are marked in a bitmap of fixed size (``marks``),
+   Keys are counted over all classes, by their first 48 bits, sorted and packed by ranges of them; a class that one row
+   has goes without its name. Keys that two classes hold are marked in a bitmap (``marks``),
    and those of ``CROWDED`` classes in another. A class can have a partner in a band only if as many of its segments
-   there are marked as linked sets must share; all others send nothing more.
-3. A class that may have one sends its marked keys, with d(n) + 1 segments of its own band as probes: those without
+   there are marked as it must share with the largest set that it can link with; all others send nothing more.
+3. A class that may have one sends its marked keys, with d(n) + 1 segments of its own band as probes, n its own size, as the
+   larger one of a pair probes for both: those without
    a mark first, which cost nothing, then the marked, the crowded last. Keys with two classes and a probe survive.
 4. Of keys with up to ``FEW`` classes all pairs are checked. Classes of a larger key are first checked against
    ``CENTRES`` of them; confirmed links are joined into components,
@@ -29,7 +31,7 @@ ignored by ``near_duplicates`` and kept by ``keep_one``, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 
 from sentrail.llm.arrow import add_columns, longs, small_batches
 from sentrail.llm.components import components
-from sentrail.llm.marks import collect_marks, marked
+from sentrail.llm.marks import MARK_BITS, collect_marks, marked
 from sentrail.llm.words import BY_SPACE, blocks, mix, split, windows
 from sentrail.session import materialise, row_count
 
@@ -55,6 +57,12 @@ CENTRES = 4
 ROUNDS = 2
 #: classes of a key from which it is probed last
 CROWDED = 32
+#: shingles up to which a band's sets are all taken to be as large as it allows
+SMALL = 64
+#: keys that a task packs at a time, and that a range of keys has at most on average; bits that number the least ranges
+PACKED_KEYS, RANGE_KEYS, RANGE_BITS = 1_000_000, 4_000_000, 8
+#: bits of the bitmap of shared keys for each of them, and at most in all (as a power of two)
+KEY_MARKS, MOST_MARK_BITS = 16, 28
 
 _ZOBRIST = mix(np.arange(1, SEGMENT_BITS + 1, dtype=np.uint64))
 _RADIX = np.uint64(0x9E3779B97F4A7C15)
@@ -67,6 +75,13 @@ def differences(size: np.ndarray | int, similarity: int) -> np.ndarray | int:
     return (2 * size * (100 - similarity)) // (100 + similarity)
 
 
+def most_apart(size: np.ndarray, top: np.ndarray, similarity: int) -> np.ndarray:
+    """Most shingles that a set of ``size`` shingles and one that it links with, of at most ``top``, can differ in. For small
+    sets, which have few keys, that of two sets of ``top``."""
+    apart = (size + np.minimum(100 * size // similarity, top)) * (100 - similarity) // (100 + similarity)
+    return np.where(top < SMALL, differences(top, similarity), apart)
+
+
 def segments(similarity: int) -> tuple[np.ndarray, np.ndarray]:
     """For every band: the number of segments of its sketches, and how many of them a probe chooses."""
     probes = differences(UPPER, similarity) + 1
@@ -179,56 +194,144 @@ def class_table(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
-def key_table(docs: DataFrame, shingle: int, similarity: int, marks: object = None) -> DataFrame:
+def _keyed(batches: Iterator[pa.RecordBatch], shingle: int, similarity: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """For each block of texts, of the classes that the task has not met: names, sizes and bands, (text, key) of their
+    own bands' segments, which of them may have a larger partner in the next band, and (text, key) of those there."""
+    seen: set[int] = set()
+    for batch in batches:
+        for block in blocks(batch, "text"):
+            sets = shingle_sets(block.column("text"), shingle)
+            named = sets.classes()
+            new = [row for row, name in enumerate(named.tolist()) if name and not (name in seen or seen.add(name))]
+            sets, named = sets.take(np.array(new, dtype=np.int64)), named[new]
+            bands = np.searchsorted(UPPER, sets.sizes)
+            # a larger partner, in the next band, has at most 100 / similarity times the shingles
+            up = np.flatnonzero(sets.sizes * 100 >= similarity * (UPPER[bands] + 1))
+            yield named, sets.sizes, bands, *segment_keys(sets, bands, similarity), up, *segment_keys(sets.take(up), bands[up] + 1, similarity)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """The lowest five bytes of sorted numbers, the highest of them all first, where they hardly change."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 4::-1].T.tobytes()
+
+
+def _from_planes(packed: Sequence[bytes]) -> np.ndarray:
+    parts = [np.frombuffer(part, dtype=np.uint8).reshape(5, -1) for part in packed]
+    out = np.zeros((sum(part.shape[1] for part in parts), 8), dtype=np.uint8)
+    out[:, 4::-1] = np.concatenate([np.zeros((5, 0), dtype=np.uint8), *parts], axis=1).T
+    return out.view("<u8")[:, 0]
+
+
+def _first_of_each(ordered: np.ndarray, most: int) -> np.ndarray:
+    """Which of sorted numbers are among the first ``most`` of equal ones."""
+    return np.arange(len(ordered)) - np.searchsorted(ordered, ordered) < most
+
+
+def packed_keys(docs: DataFrame, repeated: np.ndarray, bits: int, shingle: int, similarity: int) -> DataFrame:
+    """(part, alone, several, names): the first 48 bits of all keys, those of a task that agree in the first ``bits`` packed
+    in a row. ``repeated`` marks the classes of several rows: only their keys go with their names, as any other class is
+    sent once. Of a key that a task has often, ``CROWDED`` go. Lazy, no shuffle."""
+    marks = docs.sparkSession.sparkContext.broadcast(repeated)
+    low = np.uint64((1 << 40) - 1)
+
+    def packed(held: list[np.ndarray], of: list[np.ndarray], of_names: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        alone, several, names = (np.concatenate(side) for side in (held, of, of_names))
+        order = np.argsort(several, kind="stable")
+        alone, several, names = np.sort(alone), several[order], names[order]
+        alone, stay = alone[_first_of_each(alone, CROWDED)], _first_of_each(several, CROWDED)
+        several, names = several[stay], names[stay]
+        starts = np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(48 - bits)
+        one, two = (np.searchsorted(side, starts).tolist() for side in (alone, several))
+        rows = [part for part in range(1 << bits) if one[part] < one[part + 1] or two[part] < two[part + 1]]
+        columns = [
+            pa.array(rows, pa.int32()),
+            pa.array([_planes(alone[one[part] : one[part + 1]] & low) for part in rows], pa.binary()),
+            pa.array([_planes(several[two[part] : two[part + 1]] & low) for part in rows], pa.binary()),
+            pa.array([names[two[part] : two[part + 1]].tobytes() for part in rows], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["part", "alone", "several", "names"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sides: tuple[list[np.ndarray], ...] = ([], [], [])
+        size = 0
+        for named, _, _, text, key, up, above, key_above in _keyed(batches, shingle, similarity):
+            names, found = np.concatenate([named[text], named[up][above]]), np.concatenate([key, key_above]) >> np.uint64(16)
+            known = marked(marks.value, names.view(np.uint64) << np.uint64(3))
+            for side, some in zip(sides, (found[~known], found[known], names[known]), strict=True):
+                side.append(some)
+            size += len(found)
+            if size >= PACKED_KEYS:
+                yield from packed(*sides)
+                sides, size = ([], [], []), 0
+        if size:
+            yield from packed(*sides)
+
+    return docs.select("text").mapInArrow(run, "part int, alone binary, several binary, names binary")
+
+
+def shared_keys(docs: DataFrame, repeated: np.ndarray, keys: int, shingle: int, similarity: int) -> DataFrame:
+    """(key, n) of the keys that ``n`` > 1 classes hold, by their first 48 bits; the others are 0.
+
+    There are about ``keys`` keys in all, counted range by range. Beyond ``CROWDED``, ``n`` may be less than there are.
+    """
+    bits = min(16, max(RANGE_BITS, (keys // RANGE_KEYS).bit_length()))
+
+    def count(table: pa.Table) -> pa.Table:
+        part = np.uint64(table["part"][0].as_py()) << np.uint64(48 - bits)
+        several = np.stack([_from_planes(table["several"].to_pylist()), np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in table["names"].to_pylist()])])
+        several = several[:, np.lexsort(several[::-1])]
+        new = np.ones(several.shape[1], dtype=bool)
+        new[1:] = (several[:, 1:] != several[:, :-1]).any(axis=0)
+        found = np.sort(np.concatenate([_from_planes(table["alone"].to_pylist()), several[0, new]]))
+        first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+        n = np.diff(np.concatenate([first, [len(found)]]))
+        key = (found[first[n > 1]] | part) << np.uint64(16)
+        return pa.table([pa.array(key.view(np.int64)), pa.array(n[n > 1])], names=["key", "n"])
+
+    return packed_keys(docs, repeated, bits, shingle, similarity).groupBy("part").applyInArrow(count, "key long, n long")
+
+
+def key_table(docs: DataFrame, shingle: int, similarity: int, marks: object) -> DataFrame:
     """(key, marked: class and, in the lowest bit, probe) of every class, sent once per task however many copies of it the task holds.
 
-    With ``marks``, a broadcast pair of bitmaps, only marked keys of classes that may have a partner in their band.
+    ``marks`` is a broadcast pair of bitmaps: only marked keys go, of classes that may have a partner in their band.
     """
-    total, wanted = segments(similarity)
+    total, _ = segments(similarity)
 
-    def needed(text: np.ndarray, key: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def needed(text: np.ndarray, key: np.ndarray, bands: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which keys to send, and the cost of each as a probe: 0 without a mark, 1 with one, 2 where crowded."""
         shared, crowded = (marked(bitmap, key) for bitmap in marks.value)
-        # linked sets differ in at most wanted - 1 segments
-        may = np.bincount(text, weights=shared, minlength=len(bands)) >= (total - wanted + 1)[bands]
+        # segments that linked sets must share: each shingle that they differ in spoils one
+        may = np.bincount(text, weights=shared, minlength=len(bands)) >= total[bands] - most_apart(sizes, UPPER[bands], similarity)
         return shared & may[text], shared.astype(np.int64) + (shared & crowded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            for block in blocks(batch, "text"):
-                sets = shingle_sets(block.column("text"), shingle)
-                named = sets.classes()
-                new = [row for row, name in enumerate(named.tolist()) if name and not (name in seen or seen.add(name))]
-                sets, named = sets.take(np.array(new, dtype=np.int64)), named[new]
-                bands = np.searchsorted(UPPER, sets.sizes)
-                # a larger partner, in the next band, has at most 100 / similarity times the shingles
-                up = np.flatnonzero(sets.sizes * 100 >= similarity * (UPPER[bands] + 1))
-                text, key = segment_keys(sets, bands, similarity)
-                above, key_above = segment_keys(sets.take(up), bands[up] + 1, similarity)
-                # the mark is the lowest bit beside the class, which keeps a row at two numbers
-                own, other = named[text] << 1, named[up][above] << 1
-                if marks is not None:
-                    sent, cost = needed(text, key, bands)
-                    own = (own | probes(text, cost, wanted[bands]))[sent]
-                    sent_above, _ = needed(above, key_above, bands[up] + 1)
-                    key, key_above, other = key[sent], key_above[sent_above], other[sent_above]
-                keys = np.concatenate([key, key_above]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate([own, other]))], names=["key", "marked"])
+        for named, sizes, bands, text, key, up, above, key_above in _keyed(batches, shingle, similarity):
+            sent, cost = needed(text, key, bands, sizes)
+            sent_above, _ = needed(above, key_above, bands[up] + 1, sizes[up])
+            # the mark is the lowest bit beside the class, which keeps a row at two numbers; the larger of two sets probes
+            wanted = most_apart(sizes, np.where(UPPER[bands] < SMALL, UPPER[bands], sizes), similarity) + 1
+            own = (named[text] << 1 | probes(text, cost, wanted))[sent]
+            keys = np.concatenate([key[sent], key_above[sent_above]]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate([own, (named[up][above] << 1)[sent_above]]))], names=["key", "marked"])
 
     return docs.select("text").mapInArrow(run, "key long, marked long")
 
 
-def _survivors(docs: DataFrame, shingle: int, similarity: int) -> DataFrame:
+def _survivors(docs: DataFrame, classes: DataFrame, shingle: int, similarity: int) -> DataFrame:
     """(key, class, probe, n) of the keys held by ``n`` > 1 classes of which one is a probe.
 
-    One shuffle of all keys counts them; what they leave is sent again, and that alone is joined.
+    One shuffle of all keys, packed, counts them; what they leave is sent again, and that alone is joined.
     """
-    facts = key_table(docs, shingle, similarity).groupBy("key").agg(F.min("marked").alias("least"), F.max("marked").alias("most"), F.count("*").alias("n"))
-    shared = materialise(facts.filter("least <> most").select("key", "n"), "shared_keys")
     spark = docs.sparkSession
-    marks = spark.sparkContext.broadcast((collect_marks(shared.selectExpr("key as hash")), collect_marks(shared.filter(F.col("n") >= CROWDED).selectExpr("key as hash"))))
-    sent = key_table(docs, shingle, similarity, marks).join(shared, "key").select("key", F.shiftrightunsigned("marked", 1).alias("class"), F.col("marked").bitwiseAND(1).alias("probe"))
+    repeated = collect_marks(classes.filter("n_rows > 1").select(F.shiftleft("class", 3).alias("hash")))
+    # a class has one bit that is always set, which marks no place; a set has keys for about two fifths of its shingles
+    shingles = classes.agg(F.sum("n_shingles")).first()[0] or 0
+    shared = materialise(shared_keys(docs, repeated, 2 * shingles // 5, shingle, similarity), "shared_keys")
+    bits = min(MOST_MARK_BITS, max(MARK_BITS, (KEY_MARKS * row_count(shared)).bit_length()))
+    marks = spark.sparkContext.broadcast((collect_marks(shared.selectExpr("key as hash"), bits), collect_marks(shared.filter(F.col("n") >= CROWDED).selectExpr("key as hash"))))
+    sent = key_table(docs, shingle, similarity, marks).withColumn("short", F.expr("key & -65536L"))
+    sent = sent.join(shared.selectExpr("key as short").hint("merge"), "short").select("key", F.shiftrightunsigned("marked", 1).alias("class"), F.col("marked").bitwiseAND(1).alias("probe"))
     sent = materialise(sent.groupBy("key", "class").agg(F.max("probe").alias("probe")), "sent_keys")
     held = sent.groupBy("key").agg(F.count("*").alias("n"), F.max("probe").alias("probed"))
     return sent.join(held.filter("n > 1 and probed = 1").select("key", "n"), "key")
@@ -319,7 +422,7 @@ def _unsettled(alive: DataFrame, parts: DataFrame) -> DataFrame:
 
 def link_classes(docs: DataFrame, classes: DataFrame, shingle: int, similarity: int) -> DataFrame:
     """(node, component) of every class that links with another."""
-    alive = materialise(_survivors(docs, shingle, similarity).join(classes, "class").withColumn("component", F.col("class")), "keys")
+    alive = materialise(_survivors(docs, classes, shingle, similarity).join(classes.drop("n_rows"), "class").withColumn("component", F.col("class")), "keys")
     tested = docs.sparkSession.createDataFrame([], "x long, y long")
     parts = docs.sparkSession.createDataFrame([], "node long, component long")
     # keys of few classes are done at once, those of many by centres first
@@ -348,7 +451,7 @@ def _component_table(docs: DataFrame, shingle: int, similarity: int) -> tuple[Da
     with small_batches(docs.sparkSession):
         table = materialise(class_table(docs, shingle), "classes")
         facts = [F.min(name).alias(name) for name in table.columns if name not in ("class", "doc_id")]
-        classes = materialise(table.filter("class <> 0").groupBy("class").agg(F.min("doc_id").alias("class_id"), *facts), "class_facts")
+        classes = materialise(table.filter("class <> 0").groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n_rows"), *facts), "class_facts")
         parts = link_classes(docs, classes, shingle, similarity)
     named = classes.select("class", "class_id").join(parts.withColumnRenamed("node", "class"), "class", "left")
     named = named.withColumn("component", F.coalesce("component", "class"))

@@ -405,6 +405,54 @@ def test_only_texts_of_pairs_are_moved(spark, monkeypatch):
     assert {row["component_id"] for row in found if row["doc_id"] is None} == {3}
 
 
+def test_shared_keys_are_counted_from_packed_ones(spark, monkeypatch):
+    """Every key of two classes is found with its number, copies of a text count once, and a key takes few bytes."""
+    random = np.random.default_rng(7)
+    words = [f"w{k}" for k in range(900)]
+    base = random.choice(words, 300)
+    texts = [" ".join(random.choice(words, int(random.integers(1, 400)))) for _ in range(150)]
+    texts += [" ".join([*base[:k], "x", *base[k + 1 :]]) for k in range(0, 300, 7)] + ["", None]
+    copies = texts[::9]
+    docs = spark.createDataFrame([(t,) for t in texts + copies * 2], "text string").repartition(4)
+    monkeypatch.setattr(parity_join, "PACKED_KEYS", 3_000)
+    holders, sent = {}, 0
+    for named, _, _, text, key, up, above, key_above in parity_join._keyed(iter([pa.record_batch({"text": texts})]), 4, 85):
+        for name, one in zip([*named[text].tolist(), *named[up][above].tolist()], [*key.tolist(), *key_above.tolist()], strict=True):
+            holders.setdefault(one >> 16, set()).add(name)
+            sent += 1
+    expected = {one: min(len(names), parity_join.CROWDED) for one, names in holders.items() if len(names) > 1}
+    repeated = np.zeros(1 << 19, dtype=np.uint64)
+    classes = np.array([name for name in parity_join.shingle_sets(pa.array([t for t in copies if t]), 4).classes()]).view(np.uint64) << np.uint64(3)
+    places = classes >> np.uint64(64 - 25)
+    np.bitwise_or.at(repeated, (places >> np.uint64(6)).astype(int), np.uint64(1) << (places & np.uint64(63)))
+    found = {(row["key"] & (2**64 - 1)) >> 16: min(row["n"], parity_join.CROWDED) for row in parity_join.shared_keys(docs, repeated, sent, 4, 85).collect()}
+    assert found == expected and len(expected) > 100 and max(expected.values()) == parity_join.CROWDED
+    single = spark.createDataFrame([(t,) for t in texts], "text string")
+    size = single.transform(lambda df: parity_join.packed_keys(df, np.zeros(1 << 19, dtype=np.uint64), 8, 4, 85)).selectExpr("sum(length(alone) + length(several) + length(names))").first()[0]
+    assert 4 * sent < size <= 5 * sent
+
+
+def test_larger_of_two_sets_probes():
+    """Linked sets share a probe of the larger one and as many segments as a class must have marked to send any."""
+    random = np.random.default_rng(2)
+    for size in (40, 90, 150, 216, 217, 700):
+        one = np.unique(random.integers(0, 2**63, size, dtype=np.uint64))
+        for two in (one[size * 15 // 100 :], np.unique(np.concatenate([one[size * 8 // 100 :], random.integers(0, 2**63, size * 8 // 100, dtype=np.uint64)]))):
+            small, large = sorted((one, two), key=len)
+            common = len(np.intersect1d(small, large))
+            assert 100 * common >= 85 * (len(small) + len(large) - common)
+            low, band = (int(np.searchsorted(parity_join.UPPER, len(s))) for s in (small, large))
+            assert low == band or len(small) * 100 >= 85 * (parity_join.UPPER[low] + 1) and low + 1 == band
+            keys = []
+            for shingles in (small, large):
+                sets, top = np.array([len(shingles)]), parity_join.UPPER[np.array([band])]
+                text, key = parity_join.segment_keys(parity_join.Sets(shingles, np.array([0, len(shingles)])), np.array([band]), 85)
+                keys.append(set(key.tolist()))
+                must = parity_join.segments(85)[0][band] - parity_join.most_apart(sets, top, 85)[0]
+            chosen = parity_join.probes(text, random.integers(0, 3, len(key)), parity_join.differences(np.array([len(large)]), 85) + 1)
+            assert keys[0] & set(key[chosen].tolist()) and len(keys[0] & keys[1]) >= must
+
+
 def test_keep_one_row_of_each_component(spark):
     a, near, other = "one two three four five six seven eight nine ten " * 3, "ONE two three four five six seven eight nine ten " * 3, "quite another text that nothing equals here"
     rows = [(1, a), (5, a), (5, "unique to five and to nobody else at all"), (7, near), (1, a), (None, a), (None, other), (None, other), (8, ""), (8, ""), (9, None), (None, ""), (6, other + " x y"), (6, "short")]
